@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import random
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -17,13 +17,17 @@ TEST_FRACTION = 0.048
 SEED = 42
 
 
+def _shard_key(shard: str | Sequence[str]) -> Column:
+    return F.col(shard) if isinstance(shard, str) else F.struct(*shard)
+
+
 def sample_size(rows: Column, fraction: float = TEST_FRACTION) -> Column:
     """Test rows of a shard: the rounded-down share, one at least."""
     return F.greatest(F.lit(1), F.floor(rows * F.lit(float(fraction))).cast("long"))
 
 
 def split_cutoffs(
-    df: DataFrame, key: str, shard: str, fraction: float = TEST_FRACTION, seed: int = SEED
+    df: DataFrame, key: str, shard: str | Sequence[str], fraction: float = TEST_FRACTION, seed: int = SEED
 ) -> DataFrame:
     """Per shard the last (hash, key) that is still a test row: ``shard, cut_hash, cut_key``.
 
@@ -31,7 +35,7 @@ def split_cutoffs(
     the bucket where the sample ends; only that bucket's rows are then ranked.
     Reads ``key`` and ``shard`` and no other column.
     """
-    narrow = df.select(F.col(shard).alias("__shard"), F.col(key).alias("__key")).withColumn(
+    narrow = df.select(_shard_key(shard).alias("__shard"), F.col(key).alias("__key")).withColumn(
         "__hash", order_hash(seed, F.col("__key"))
     )
     narrow = narrow.withColumn("__bucket", hash_bucket(F.col("__hash")))
@@ -70,14 +74,14 @@ def split_cutoffs(
 def assign_split(
     df: DataFrame,
     key: str,
-    shard: str,
+    shard: str | Sequence[str],
     fraction: float = TEST_FRACTION,
     seed: int = SEED,
     split_col: str = "split",
 ) -> DataFrame:
     """``df`` with ``split_col`` set to ``test`` on an exact random sample of each shard, ``train`` elsewhere.
 
-    ``key`` must be unique within its shard. The result depends on seed, keys and
+    ``shard`` is a column or several; ``key`` must be unique within its shard. The result depends on seed, keys and
     shards only. Rows meet one cutoff per shard, so where that table is small
     enough to broadcast, as AQE measures it, no row of ``df`` is moved.
     """
@@ -87,7 +91,7 @@ def assign_split(
     last = F.struct(F.col("cut_hash").alias("hash"), F.col("cut_key").alias("key"))
     label = F.when(mine <= last, "test").otherwise("train")
     return (
-        df.join(cuts, F.col(shard).eqNullSafe(F.col("__cut_shard")), "left")
+        df.join(cuts, _shard_key(shard).eqNullSafe(F.col("__cut_shard")), "left")
         .withColumn(split_col, label)
         .drop("__cut_shard", "cut_hash", "cut_key")
     )

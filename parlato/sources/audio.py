@@ -122,15 +122,10 @@ def rejects(paired: DataFrame) -> DataFrame:
     return paired.filter(F.col("reason").isNotNull()).select(F.col("audio.path").alias("path"), "reason")
 
 
-def build_utterances(
-    spark: SparkSession,
-    corpus_dir: str,
-    names: Sequence[str],
-    split_match: str = "anywhere",
-    strict: bool = False,
-    look_for_empty: bool = True,
+def corpus_files(
+    spark: SparkSession, corpus_dir: str, names: Sequence[str], look_for_empty: bool = True
 ) -> tuple[DataFrame, DataFrame]:
-    """Utterances and rejects of the named datasets below ``corpus_dir``.
+    """Recordings and transcripts, each as ``path, content``.
 
     ``look_for_empty`` asks the file system for zero-byte partners of unpaired
     files, which needs a file system that Arrow can open.
@@ -140,5 +135,17 @@ def build_utterances(
         empty_texts = empty_partners(corpus_dir, audio, texts, ".txt")
         empty_audio = empty_partners(corpus_dir, texts, audio, ".wav")
         audio, texts = audio.unionByName(empty_audio), texts.unionByName(empty_texts)
-    both = pair(audio, texts, split_match)
+    return audio, texts
+
+
+def build_utterances(
+    spark: SparkSession,
+    corpus_dir: str,
+    names: Sequence[str],
+    split_match: str = "anywhere",
+    strict: bool = False,
+    look_for_empty: bool = True,
+) -> tuple[DataFrame, DataFrame]:
+    """Utterances and rejects of the named datasets below ``corpus_dir``."""
+    both = pair(*corpus_files(spark, corpus_dir, names, look_for_empty), split_match)
     return accepted(both, strict), rejects(both)
