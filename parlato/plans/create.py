@@ -93,12 +93,14 @@ def table_to_shards(
     )
 
 
-def read_dataset(spark: SparkSession, dataset_dir: str, names: Sequence[str] | None = None) -> DataFrame:
+def read_dataset(
+    spark: SparkSession, dataset_dir: str, names: Sequence[str] | None = None, schema: T.StructType = STORED
+) -> DataFrame:
     """The shards of ``names``, or all, in one scan with the utterance schema plus ``name, shard``.
 
     ``FileNotFoundError`` if one of ``names`` has no shard.
     """
-    df = spark.read.schema(STORED).parquet(dataset_dir)
+    df = spark.read.schema(schema).parquet(dataset_dir)
     if names is None:
         return df
     for name in names:
@@ -138,7 +140,8 @@ def materialise_splits(
     spark: SparkSession, dataset_dirs: Sequence[str], target: str, split_col: str = "split", max_seconds: float = MAX_SECONDS
 ) -> None:
     """One train and one test table of all shards in ``dataset_dirs``, long recordings left out."""
-    parts = [read_dataset(spark, folder).drop("name", "shard") for folder in dataset_dirs]
+    schema = STORED if split_col in STORED.names else T.StructType([*STORED.fields, T.StructField(split_col, T.StringType())])
+    parts = [read_dataset(spark, folder, schema=schema).drop("name", "shard") for folder in dataset_dirs]
     rows = known_splits(at_most(union_shards(parts), max_seconds), split_col)
     write_splits(rows, target, split_col)
 

@@ -26,13 +26,22 @@ def _qualified(spark: SparkSession, folder: str) -> str:
     return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(path).toString()
 
 
+def relative_to(df: DataFrame, corpus_dir: str) -> DataFrame:
+    """``path, content`` of found files, ``path`` written the way ``corpus_dir`` is.
+
+    So it does not change with the file system's own prefix.
+    """
+    base = corpus_dir.rstrip("/")
+    start = len(_qualified(df.sparkSession, base)) + 1
+    below = F.substring(F.col("path"), F.lit(start), F.length("path"))
+    return df.select(F.concat(F.lit(base), below).alias("path"), "content")
+
+
 def find_files(spark: SparkSession, corpus_dir: str, names: Sequence[str], glob: str) -> DataFrame:
     """``path, content`` of every matching file at any depth below ``corpus_dir/name``.
 
-    One listing over all names. ``path`` is written the way ``corpus_dir`` is, so
-    it does not change with the file system's own prefix. Content is read only if
-    a query uses it. Spark lists no empty files and none whose name starts with
-    ``_`` or ``.``.
+    One listing over all names. Content is read only if a query uses it. Spark
+    lists no empty files and none whose name starts with ``_`` or ``.``.
     """
     base = corpus_dir.rstrip("/")
     found = (
@@ -41,21 +50,16 @@ def find_files(spark: SparkSession, corpus_dir: str, names: Sequence[str], glob:
         .option("pathGlobFilter", glob)
         .load([f"{base}/{name}" for name in names])
     )
-    start = len(_qualified(spark, base)) + 1
-    relative = F.substring(F.col("path"), F.lit(start), F.length("path"))
-    return found.select(F.concat(F.lit(base), relative).alias("path"), "content")
+    return relative_to(found, base)
 
 
-def empty_partners(corpus_dir: str, files: DataFrame, partners: DataFrame, suffix: str) -> DataFrame:
-    """The zero-byte ``suffix`` files beside those ``files`` that have none among ``partners``.
+def read_partners(corpus_dir: str, files: DataFrame, suffix: str) -> DataFrame:
+    """``path, content`` of the files named like ``files`` but with ``suffix``, where they exist.
 
-    Spark's listing leaves empty files out, yet an empty transcript is a valid
-    one. Only paths are compared, and only unpaired ones are looked up.
+    Opened one by one in the tasks, for short lists and small files.
     """
     base = corpus_dir.rstrip("/")
     root = _qualified(files.sparkSession, base)
-    stems = files.select(path_stem(F.col("path")).alias("stem"))
-    lonely = stems.join(partners.select(path_stem(F.col("path")).alias("stem")), "stem", "left_anti")
 
     def look_up(batches):
         if root.startswith("file:"):
@@ -63,12 +67,26 @@ def empty_partners(corpus_dir: str, files: DataFrame, partners: DataFrame, suffi
         else:
             system, folder = fs.FileSystem.from_uri(root)
         for batch in batches:
-            paths = [stem + suffix for stem in batch.column("stem").to_pylist()]
-            states = system.get_file_info([folder + path.removeprefix(base) for path in paths]) if paths else []
-            empty = [p for p, s in zip(paths, states) if s.type == fs.FileType.File and s.size == 0]
-            yield pa.RecordBatch.from_pydict({"path": empty, "content": [b""] * len(empty)}, _FILE)
+            for stem in batch.column("stem").to_pylist():
+                path = stem + suffix
+                place = folder + path.removeprefix(base)
+                if system.get_file_info(place).type == fs.FileType.File:
+                    with system.open_input_stream(place) as stream:
+                        content = stream.read()
+                    yield pa.RecordBatch.from_pydict({"path": [path], "content": [content]}, _FILE)
 
-    return lonely.mapInArrow(look_up, "path string, content binary")
+    return files.select(path_stem(F.col("path")).alias("stem")).mapInArrow(look_up, "path string, content binary")
+
+
+def unlisted_partners(corpus_dir: str, files: DataFrame, partners: DataFrame, suffix: str) -> DataFrame:
+    """The ``suffix`` files beside those ``files`` that have none among ``partners``.
+
+    Spark's listing leaves empty files out, yet an empty transcript is a valid
+    one. Only paths are compared, and only unpaired ones are looked up.
+    """
+    stem = path_stem(F.col("path")).alias("stem")
+    lonely = files.select("path", stem).join(partners.select(stem), "stem", "left_anti")
+    return read_partners(corpus_dir, lonely.select("path"), suffix)
 
 
 def recordings(spark: SparkSession, corpus_dir: str, names: Sequence[str]) -> DataFrame:
@@ -132,8 +150,8 @@ def corpus_files(
     """
     audio, texts = recordings(spark, corpus_dir, names), transcripts(spark, corpus_dir, names)
     if look_for_empty:
-        empty_texts = empty_partners(corpus_dir, audio, texts, ".txt")
-        empty_audio = empty_partners(corpus_dir, texts, audio, ".wav")
+        empty_texts = unlisted_partners(corpus_dir, audio, texts, ".txt")
+        empty_audio = unlisted_partners(corpus_dir, texts, audio, ".wav")
         audio, texts = audio.unionByName(empty_audio), texts.unionByName(empty_texts)
     return audio, texts
 

@@ -5,11 +5,10 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from parlato.sources.audio import accepted, pair, rejects
+from parlato.sources.audio import accepted, pair, read_partners, rejects, relative_to
 
 FILE = T.StructType(
     [
@@ -21,15 +20,6 @@ FILE = T.StructType(
 )
 
 
-def _sidecars(spark: SparkSession, audio: DataFrame) -> DataFrame:
-    """Transcripts in the folders of one batch of recordings; a batch has a bounded number of files."""
-    parent = F.regexp_replace("path", r"/[^/]*\z", "")
-    folders = [row.folder for row in audio.select(parent.alias("folder")).distinct().collect()]
-    return (
-        spark.read.format("binaryFile").option("pathGlobFilter", "*.txt").load(folders).select("path", "content")
-    )
-
-
 def ingest_audio(
     spark: SparkSession,
     corpus_dir: str,
@@ -52,11 +42,11 @@ def ingest_audio(
         .option("pathGlobFilter", "*.wav")
         .option("maxFilesPerTrigger", files_per_batch)
         .load(corpus_dir)
-        .select("path", "content")
     )
 
-    def store(audio: DataFrame, batch_id: int) -> None:
-        both = pair(audio, _sidecars(audio.sparkSession, audio), split_match)
+    def store(found: DataFrame, batch_id: int) -> None:
+        audio = relative_to(found, corpus_dir)
+        both = pair(audio, read_partners(corpus_dir, audio, ".txt"), split_match)
         accepted(both).write.mode("overwrite").parquet(f"{output}/utterances/batch={batch_id}")
         rejects(both).write.mode("overwrite").parquet(f"{output}/rejects/batch={batch_id}")
 
