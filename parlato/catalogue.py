@@ -50,7 +50,7 @@ def utterances(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def turn_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each user turn as a reference, the assistant turn that follows it as the hypothesis."""
-    turns = table(spark, sf_dir, "conversations")
+    turns = fill_cluster(table(spark, sf_dir, "conversations"))
     said = turns.filter("role = 'user'").select("conv_id", "turn", F.col("text").alias("ref"))
     answer = turns.filter("role = 'assistant'").select(
         "conv_id", (F.col("turn") - 1).alias("turn"), F.col("text").alias("hyp")
@@ -190,8 +190,7 @@ def assign_split_exact(spark, sf_dir):
 @query
 def assign_split_whole_table(spark, sf_dir):
     """One shard that holds every order."""
-    orders = table(spark, sf_dir, "orders").select("o_orderkey", F.lit("orders").alias("shard"))
-    return sampling.assign_split(orders, "o_orderkey", "shard")
+    return sampling.assign_split(table(spark, sf_dir, "orders").select("o_orderkey"), "o_orderkey", None)
 
 
 @query
@@ -316,7 +315,7 @@ def reference_last_wins(spark, sf_dir):
 
 
 def _names_and_references(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    docs = table(spark, sf_dir, "documents")
+    docs = fill_cluster(table(spark, sf_dir, "documents"))
     names = docs.select(F.concat(F.lit("doc_"), "doc_id", F.lit(".wav")).alias("name"))
     refs = docs.join(table(spark, sf_dir, "labels").select("doc_id", "quality"), "doc_id").select(
         F.concat(F.lit("doc_"), "doc_id", F.lit(".mp3")).alias("path"),
@@ -368,7 +367,7 @@ def script_names(spark, sf_dir):
 
 @query
 def trn_lines(spark, sf_dir):
-    rows = utterances(spark, sf_dir).select("utt_id", X.normalize(F.col("text")).alias("hyp"))
+    rows = fill_cluster(utterances(spark, sf_dir)).select("utt_id", X.normalize(F.col("text")).alias("hyp"))
     return transcripts.transcript_lines(rows, "hyp").select(F.col("value").alias("line"))
 
 
@@ -438,7 +437,7 @@ def shuffle_rank(spark, sf_dir):
 
 def _label_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Word lengths of each turn as its labels; three of four turns begin with token 1."""
-    turns = table(spark, sf_dir, "conversations")
+    turns = fill_cluster(table(spark, sf_dir, "conversations"))
     lengths = F.transform(X.words(X.normalize(F.col("text"))), F.length)
     start = F.when(F.col("conv_id") % 4 == 0, F.array().cast("array<int>")).otherwise(F.array(F.lit(1)))
     return turns.select(F.concat_ws("-", "conv_id", "turn").alias("key"), F.concat(start, lengths).alias("labels"))
@@ -488,7 +487,7 @@ def _pcm_file(n_frames: Column, rate: int) -> Column:
 
 def _audio_files(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """Each document as a recording and a transcript file; some lack one, some are damaged."""
-    docs = table(spark, sf_dir, "documents")
+    docs = fill_cluster(table(spark, sf_dir, "documents"))
     stem = F.concat(F.lit("corpus/"), "source", F.when(F.col("lang") == "en", "/test/").otherwise("/part/"), "doc_id")
     whole = _pcm_file(F.col("n_chars"), 100)
     content = F.when(F.col("doc_id") % 10 == 3, F.substring(whole, F.lit(1), F.lit(30))).otherwise(whole)

@@ -13,10 +13,11 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # The white space that transcripts are trimmed of and split on,
-# as the inside of a character class. Wider than Java's own \s.
+# as the inside of a character class. Wider than Java's own \s. Single characters
+# below 256 are one table look-up for Java, so they are not written as ranges.
 WS = (
-    r"\t\n\x0B\f\r\x1C-\x1F \x{85}\x{A0}\x{1680}\x{2000}-\x{200A}"
-    r"\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}"
+    r"\t\n\x0B\f\r\x1C\x1D\x1E\x1F \x85\xA0\x{1680}\x{2000}-\x{200A}"
+    r"\x{2028}-\x{2029}\x{202F}\x{205F}\x{3000}"
 )
 
 # Letters and numbers of Unicode 14.0 to 15.1, which a Java 17
@@ -84,24 +85,21 @@ def _base_letters() -> tuple[str, str, dict[str, str]]:
 def _decompose(text: Column) -> Column:
     """Take apart Hangul syllables and the few letters that become several letters."""
     _, _, longer = _base_letters()
+    parts = F.str_to_map(F.lit(",".join(f"{letter}:{base}" for letter, base in longer.items())))
 
     def jamo(first: int, count: int, index: Column) -> Column:
-        return F.element_at(F.array(*[F.lit(chr(first + i)) for i in range(count)]), index.cast("int") + 1)
+        letters = F.lit("".join(chr(first + i) for i in range(count)))
+        return F.substring(letters, index.cast("int") + 1, F.lit(1))
 
-    def syllable(char: Column) -> Column:
-        at = F.ascii(char) - _HANGUL.start
-        tail = F.pmod(at, F.lit(28))
-        return F.concat(
-            jamo(0x1100, 19, F.floor(at / 588)),
-            jamo(0x1161, 21, F.floor(F.pmod(at, F.lit(588)) / 28)),
-            F.when(tail == 0, "").otherwise(jamo(0x11A7, 28, tail)),
-        )
+    def syllable(at: Column) -> Column:
+        tail = at % 28
+        last = F.when(tail == 0, "").otherwise(jamo(0x11A7, 28, tail))
+        return F.concat(jamo(0x1100, 19, F.floor(at / 588)), jamo(0x1161, 21, F.floor(at % 588 / 28)), last)
 
     def expand(char: Column) -> Column:
-        out = F.when(F.ascii(char).between(_HANGUL.start, _HANGUL.stop - 1), syllable(char))
-        for letter, base in longer.items():
-            out = out.when(char == letter, base)
-        return out.otherwise(char)
+        at = F.ascii(char) - _HANGUL.start
+        is_hangul = at.between(0, len(_HANGUL) - 1)
+        return F.when(is_hangul, syllable(at)).otherwise(F.coalesce(F.try_element_at(parts, char), char))
 
     return F.array_join(F.transform(F.split(text, ""), expand), "")
 
@@ -167,12 +165,12 @@ def normalize_each(texts: Column, lowercase: bool = False) -> Column:
 
 
 def words(text: Column) -> Column:
-    """The words that scoring counts: split at spaces after runs of white space are closed up.
+    """The words that scoring counts: split at spaces, at runs of white space and at both ends.
 
     A lone tab or line feed inside the text stays inside its word.
     """
-    spaced = F.regexp_replace(strip_ws(text), f"[{WS}]{{2,}}", " ")
-    return F.filter(F.split(spaced, " "), lambda word: word != "")
+    border = rf"[{WS}](?:[{WS}]+|\z|(?<= )|(?<=\A[{WS}]))"
+    return F.filter(F.split(text, border), lambda word: word != "")
 
 
 def without_suffix(name: Column, suffix: str) -> Column:

@@ -28,9 +28,8 @@ def _bytes_at(content: Column, offset: Column, size: int) -> Column:
 
 def _number_at(content: Column, offset: Column, size: int) -> Column:
     """Little-endian unsigned integer at a byte offset."""
-    digits = _bytes_at(content, offset, size)
-    swapped = F.concat(*[F.substring(digits, 2 * (size - i) - 1, 2) for i in range(size)])
-    return F.conv(swapped, 16, 10).cast("long")
+    backwards = F.reverse(_bytes_at(content, offset, size))
+    return F.conv(F.regexp_replace(backwards, "(.)(.)", "$2$1"), 16, 10).cast("long")
 
 
 def _tag(name: str) -> Column:
@@ -78,8 +77,7 @@ def _walk(content: Column, steps: Column) -> Column:
     return F.aggregate(F.sequence(F.lit(1), steps), start, lambda seen, _: _step(content, seen))
 
 
-def wav_info(content: Column) -> Column:
-    """Struct of ``frames`` and ``samplerate``, null where the bytes are not a readable WAV."""
+def _info(content: Column) -> Column:
     is_wave = _bytes_at(content, F.lit(0), 4).isin("RIFF".encode().hex().upper(), "RF64".encode().hex().upper()) & (
         _bytes_at(content, F.lit(8), 4) == _tag("WAVE")
     )
@@ -95,6 +93,12 @@ def wav_info(content: Column) -> Column:
     return F.when(is_wave, _bind(found, info))
 
 
+def wav_info(content: Column) -> Column:
+    """Struct of ``frames`` and ``samplerate``, null where the bytes are not a readable WAV."""
+    # bound once: every look at a column would copy the whole recording out of its row
+    return _bind(content, _info)
+
+
 def seconds(info: Column) -> Column:
     """Duration of :func:`wav_info`'s result."""
     return _bind(info, lambda i: i["frames"] / i["samplerate"])

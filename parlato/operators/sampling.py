@@ -8,7 +8,7 @@ from collections.abc import Iterator, Sequence
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
+from pyspark.sql.window import Window, WindowSpec
 
 from parlato.functions.keys import hash_bucket, order_hash
 
@@ -21,6 +21,35 @@ def _shard_key(shard: str | Sequence[str]) -> Column:
     return F.col(shard) if isinstance(shard, str) else F.struct(*shard)
 
 
+def _hashed(df: DataFrame, seed: int, key: str, *others: Column) -> DataFrame:
+    narrow = df.select(F.col(key).alias("__key"), *others).withColumn("__hash", order_hash(seed, F.col("__key")))
+    return narrow.withColumn("__bucket", hash_bucket(F.col("__hash")))
+
+
+def _sample_ends(counts: DataFrame, whole: WindowSpec, fraction: float) -> DataFrame:
+    """The bucket in which each shard's sample ends, and how many of its rows are ``__need``-ed.
+
+    ``counts`` holds ``__bucket, __n``, at most one row per bucket and shard.
+    """
+    upto = whole.orderBy("__bucket").rowsBetween(Window.unboundedPreceding, 0)
+    totals = counts.withColumns(
+        {"__upto": F.sum("__n").over(upto), "__k": sample_size(F.sum("__n").over(whole), fraction)}
+    )
+    return totals.filter((F.col("__upto") >= F.col("__k")) & (F.col("__upto") - F.col("__n") < F.col("__k"))).withColumn(
+        "__need", F.col("__k") - F.col("__upto") + F.col("__n")
+    )
+
+
+def _nth_rows(candidates: DataFrame, *shard: str) -> DataFrame:
+    inside = Window.partitionBy(*shard, "__bucket").orderBy("__hash", "__key")
+    ranked = candidates.withColumn("__at", F.row_number().over(inside)).filter(F.col("__at") == F.col("__need"))
+    return ranked.select(
+        *[F.col(name).alias("shard") for name in shard],
+        F.col("__hash").alias("cut_hash"),
+        F.col("__key").alias("cut_key"),
+    )
+
+
 def sample_size(rows: Column, fraction: float = TEST_FRACTION) -> Column:
     """Test rows of a shard: the rounded-down share, one at least."""
     return F.greatest(F.lit(1), F.floor(rows * F.lit(float(fraction))).cast("long"))
@@ -35,64 +64,50 @@ def split_cutoffs(
     the bucket where the sample ends; only that bucket's rows are then ranked.
     Reads ``key`` and ``shard`` and no other column.
     """
-    narrow = df.select(_shard_key(shard).alias("__shard"), F.col(key).alias("__key")).withColumn(
-        "__hash", order_hash(seed, F.col("__key"))
-    )
-    narrow = narrow.withColumn("__bucket", hash_bucket(F.col("__hash")))
+    narrow = _hashed(df, seed, key, _shard_key(shard).alias("__shard"))
     counts = narrow.groupBy("__shard", "__bucket").agg(F.count("*").alias("__n"))
-    whole = Window.partitionBy("__shard")
-    upto = whole.orderBy("__bucket").rowsBetween(Window.unboundedPreceding, 0)
-    ends = (
-        counts.select(
-            "__shard",
-            "__bucket",
-            "__n",
-            F.sum("__n").over(upto).alias("__upto"),
-            sample_size(F.sum("__n").over(whole), fraction).alias("__k"),
-        )
-        .filter((F.col("__upto") >= F.col("__k")) & (F.col("__upto") - F.col("__n") < F.col("__k")))
-        .select(
-            F.col("__shard").alias("__end_shard"),
-            F.col("__bucket").alias("__end_bucket"),
-            (F.col("__k") - F.col("__upto") + F.col("__n")).alias("__need"),
-        )
+    ends = _sample_ends(counts, Window.partitionBy("__shard"), fraction).select(
+        F.col("__shard").alias("__end_shard"), F.col("__bucket").alias("__end_bucket"), "__need"
     )
     candidates = narrow.join(
-        ends,
-        F.col("__shard").eqNullSafe(F.col("__end_shard")) & (F.col("__bucket") == F.col("__end_bucket")),
-    )
-    inside = Window.partitionBy("__shard", "__bucket").orderBy("__hash", "__key")
-    return (
-        candidates.withColumn("__at", F.row_number().over(inside))
-        .filter(F.col("__at") == F.col("__need"))
-        .select(
-            F.col("__shard").alias("shard"), F.col("__hash").alias("cut_hash"), F.col("__key").alias("cut_key")
-        )
+        ends, F.col("__shard").eqNullSafe(F.col("__end_shard")) & (F.col("__bucket") == F.col("__end_bucket"))
     )
+    return _nth_rows(candidates, "__shard")
+
+
+def whole_table_cutoff(df: DataFrame, key: str, fraction: float = TEST_FRACTION, seed: int = SEED) -> DataFrame:
+    """:func:`split_cutoffs` for a table that is one shard: a single row."""
+    narrow = _hashed(df, seed, key)
+    counts = narrow.groupBy("__bucket").agg(F.count("*").alias("__n"))
+    # one count per bucket whatever the table's size, so one task can sum them up
+    ends = _sample_ends(counts, Window.partitionBy(), fraction).select("__bucket", "__need")
+    return _nth_rows(narrow.join(F.broadcast(ends), "__bucket"))
 
 
 def assign_split(
     df: DataFrame,
     key: str,
-    shard: str | Sequence[str],
+    shard: str | Sequence[str] | None,
     fraction: float = TEST_FRACTION,
     seed: int = SEED,
     split_col: str = "split",
 ) -> DataFrame:
     """``df`` with ``split_col`` set to ``test`` on an exact random sample of each shard, ``train`` elsewhere.
 
-    ``shard`` is a column or several; ``key`` must be unique within its shard. The result depends on seed, keys and
-    shards only. Rows meet one cutoff per shard, so where that table is small
-    enough to broadcast, as AQE measures it, no row of ``df`` is moved.
+    ``shard`` is a column, several, or None if all of ``df`` is one shard; ``key``
+    must be unique within its shard. The result depends on seed, keys and shards
+    only. Rows meet one cutoff per shard, so where that table is small enough to
+    broadcast, as AQE measures it, no row of ``df`` is moved.
     """
-    cuts = split_cutoffs(df, key, shard, fraction, seed)
-    cuts = cuts.select(F.col("shard").alias("__cut_shard"), "cut_hash", "cut_key")
     mine = F.struct(order_hash(seed, F.col(key)).alias("hash"), F.col(key).alias("key"))
     last = F.struct(F.col("cut_hash").alias("hash"), F.col("cut_key").alias("key"))
-    label = F.when(mine <= last, "test").otherwise("train")
+    if shard is None:
+        cut = whole_table_cutoff(df, key, fraction, seed).select(last).scalar()
+        return df.withColumn(split_col, F.when(mine <= cut, "test").otherwise("train"))
+    cuts = split_cutoffs(df, key, shard, fraction, seed).withColumnRenamed("shard", "__cut_shard")
     return (
         df.join(cuts, _shard_key(shard).eqNullSafe(F.col("__cut_shard")), "left")
-        .withColumn(split_col, label)
+        .withColumn(split_col, F.when(mine <= last, "test").otherwise("train"))
         .drop("__cut_shard", "cut_hash", "cut_key")
     )
 

@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from parlato.functions.edits import word_edits
 from parlato.functions.text import normalize, words
-from parlato.operators.filters import has_words
 
 
 def pair_edits(pairs: DataFrame, ref: str = "ref", hyp: str = "hyp", clean: bool = False) -> DataFrame:
@@ -21,12 +20,10 @@ def pair_edits(pairs: DataFrame, ref: str = "ref", hyp: str = "hyp", clean: bool
     if clean:
         sides = {name: normalize(side) for name, side in sides.items()}
     scored = pairs.withColumns(sides).withColumns(
-        {
-            "__ref_words": F.when(has_words(F.col("__ref")), words(F.col("__ref"))),
-            "__hyp_words": F.when(has_words(F.col("__ref")), words(F.col("__hyp"))),
-        }
+        {"__ref_words": words(F.col("__ref")), "__hyp_words": words(F.col("__hyp"))}
     )
-    kept = F.col("__ref_words").isNotNull()
+    # a text that is not blank has a word
+    kept = F.coalesce(F.size("__ref_words") > 0, F.lit(False))
     return scored.withColumns(
         {
             "edits": F.when(kept, word_edits(F.col("__ref_words"), F.col("__hyp_words"))),

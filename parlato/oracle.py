@@ -92,7 +92,7 @@ ORACLE: dict[str, str] = {
         0.0::DOUBLE AS original_audio_offset FROM utterances""",
     "map_row_function": "SELECT doc_id, lang || '-' || source AS label FROM documents WHERE n_chars % 2 = 0",
     "assign_split_exact": f"""WITH {LABELLED} SELECT utt_id, "OG_corpus", split FROM labelled""",
-    "assign_split_whole_table": """SELECT o_orderkey, 'orders' AS shard, CASE WHEN row_number() OVER (
+    "assign_split_whole_table": """SELECT o_orderkey, CASE WHEN row_number() OVER (
         ORDER BY md5('42:' || o_orderkey), o_orderkey) <= greatest(1, floor(count(*) OVER () * 0.048::DOUBLE))
         THEN 'test' ELSE 'train' END AS split FROM orders""",
     "split_report": f"""WITH {LABELLED} SELECT "OG_corpus", split, count(*) AS n_utterances,
