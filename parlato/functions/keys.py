@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 # Four hexadecimal digits: hash order is cut into this many even ranges.
 BUCKET_DIGITS = 4
+BUCKETS = 16**BUCKET_DIGITS
 
 
 def order_hash(seed: int, key: Column) -> Column:

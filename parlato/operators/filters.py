@@ -45,21 +45,26 @@ def has_words(text: Column) -> Column:
     return F.coalesce(strip_ws(text) != "", F.lit(False))
 
 
+def _faults(strict: bool) -> dict[str, Column]:
+    """What makes a stored row unusable. ``strict`` also refuses a null text, which otherwise passes."""
+    faults = {
+        "no audio": F.col("audio").isNull(),
+        "no audio bytes": F.col("audio.bytes").isNull(),
+        "no duration": F.col("duration").isNull(),
+    }
+    return {**faults, "no text": F.col("text").isNull()} if strict else faults
+
+
 def bad_row_reason(strict: bool = False) -> Column:
-    """Why a stored row cannot be used, null if it can.
-
-    ``strict`` also refuses a null text, which otherwise passes through.
-    """
-    reason = (
-        F.when(F.col("audio").isNull(), "no audio")
-        .when(F.col("audio.bytes").isNull(), "no audio bytes")
-        .when(F.col("duration").isNull(), "no duration")
-    )
-    return reason.when(F.col("text").isNull(), "no text") if strict else reason
+    """The first fault of a row, null if it has none."""
+    return F.coalesce(*[F.when(fault, name) for name, fault in _faults(strict).items()])
 
 
 def usable_rows(df: DataFrame, strict: bool = False) -> DataFrame:
-    return df.filter(bad_row_reason(strict).isNull())
+    """Rows without a fault; each test reaches the scan on its own."""
+    for fault in _faults(strict).values():
+        df = df.filter(~fault)
+    return df
 
 
 def unusable_rows(df: DataFrame, strict: bool = False) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from parlato.functions.keys import hash_bucket, order_hash
+from parlato.functions.keys import BUCKETS, hash_bucket, order_hash
 from parlato.session import scratch_path
 
 # A broadcast table of file offsets has one small row per file.
@@ -87,8 +87,17 @@ def shuffle_rank(df: DataFrame, key: str, seed: int = 42, out: str = "rank") ->
 
 
 def shuffled(df: DataFrame, key: str, seed: int = 42) -> DataFrame:
-    """All rows in a reproducible random order."""
-    return df.orderBy(order_hash(seed, F.col(key)), key)
+    """All rows in a reproducible random order, the same for any number of partitions.
+
+    Hashes are even, so equal ranges of them are known beforehand: rows go to
+    their range and are sorted there. A sort by range would read ``df`` twice, once
+    for a sample.
+    """
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    hashed = order_hash(seed, F.col(key))
+    bucket = F.conv(hash_bucket(hashed), 16, 10).cast("int")
+    target = F.floor(bucket * parts / BUCKETS).cast("int")
+    return df.repartitionById(parts, target).sortWithinPartitions(hashed, key)
 
 
 def reader_of(shard: Column, num_readers: int) -> Column:

@@ -11,11 +11,15 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window, WindowSpec
 
 from parlato.functions.keys import hash_bucket, order_hash
+from parlato.session import staged
 
 # Share of test rows and seed.
 TEST_FRACTION = 0.048
 SEED = 42
 
+# A cutoff takes some 150 bytes, so this many are a broadcast of about 150 MB.
+MAX_BROADCAST_SHARDS = 1_000_000
+
 
 def _shard_key(shard: str | Sequence[str]) -> Column:
     return F.col(shard) if isinstance(shard, str) else F.struct(*shard)
@@ -96,15 +100,18 @@ def assign_split(
 
     ``shard`` is a column, several, or None if all of ``df`` is one shard; ``key``
     must be unique within its shard. The result depends on seed, keys and shards
-    only. Rows meet one cutoff per shard, so where that table is small enough to
-    broadcast, as AQE measures it, no row of ``df`` is moved.
+    only. The cutoffs, one row per shard, are worked out first and stored. Up to
+    :data:`MAX_BROADCAST_SHARDS` of them are sent to the rows, so that no row of
+    ``df`` is moved; a planner that guesses their size would shuffle ``df`` first.
     """
     mine = F.struct(order_hash(seed, F.col(key)).alias("hash"), F.col(key).alias("key"))
     last = F.struct(F.col("cut_hash").alias("hash"), F.col("cut_key").alias("key"))
     if shard is None:
         cut = whole_table_cutoff(df, key, fraction, seed).select(last).scalar()
         return df.withColumn(split_col, F.when(mine <= cut, "test").otherwise("train"))
-    cuts = split_cutoffs(df, key, shard, fraction, seed).withColumnRenamed("shard", "__cut_shard")
+    cuts = staged(split_cutoffs(df, key, shard, fraction, seed), "cutoffs").withColumnRenamed("shard", "__cut_shard")
+    if cuts.count() <= MAX_BROADCAST_SHARDS:
+        cuts = F.broadcast(cuts)
     return (
         df.join(cuts, _shard_key(shard).eqNullSafe(F.col("__cut_shard")), "left")
         .withColumn(split_col, F.when(mine <= last, "test").otherwise("train"))
