@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 from parlato.functions import text as X
 from parlato.functions.edits import word_edit_distance
 from parlato.operators import batching, filters, lookup, numbering, report, sampling, scoring, union
-from parlato.plans.create import as_utterances
+from parlato.plans.create import as_utterances, label_splits, materialise_splits, table_to_shards
 from parlato.plans.evaluate import scoring_pairs
 from parlato.plans.prepare import prepared
 from parlato.plans.training import map_rows
@@ -233,6 +233,17 @@ def write_and_read_splits(spark, sf_dir):
     return shards.read_split(spark, path, "test").select("utt_id", "text", "duration", "OG_corpus", "split")
 
 
+@query
+def create_dataset(spark, sf_dir):
+    """A table to shards of 200 rows, test labels per shard, one train and one test table of them."""
+    source, dataset, labelled, final = (scratch_path(spark, "dataset") for _ in range(4))
+    as_utterances(utterances(spark, sf_dir)).write.parquet(source)
+    table_to_shards(spark, source, dataset, "YODAS", 200)
+    label_splits(spark, dataset, labelled, ["YODAS"], key="utt_id")
+    materialise_splits(spark, [labelled], final)
+    return spark.read.parquet(final).select("utt_id", "OG_corpus", "duration", "split")
+
+
 # --- shards ---------------------------------------------------------------------------------------
 
 
@@ -255,6 +266,11 @@ def shard_counts(spark, sf_dir):
     return numbering.count_per_shard(orders)
 
 
+@query
+def total_rows(spark, sf_dir):
+    return report.total_rows(table(spark, sf_dir, "lineitem"))
+
+
 @query
 def row_index_in_shard(spark, sf_dir):
     docs = numbering.number_by_file(table(spark, sf_dir, "documents").select("doc_id"), "n")

@@ -11,3 +11,8 @@ def split_report(df: DataFrame, corpus: str = "OG_corpus", split_col: str = "spl
     return df.groupBy(corpus, split_col).agg(
         F.count("*").alias("n_utterances"), F.sum("duration").alias("total_seconds")
     )
+
+
+def total_rows(df: DataFrame) -> DataFrame:
+    """``n_rows`` of a whole table, for Parquet out of the file footers."""
+    return df.agg(F.count("*").alias("n_rows"))

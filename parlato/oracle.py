@@ -103,6 +103,12 @@ ORACLE: dict[str, str] = {
         sum(length(text)) AS n_letters, sum(len({word_list("text")})) AS n_words FROM kept GROUP BY ALL""",
     "write_and_read_splits": f"""WITH {LABELLED} SELECT utt_id, {norm("text")} AS text, duration, "OG_corpus", split
         FROM labelled WHERE duration <= 30.0 AND split = 'test'""",
+    "create_dataset": f"""WITH {UTTERANCES}, placed AS (SELECT *, (row_number() OVER (ORDER BY utt_id::BIGINT) - 1) // 200
+        AS shard FROM utterances), labelled AS (SELECT *, CASE WHEN row_number() OVER (PARTITION BY shard
+        ORDER BY md5('42:' || utt_id), utt_id) <= greatest(1, floor(count(*) OVER (PARTITION BY shard) * 0.048::DOUBLE))
+        THEN 'test' ELSE 'train' END AS split FROM placed)
+        SELECT utt_id, 'yodas_granary' AS "OG_corpus", duration, split FROM labelled WHERE duration <= 30.0""",
+    "total_rows": "SELECT count(*) AS n_rows FROM lineitem",
     "shard_contiguous": "SELECT doc_id, (row_number() OVER (ORDER BY doc_id) - 1) // 200 AS shard FROM documents",
     "shard_by_key": """SELECT url, page_id, (row_number() OVER (ORDER BY url, page_id) - 1) // 100 AS shard
         FROM pages""",

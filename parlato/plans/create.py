@@ -16,7 +16,8 @@ from parlato.operators.numbering import number_by_file, number_by_key, shard_of
 from parlato.operators.sampling import SEED, TEST_FRACTION, assign_split
 from parlato.operators.union import union_shards
 from parlato.schema import UTTERANCE, conform, with_fillers
-from parlato.sources.audio import accepted, corpus_files, pair, rejects
+from parlato.session import staged
+from parlato.sources.audio import corpus_files, pair, recordings
 from parlato.sources.shards import ROWS_PER_AUDIO_SHARD, ROWS_PER_TABLE_SHARD, write_splits
 
 # The datasets built by default, and the one that comes as a table.
@@ -49,18 +50,20 @@ def audio_to_shards(
     """Write all named corpora as shards of exactly ``rows_per_shard`` rows, the last of each maybe short.
 
     Rows are numbered in path order without their audio. The bytes are read again
-    at the end, meet their number and go straight to the task that writes their
-    shard. Returns the rejects.
+    at the end, meet their number and go to the task that writes their shard.
+    Returns the rejects.
     """
     audio, texts = corpus_files(spark, corpus_dir, names, look_for_empty)
-    both = pair(audio, texts, split_match)
-    rows = accepted(both).withColumn("path", F.col("audio.path")).drop("audio")
+    narrow = pair(audio, texts, split_match).withColumn("path", F.col("audio.path")).drop("audio")
+    # stored, since sorting and the list of rejects would read all headers again
+    checked = staged(narrow, "checked")
     below = F.substring("path", F.lit(len(corpus_dir.rstrip("/")) + 2), F.length("path"))
-    numbered = number_by_key(rows.withColumn("name", F.split_part(below, F.lit("/"), F.lit(1))), ["name", "path"], "n")
+    rows = with_fillers(checked.filter(F.col("reason").isNull())).withColumn("name", F.split_part(below, F.lit("/"), F.lit(1)))
+    numbered = number_by_key(rows.drop("reason"), ["name", "path"], "n")
     # one row per dataset name, as many as the caller listed
     starts = F.broadcast(numbered.groupBy("name").agg(F.min("n").alias("start")))
     placed = numbered.join(starts, "name").withColumn("shard", shard_of(F.col("n") - F.col("start"), rows_per_shard))
-    whole = audio.join(placed.drop("n", "start"), "path").withColumn(
+    whole = recordings(spark, corpus_dir, names).join(placed.drop("n", "start"), "path").withColumn(
         "audio", F.struct(F.col("content").alias("bytes"), "path")
     )
     (
@@ -71,7 +74,7 @@ def audio_to_shards(
         .partitionBy("name", "shard")
         .parquet(dataset_dir)
     )
-    return rejects(both)
+    return checked.filter(F.col("reason").isNotNull()).select("path", "reason")
 
 
 def table_to_shards(
@@ -103,8 +106,9 @@ def read_dataset(
     df = spark.read.schema(schema).parquet(dataset_dir)
     if names is None:
         return df
+    files = df.inputFiles()
     for name in names:
-        if not any(f"/name={name}/" in file for file in df.filter(F.col("name") == name).inputFiles()):
+        if not any(f"/name={name}/" in file for file in files):
             raise FileNotFoundError(f"no shards of {name} in {dataset_dir}")
     return df.filter(F.col("name").isin(*names))
 
