@@ -8,9 +8,9 @@ from collections.abc import Iterator, Sequence
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window, WindowSpec
+from pyspark.sql.window import Window
 
-from parlato.functions.keys import hash_bucket, order_hash
+from parlato.functions.keys import HASH_DIGITS, hash_bucket, order_hash
 from parlato.session import staged
 
 # Share of test rows and seed.
@@ -21,37 +21,41 @@ SEED = 42
 MAX_BROADCAST_SHARDS = 1_000_000
 
 
-def _shard_key(shard: str | Sequence[str]) -> Column:
-    return F.col(shard) if isinstance(shard, str) else F.struct(*shard)
+# A bucket of this many (hash, key) rows is sorted by one task; larger ones are cut finer.
+MAX_SORTED_ROWS = 2_000_000
 
+# Hexadecimal digits per cut: 256 counts per shard at first, 4096 per bucket that is too large.
+_FIRST_DIGITS, _MORE_DIGITS = 2, 3
 
-def _hashed(df: DataFrame, seed: int, key: str, *others: Column) -> DataFrame:
-    narrow = df.select(F.col(key).alias("__key"), *others).withColumn("__hash", order_hash(seed, F.col("__key")))
-    return narrow.withColumn("__bucket", hash_bucket(F.col("__hash")))
 
+def _shard_key(shard: str | Sequence[str] | None) -> Column:
+    if shard is None:
+        return F.lit(0)
+    return F.col(shard) if isinstance(shard, str) else F.struct(*shard)
 
-def _sample_ends(counts: DataFrame, whole: WindowSpec, fraction: float) -> DataFrame:
-    """The bucket in which each shard's sample ends, and how many of its rows are ``__need``-ed.
 
-    ``counts`` holds ``__bucket, __n``, at most one row per bucket and shard.
+def _last_buckets(counts: DataFrame) -> DataFrame:
+    """The bucket in which each shard's sample ends, with the ``__need`` rows to take of its ``__n``.
+
+    ``counts`` holds ``__shard, __bucket, __n`` and the rows wanted of the shard, ``__k``.
     """
-    upto = whole.orderBy("__bucket").rowsBetween(Window.unboundedPreceding, 0)
-    totals = counts.withColumns(
-        {"__upto": F.sum("__n").over(upto), "__k": sample_size(F.sum("__n").over(whole), fraction)}
-    )
-    return totals.filter((F.col("__upto") >= F.col("__k")) & (F.col("__upto") - F.col("__n") < F.col("__k"))).withColumn(
-        "__need", F.col("__k") - F.col("__upto") + F.col("__n")
+    upto = Window.partitionBy("__shard").orderBy("__bucket").rowsBetween(Window.unboundedPreceding, 0)
+    return (
+        counts.withColumn("__upto", F.sum("__n").over(upto))
+        .filter((F.col("__upto") >= F.col("__k")) & (F.col("__upto") - F.col("__n") < F.col("__k")))
+        .select("__shard", "__bucket", "__n", (F.col("__k") - F.col("__upto") + F.col("__n")).alias("__need"))
     )
 
 
-def _nth_rows(candidates: DataFrame, *shard: str) -> DataFrame:
-    inside = Window.partitionBy(*shard, "__bucket").orderBy("__hash", "__key")
-    ranked = candidates.withColumn("__at", F.row_number().over(inside)).filter(F.col("__at") == F.col("__need"))
-    return ranked.select(
-        *[F.col(name).alias("shard") for name in shard],
-        F.col("__hash").alias("cut_hash"),
-        F.col("__key").alias("cut_key"),
-    )
+def _rows_of(rows: DataFrame, last: DataFrame) -> tuple[DataFrame, int]:
+    """The rows that lie in the ``last`` buckets, and the size of the largest of these."""
+    last = staged(last, "buckets")
+    size = last.agg(F.count("*").alias("shards"), F.max("__n").alias("largest")).first()
+    ends = last.select(F.col("__shard").alias("__s"), F.col("__bucket").alias("__b"), "__need")
+    if size.shards <= MAX_BROADCAST_SHARDS:
+        ends = F.broadcast(ends)
+    inside = F.col("__shard").eqNullSafe(F.col("__s")) & (F.col("__bucket") == F.col("__b"))
+    return rows.join(ends, inside).drop("__s", "__b"), size.largest or 0
 
 
 def sample_size(rows: Column, fraction: float = TEST_FRACTION) -> Column:
@@ -60,32 +64,37 @@ def sample_size(rows: Column, fraction: float = TEST_FRACTION) -> Column:
 
 
 def split_cutoffs(
-    df: DataFrame, key: str, shard: str | Sequence[str], fraction: float = TEST_FRACTION, seed: int = SEED
+    df: DataFrame,
+    key: str,
+    shard: str | Sequence[str] | None,
+    fraction: float = TEST_FRACTION,
+    seed: int = SEED,
+    max_sorted: int = MAX_SORTED_ROWS,
 ) -> DataFrame:
     """Per shard the last (hash, key) that is still a test row: ``shard, cut_hash, cut_key``.
 
-    A shard may be of any size. Its rows are counted per hash bucket, which finds
-    the bucket where the sample ends; only that bucket's rows are then ranked.
-    Reads ``key`` and ``shard`` and no other column.
+    A shard may be of any size. Its rows are counted per range of hashes, which
+    finds the range where the sample ends; that range alone is cut finer until one
+    task can sort it. Reads ``key`` and ``shard`` and no other column.
     """
-    narrow = _hashed(df, seed, key, _shard_key(shard).alias("__shard"))
-    counts = narrow.groupBy("__shard", "__bucket").agg(F.count("*").alias("__n"))
-    ends = _sample_ends(counts, Window.partitionBy("__shard"), fraction).select(
-        F.col("__shard").alias("__end_shard"), F.col("__bucket").alias("__end_bucket"), "__need"
-    )
-    candidates = narrow.join(
-        ends, F.col("__shard").eqNullSafe(F.col("__end_shard")) & (F.col("__bucket") == F.col("__end_bucket"))
+    narrow = df.select(_shard_key(shard).alias("__shard"), F.col(key).alias("__key"))
+    narrow = narrow.withColumn("__hash", order_hash(seed, F.col("__key")))
+    digits = _FIRST_DIGITS
+    rows = narrow.withColumn("__bucket", hash_bucket(F.col("__hash"), digits))
+    counts = rows.groupBy("__shard", "__bucket").agg(F.count("*").alias("__n"))
+    in_shard = F.sum("__n").over(Window.partitionBy("__shard"))
+    rows, largest = _rows_of(rows, _last_buckets(counts.withColumn("__k", sample_size(in_shard, fraction))))
+    while largest > max_sorted and digits + _MORE_DIGITS <= HASH_DIGITS:
+        digits += _MORE_DIGITS
+        # a 256th of the keys or less
+        rows = staged(rows.withColumn("__bucket", hash_bucket(F.col("__hash"), digits)), "candidates")
+        counts = rows.groupBy("__shard", "__bucket").agg(F.count("*").alias("__n"), F.max("__need").alias("__k"))
+        rows, largest = _rows_of(rows.drop("__need"), _last_buckets(counts))
+    inside = Window.partitionBy("__shard", "__bucket").orderBy("__hash", "__key")
+    ranked = rows.withColumn("__at", F.row_number().over(inside)).filter(F.col("__at") == F.col("__need"))
+    return ranked.select(
+        F.col("__shard").alias("shard"), F.col("__hash").alias("cut_hash"), F.col("__key").alias("cut_key")
     )
-    return _nth_rows(candidates, "__shard")
-
-
-def whole_table_cutoff(df: DataFrame, key: str, fraction: float = TEST_FRACTION, seed: int = SEED) -> DataFrame:
-    """:func:`split_cutoffs` for a table that is one shard: a single row."""
-    narrow = _hashed(df, seed, key)
-    counts = narrow.groupBy("__bucket").agg(F.count("*").alias("__n"))
-    # one count per bucket whatever the table's size, so one task can sum them up
-    ends = _sample_ends(counts, Window.partitionBy(), fraction).select("__bucket", "__need")
-    return _nth_rows(narrow.join(F.broadcast(ends), "__bucket"))
 
 
 def assign_split(
@@ -107,7 +116,7 @@ def assign_split(
     mine = F.struct(order_hash(seed, F.col(key)).alias("hash"), F.col(key).alias("key"))
     last = F.struct(F.col("cut_hash").alias("hash"), F.col("cut_key").alias("key"))
     if shard is None:
-        cut = whole_table_cutoff(df, key, fraction, seed).select(last).scalar()
+        cut = split_cutoffs(df, key, None, fraction, seed).select(last).scalar()
         return df.withColumn(split_col, F.when(mine <= cut, "test").otherwise("train"))
     cuts = staged(split_cutoffs(df, key, shard, fraction, seed), "cutoffs").withColumnRenamed("shard", "__cut_shard")
     if cuts.count() <= MAX_BROADCAST_SHARDS:

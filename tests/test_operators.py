@@ -36,6 +36,14 @@ def test_split_of_whole_table_and_of_two_columns(spark):
     assert split_counts(parts, "shard") == {0: (2500, 250), 1: (2500, 250)}
 
 
+def test_large_buckets_are_cut_finer(spark):
+    df = spark.range(6000).select(F.col("id").cast("string").alias("utt"), (F.col("id") % 4 > 0).alias("shard"))
+    for shard in ("shard", None):
+        plain = sampling.split_cutoffs(df, "utt", shard, 0.3)
+        finer = sampling.split_cutoffs(df, "utt", shard, 0.3, max_sorted=1)
+        assert sorted(plain.collect()) == sorted(finer.collect()) and plain.count() == (2 if shard else 1)
+
+
 def test_split_of_empty_table_has_no_rows(spark):
     df = spark.createDataFrame([], "utt string, shard string")
     assert sampling.assign_split(df, "utt", "shard").count() == 0
