@@ -31,8 +31,8 @@ def _short_distance(ref: Column, hyp: Column) -> Column:
 def bit_parallel_distance(left: Sequence[str], right: Sequence[str]) -> int:
     """Levenshtein distance of two word lists, one column of the table per big-integer step.
 
-    The bit-vector method of Myers (1999) in the form of Hyyrö (2003). Vertical
-    differences of +1 and -1 are the set bits of ``plus`` and ``minus``.
+    The bit-vector method of Myers (1999) in the form of Hyyrö (2003). The set bits
+    of ``plus`` and ``minus`` are the steps of +1 and -1 down the current column.
     """
     start, stop = 0, min(len(left), len(right))
     while start < stop and left[start] == right[start]:
@@ -50,19 +50,14 @@ def bit_parallel_distance(left: Sequence[str], right: Sequence[str]) -> int:
     for i, word in enumerate(rows):
         where[word] = where.get(word, 0) | (1 << i)
     full = (1 << len(rows)) - 1
-    bottom = 1 << (len(rows) - 1)
-    plus, minus, distance = full, 0, len(rows)
+    plus, minus = full, 0
     for word in columns:
-        equal = where.get(word, 0)
-        diagonal = ((((equal & plus) + plus) ^ plus) | equal | minus) & full
-        across_plus = minus | (full ^ (diagonal | plus))
-        across_minus = plus & diagonal
-        distance += bool(across_plus & bottom) - bool(across_minus & bottom)
-        across_plus = ((across_plus << 1) | 1) & full
-        across_minus = (across_minus << 1) & full
-        plus = across_minus | (full ^ (diagonal | across_plus))
-        minus = across_plus & diagonal
-    return distance
+        level = where.get(word, 0) | minus
+        level = (((level & plus) + plus) ^ plus | level) & full
+        risen = ((minus | (full ^ (plus | level))) << 1 | 1) & full
+        fallen = ((plus & level) << 1) & full
+        plus, minus = fallen | (full ^ (risen | level)), risen & level
+    return len(columns) + plus.bit_count() - minus.bit_count()
 
 
 @F.pandas_udf(T.IntegerType())

@@ -7,14 +7,16 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-# AQE re-plans joins from measured sizes and splits skewed shuffle partitions.
-# Audio rows are large: smaller scan splits and column batches keep tasks in memory.
+# AQE re-plans joins from measured sizes and splits skewed shuffle partitions. Audio
+# rows are large, so readers and Arrow batches hold few of them at a time.
 RECOMMENDED = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
+    "spark.sql.parquet.columnarReaderBatchSize": "512",
     "spark.sql.files.maxPartitionBytes": "128m",
 }
 
@@ -35,14 +37,14 @@ def shared_dir(spark: SparkSession) -> str:
     Only a local session may go without it; a cluster must name one, since a
     folder of one machine would lose its files with that machine.
     """
-    named = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    named = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if named:
         return named.rstrip("/")
-    if not spark.conf.get("spark.master", "").startswith("local"):
+    if not context.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    folder = tempfile.mkdtemp(prefix="parlato-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    context.setCheckpointDir(tempfile.mkdtemp(prefix="parlato-"))
+    return context.getCheckpointDir().rstrip("/")
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
