@@ -114,20 +114,17 @@ def collapse_ws(text: Column) -> Column:
     return F.trim(F.regexp_replace(text, f"[{WS}]+", " "))
 
 
-def _drop_between(text: Column, start: str, end: str) -> Column:
-    return _bind(
-        text,
-        lambda t: F.when(
-            F.contains(t, F.lit(start)), F.regexp_replace(t, rf"\{start}[^\{end}\n]*+\{end}", " ")
-        ).otherwise(t),
-    )
-
-
 def drop_annotations(text: Column) -> Column:
     """Bracketed notes to spaces, one kind after the other, never across a line feed."""
-    for start, end in BRACKETS:
-        text = _drop_between(text, start, end)
-    return text
+
+    def clean(t: Column) -> Column:
+        has_any, cleaned = F.lit(False), t
+        for start, end in BRACKETS:
+            has_any = has_any | F.contains(t, F.lit(start))
+            cleaned = F.regexp_replace(cleaned, rf"\{start}[^\{end}\n]*+\{end}", " ")
+        return F.when(has_any, cleaned).otherwise(t)
+
+    return _bind(text, clean)
 
 
 def fold_accents(text: Column) -> Column:
