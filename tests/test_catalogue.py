@@ -1,9 +1,11 @@
-"""Every query against its SQL on the same tables."""
+"""Every query of the library against its SQL on the same tables."""
 
 import pytest
 
 import __spark_entry__ as entry
 from oracle_check import arranged, connect, same, sql_rows
+from parlato.catalogue import QUERIES
+from parlato.oracle import ORACLE
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -15,15 +17,15 @@ def con():
 
 def test_every_sql_has_a_query():
     assert set(entry.oracle_sql()) <= set(entry.queries())
-    assert set(entry.queries()) - set(entry.oracle_sql()) == {"assign_split_by_position"}
+    assert set(QUERIES) - set(ORACLE) == {"assign_split_by_position"}
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, con, name):
-    df = entry.queries()[name](spark, FOLDER)
+    df = QUERIES[name](spark, FOLDER)
     mine = arranged(df.columns, [tuple(row) for row in df.collect()])
-    if name in entry.oracle_sql():
-        assert same(mine, arranged(*sql_rows(con, entry.oracle_sql()[name])))
+    if name in ORACLE:
+        assert same(mine, arranged(*sql_rows(con, ORACLE[name])))
     else:
         assert mine[1]
 
