@@ -10,6 +10,7 @@ from parlato.llm.bpe import op6_bpe_roundtrip
 from parlato.llm.fingerprints import op4_fingerprints
 from parlato.llm.langid import op9_language_id
 from parlato.llm.mixing import op5_mix_sources
+from parlato.llm.repeats import OP3_SQL, op3_repeated_windows
 from parlato.llm.secret_scan import op8_secret_scan
 from parlato.llm.topk import OP2_SQL, op2_exact_top_k
 from parlato.llm.warc import OP1_SQL, op1_warc_revisits
@@ -17,6 +18,7 @@ from parlato.llm.warc import OP1_SQL, op1_warc_revisits
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc_revisits": op1_warc_revisits,
     "op2_exact_top_k": op2_exact_top_k,
+    "op3_repeated_windows": op3_repeated_windows,
     "op4_fingerprints": op4_fingerprints,
     "op5_mix_sources": op5_mix_sources,
     "op6_bpe_roundtrip": op6_bpe_roundtrip,
@@ -27,4 +29,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 ORACLE: dict[str, str] = {
     "op1_warc_revisits": OP1_SQL,
     "op2_exact_top_k": OP2_SQL,
+    "op3_repeated_windows": OP3_SQL,
 }

@@ -214,9 +214,11 @@ class Network:
         p = self.probabilities(windows)
         keyed = np.array([is_keyed(w) for w in windows])
         for place in (True, False):
-            mine = np.sort(p[(labels == 1) & (keyed == place)])
-            if len(mine):
-                kept = mine[int(np.floor((1 - RECALL) * len(mine)))]
+            mine = (labels == 1) & (keyed == place)
+            # a place without findings takes the threshold of all
+            found = np.sort(p[mine if mine.any() else labels == 1])
+            if len(found):
+                kept = found[int(np.floor((1 - RECALL) * len(found)))]
                 self.thresholds[place] = max(LEAST_PROBABILITY, float(kept))
 
     def probabilities(self, windows: list[str]) -> np.ndarray:
