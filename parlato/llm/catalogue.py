@@ -8,8 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 
 from parlato.llm.bpe import op6_bpe_roundtrip
 from parlato.llm.fingerprints import op4_fingerprints
+from parlato.llm.html_text import op10_html_text
 from parlato.llm.langid import op9_language_id
 from parlato.llm.mixing import op5_mix_sources
+from parlato.llm.neardup import op7_near_duplicates
 from parlato.llm.repeats import OP3_SQL, op3_repeated_windows
 from parlato.llm.secret_scan import op8_secret_scan
 from parlato.llm.topk import OP2_SQL, op2_exact_top_k
@@ -22,8 +24,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_fingerprints": op4_fingerprints,
     "op5_mix_sources": op5_mix_sources,
     "op6_bpe_roundtrip": op6_bpe_roundtrip,
+    "op7_near_duplicates": op7_near_duplicates,
     "op8_secret_scan": op8_secret_scan,
     "op9_language_id": op9_language_id,
+    "op10_html_text": op10_html_text,
 }
 
 ORACLE: dict[str, str] = {

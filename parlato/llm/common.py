@@ -4,10 +4,12 @@ from __future__ import annotations
 
 import math
 from array import array
-from collections.abc import Iterable, Sequence
+from bisect import bisect_right
+from collections.abc import Callable, Iterable, Iterator, Sequence
 from hashlib import blake2b
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -147,3 +149,36 @@ def cuts_of(keys: DataFrame, rows_per_range: int, total: int) -> list[str]:
     sample = sorted(row[0] for row in picked.collect())
     step = len(sample) / ranges
     return sorted({sample[int(step * i)] for i in range(1, ranges)}) if step >= 1 else sample
+
+
+def in_ranges(
+    rows: DataFrame, range_rows: int, guests: Callable[[list[tuple[int, str, str]]], dict[str, list[int]]]
+) -> DataFrame:
+    """``rows`` with ``range`` and ``guest``: cut into ranges of the order of their text column ``order``.
+
+    ``guests`` gets ``range, first, last`` of every range, in order, and tells by
+    order keys which rows also go to which other ranges; so neighbours meet
+    although each range is worked on by itself. What the driver holds is a few
+    keys for each range.
+    """
+    keys = rows.select("order")
+    context = rows.sparkSession.sparkContext
+    cuts = context.broadcast(cuts_of(keys, range_rows, keys.count()))
+
+    def ranges(order: pd.Series) -> pd.Series:
+        return order.map(lambda key: bisect_right(cuts.value, key)).astype("int32")
+
+    held = keys.select("order", F.pandas_udf(ranges, "int")("order").alias("range"))
+    ends = held.groupBy("range").agg(F.min("order").alias("first"), F.max("order").alias("last")).collect()
+    places = context.broadcast(guests(sorted((e["range"], e["first"], e["last"]) for e in ends)))
+
+    def placed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            yield batch.assign(range=ranges(batch["order"]), guest=False)
+            again = batch[batch["order"].map(places.value.__contains__).astype(bool)]
+            if len(again):
+                again = again.assign(range=again["order"].map(places.value), guest=True).explode("range")
+                yield again.astype({"range": "int32"})
+
+    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema)
+    return rows.mapInPandas(placed, f"{kinds}, range int, guest boolean")

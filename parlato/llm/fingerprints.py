@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-from bisect import bisect_right
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterable
 from decimal import Decimal
 
 import numpy as np
@@ -11,7 +10,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parlato.llm.common import Windows, cuts_of, stage, table
+from parlato.llm.common import Windows, in_ranges, stage, table
 
 SHINGLE = 5
 PERMUTATIONS = 128
@@ -152,25 +151,11 @@ def compare_with_next(docs: DataFrame, range_rows: int = RANGE_ROWS) -> DataFram
     number = F.lpad((F.col("doc_id").cast("decimal(20,0)") + F.lit(Decimal(1 << 63)).cast("decimal(20,0)")).cast("string"), 20, "0")
     tie = F.sha1(F.coalesce("text", F.lit("")))
     rows = docs.select("text", F.concat(F.coalesce(number, F.lit("-")), F.lit("/"), tie).alias("order"))
-    keys = rows.select("order")
-    cuts = docs.sparkSession.sparkContext.broadcast(cuts_of(keys, range_rows, keys.count()))
 
-    def ranges(order: pd.Series) -> pd.Series:
-        return order.map(lambda x: bisect_right(cuts.value, x)).astype("int32")
+    def guests(ends: list[tuple[int, str, str]]) -> dict[str, list[int]]:
+        return {last: [ends[(i + 1) % len(ends)][0]] for i, (_, _, last) in enumerate(ends)}
 
-    last = keys.select("order", F.pandas_udf(ranges, "int")("order").alias("range"))
-    ends = sorted((r["range"], r["last"]) for r in last.groupBy("range").agg(F.max("order").alias("last")).collect())
-    guests = {last: ends[(i + 1) % len(ends)][0] for i, (_, last) in enumerate(ends)}
-    sent = docs.sparkSession.sparkContext.broadcast(guests)
-
-    def with_guests(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            yield batch.assign(range=ranges(batch["order"]), guest=False)
-            again = batch[batch["order"].map(sent.value.__contains__)]
-            if len(again):
-                yield again.assign(range=again["order"].map(sent.value), guest=True)
-
-    rows = rows.mapInPandas(with_guests, "text string, order string, range int, guest boolean")
+    rows = in_ranges(rows, range_rows, guests)
     made = rows.groupBy("range").applyInPandas(
         _compared,
         "order string, n_chars long, edited string, fingerprint string, edited_fingerprint string,"

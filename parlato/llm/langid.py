@@ -142,6 +142,20 @@ def identify(docs: DataFrame, text: str, model: Model) -> DataFrame:
     return made.select(*kept, "__lang.lang_pred", "__lang.score")
 
 
+def in_known_language(docs: DataFrame, text: str, label: str, least: float = 0.5) -> DataFrame:
+    """``docs`` without the rows whose text is in no language that the labelled rows teach.
+
+    Those are texts without letters, null ones and those whose best label is less
+    probable than ``least``. A null label is filled with the one found.
+    """
+    columns = docs.columns
+    model = learn(docs.select(F.col(text).alias("text"), F.col(label).alias("label")))
+    made = identify(docs.select(F.struct(*columns).alias("row"), F.col(text).alias("text")), "text", model)
+    made = made.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least))
+    filled = F.coalesce(F.col(f"row.{label}"), "lang_pred").alias(label)
+    return made.select(*[filled if c == label else F.col(f"row.`{c}`") for c in columns])
+
+
 def held_out(key: Column) -> Column:
     """Whether crc32 of the key as text leaves 1 when divided by 3; a null key counts as an empty text."""
     return F.crc32(F.coalesce(key.cast("string"), F.lit("")).cast("binary")) % 3 == 1

@@ -9,6 +9,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from parlato.llm.common import mix, n_words, stage, table
 from parlato.operators.numbering import number_by_key
@@ -180,6 +181,22 @@ def copies(docs: DataFrame, weights=WEIGHTS, most: float = MAX_COPIES, seed: int
     )
 
 
+def mix_rows(docs: DataFrame, weights=WEIGHTS, most: float = MAX_COPIES, seed: int = 0) -> DataFrame:
+    """``docs`` with each row as often as :func:`copies` takes it; rows with no copies go.
+
+    Equal rows share their copies evenly.
+    """
+    mixed = copies(docs.select("doc_id", "text", "source"), weights, most, seed)
+    taken = mixed.groupBy("doc_id", "h").agg(F.sum("copies").alias("__all"), F.count("*").alias("__rows"))
+    taken = stage(taken.where("__all > 0").withColumnsRenamed({"doc_id": "__id", "h": "__h"}), "mix-copies")
+    rows = docs.withColumn("__own", F.xxhash64(F.lit(seed), "doc_id", "text"))
+    rows = rows.join(taken, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__own") == F.col("__h")))
+    turn = F.row_number().over(Window.partitionBy("__id", "__h").orderBy("__own"))
+    rows = rows.withColumn("__n", F.expr("__all div __rows") + (turn <= F.col("__all") % F.col("__rows")).cast("long"))
+    times = F.array_repeat(F.lit(0), F.col("__n").cast("int"))
+    return rows.withColumn("__copy", F.explode(times)).select(*docs.columns)
+
+
 def op5_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = copies(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
     return mixed.select(

@@ -283,23 +283,56 @@ def with_spans(found: DataFrame, network: Network | None) -> DataFrame:
 
     @F.pandas_udf("array<string>")
     def run(values: pd.DataFrame) -> pd.Series:
-        spans = [list(b) for b in values["base"]]
-        if sent.value is not None:
-            flat = [
-                (row, s, e, w)
-                for row, (ss, es, ls, ws) in enumerate(zip(values["starts"], values["ends"], values["labels"], values["windows"], strict=True))
-                for s, e, k, w in zip(ss, es, ls, ws, strict=True)
-                if k == 0
-            ]
-            p = sent.value.probabilities([w for *_, w in flat])
-            for (row, s, e, w), score in zip(flat, p, strict=True):
-                if score >= sent.value.thresholds[is_keyed(w)]:
-                    spans[row].append(f"model:{s}:{e}")
-        return pd.Series([sorted(x, key=_place) for x in spans])
+        columns = [values[c] for c in ("base", "starts", "ends", "labels", "windows")]
+        return pd.Series(all_spans(list(zip(*columns, strict=True)), sent.value))
 
     return found.withColumn("spans", run("found"))
 
 
+def all_spans(rows: list[tuple], network: Network | None) -> list[list[str]]:
+    """Spans in order for rows of base spans, starts, ends, labels and windows."""
+    spans = [list(base) for base, *_ in rows]
+    if network is not None:
+        flat = [
+            (row, s, e, w)
+            for row, (_, starts, ends, labels, windows) in enumerate(rows)
+            for s, e, k, w in zip(starts, ends, labels, windows, strict=True)
+            if k == 0
+        ]
+        for (row, s, e, w), p in zip(flat, network.probabilities([w for *_, w in flat]), strict=True):
+            if p >= network.thresholds[is_keyed(w)]:
+                spans[row].append(f"model:{s}:{e}")
+    return [sorted(x, key=_place) for x in spans]
+
+
+def without(text: str, spans: list[str], mark: str) -> str:
+    """``text`` with each span, or run of spans that overlap, replaced by ``mark``."""
+    out, at = [], 0
+    for _, start, end in (s.split(":") for s in spans):
+        if int(start) >= at:
+            out += [text[at : int(start)], mark]
+        at = max(at, int(end))
+    return "".join(out) + text[at:]
+
+
+def redact(docs: DataFrame, text: str, mark: str = "[secret]") -> DataFrame:
+    """``docs`` with every secret in ``text`` replaced by ``mark``; null texts stay null, no row is left out.
+
+    One pass over the texts gathers what the network learns from, a second one
+    scans, scores and replaces.
+    """
+    network = train(stage(findings(docs.select(text), text), "secrets"))
+    sent = docs.sparkSession.sparkContext.broadcast(network)
+
+    @F.pandas_udf("string")
+    def run(texts: pd.Series) -> pd.Series:
+        found = [scan(t) for t in texts]
+        spans = all_spans([f[3:] for f in found], sent.value)
+        return pd.Series([without(t, s, mark) if s else t for t, s in zip(texts, spans, strict=True)], dtype=object)
+
+    return docs.withColumn(text, run(F.col(text)))
+
+
 def _place(span: str) -> tuple[int, int, int]:
     kind, start, end = span.split(":")
     return int(start), KINDS.index(kind), int(end)
