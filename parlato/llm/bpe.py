@@ -32,8 +32,8 @@ class Automaton:
     """The automaton whose paths are the correct tokenizations, one arc a token.
 
     It starts with one state and a loop for each letter. Each merge ``a b -> c``,
-    in order, puts in one gadget: wherever ``a`` leaves a state an arc ``c`` leaves
-    it too; ``c`` leads to a copy of the state after ``b``; and the state after
+    in order, puts in one gadget, provided ``b`` can follow ``a`` at that time:
+    wherever ``a`` leaves a state an arc ``c`` leaves it too; ``c`` leads to a copy of the state after ``b``; and the state after
     ``a`` loses its arc ``b``. All arcs of one label lead to one state, so the
     state is named by the last token read. ``left``, ``right`` and ``time`` keep
     the gadgets; the transition table is filled from them, an entry when it is
@@ -49,15 +49,21 @@ class Automaton:
         self.left: dict[int, int] = {}
         self.right: dict[int, int] = {}
         self.time: dict[int, int] = {}
+        made = {a + b for a, b in merges}
+        arcs = {i for t, i in vocabulary.items() if t not in made}
         for time, (a, b) in enumerate(merges):
-            x, y = vocabulary[a], vocabulary[b]
-            z = vocabulary[a + b]
-            self.removed[x, y] = time
-            self.left[z], self.right[z], self.time[z] = x, y, time
+            x, y, z = vocabulary[a], vocabulary[b], vocabulary[a + b]
+            # earlier merges may keep the two from ever meeting
+            if x in arcs and y in arcs and self._arc(x, y, time):
+                self.removed[x, y] = time
+                self.left[z], self.right[z], self.time[z] = x, y, time
+                arcs.add(z)
         self.table: dict[tuple[int, int], bool] = {}
         # letters lead from node to node; 0 and 1 hold the arc that ends there, inside a word or at its end
         self.spelling: dict = {}
         for token, label in vocabulary.items():
+            if label not in arcs:
+                continue
             node = self.spelling
             for letter in token.removesuffix(suffix):
                 node = node.setdefault(letter, {})

@@ -49,8 +49,8 @@ def _is_chrome(name: str, attributes: str, inside: bool) -> bool:
     """Whether an element surrounds articles; a header or footer inside an article is part of it unless named otherwise."""
     if name in SKIPPED and not (inside and name == "header"):
         return True
-    if "=" not in attributes:
-        return bool(re.search(r"(?:^|\s)hidden(?:\s|/|$)", attributes))
+    if "hidden" in attributes.lower() and "hidden" in ATTRIBUTE.sub(" ", attributes).lower().split():
+        return True
     for key, *values in ATTRIBUTE.findall(attributes):
         key, value = key.lower(), next((v for v in values if v), "").lower()
         if key in ("class", "id") and name not in ("body", "html", "article", "main"):
