@@ -16,13 +16,13 @@ from pyspark.sql import types as T
 from parlato.functions import text as X
 from parlato.functions.edits import word_edit_distance
 from parlato.operators import batching, filters, lookup, numbering, report, sampling, scoring, union
-from parlato.plans.create import as_utterances, label_splits, materialise_splits, table_to_shards
-from parlato.plans.evaluate import scoring_pairs
+from parlato.plans.create import as_utterances, label_splits, materialise_splits, read_dataset, table_to_shards
+from parlato.plans.evaluate import evaluate, scoring_pairs
 from parlato.plans.prepare import prepared
 from parlato.plans.training import map_rows
 from parlato.session import fill_cluster, scratch_path
 from parlato.sources import audio, shards, tables, transcripts
-from parlato.sources.arrow_ipc import read_arrow, write_arrow
+from parlato.sources.arrow_ipc import first_arrow_rows, read_arrow, write_arrow
 from parlato.streaming.ingest import append_stream, stream_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -195,7 +195,7 @@ def assign_split_whole_table(spark, sf_dir):
 
 @query
 def assign_split_by_position(spark, sf_dir):
-    """The older sampler's own positions, on shards of 200 stored rows. No SQL form."""
+    """The older sampler's own positions, on shards of 200 stored rows."""
     docs = numbering.number_by_file(table(spark, sf_dir, "documents").select("doc_id"), "n")
     placed = docs.withColumns(
         {"shard": numbering.shard_of(F.col("n"), 200), "idx": numbering.index_in_shard(F.col("n"), 200)}
@@ -205,9 +205,11 @@ def assign_split_by_position(spark, sf_dir):
 
 @query
 def split_report(spark, sf_dir):
-    rows = utterances(spark, sf_dir).select("utt_id", "duration", "OG_corpus")
+    """All split values before any filter; some rows have a third one and some none."""
+    rows = utterances(spark, sf_dir).select("utt_id", "duration", "OG_corpus", "lang")
     labelled = sampling.assign_split(rows, "utt_id", "OG_corpus")
-    sums = report.split_report(filters.known_splits(filters.at_most(labelled)))
+    other = F.when(F.col("lang") == "es", None).when(F.col("lang") == "de", "validation").otherwise(F.col("split"))
+    sums = report.split_report(labelled.withColumn("split", other))
     return sums.withColumn("total_seconds", F.round("total_seconds", 2))
 
 
@@ -226,11 +228,12 @@ def prepare_corpus(spark, sf_dir):
 
 @query
 def write_and_read_splits(spark, sf_dir):
-    """Train and test written in one pass, the test folder read back."""
+    """Train and test written in one pass, both folders read back."""
     path = scratch_path(spark, "splits")
     rows = sampling.assign_split(utterances(spark, sf_dir), "utt_id", "OG_corpus")
     shards.write_splits(prepared(rows), path)
-    return shards.read_split(spark, path, "test").select("utt_id", "text", "duration", "OG_corpus", "split")
+    both = shards.read_split(spark, path, "test").unionByName(shards.read_split(spark, path, "train"))
+    return both.select("utt_id", "text", "duration", "OG_corpus", "split")
 
 
 @query
@@ -244,6 +247,29 @@ def create_dataset(spark, sf_dir):
     return spark.read.parquet(final).select("utt_id", "OG_corpus", "duration", "split")
 
 
+@query
+def sharded_again(spark, sf_dir):
+    """Shards of 200 rows, then of 500 into the same place: the second cut is all that is left."""
+    source, dataset = scratch_path(spark, "dataset"), scratch_path(spark, "dataset")
+    as_utterances(utterances(spark, sf_dir)).write.parquet(source)
+    for rows_per_shard in (200, 500):
+        table_to_shards(spark, source, dataset, "YODAS", rows_per_shard)
+    return read_dataset(spark, dataset).select("utt_id", "name", "shard")
+
+
+@query
+def label_splits_repeated_key(spark, sf_dir):
+    """Exact test rows of stored shards by a key that repeats in them, told apart by place."""
+    source, dataset, labelled = (scratch_path(spark, "dataset") for _ in range(3))
+    as_utterances(utterances(spark, sf_dir)).write.parquet(source)
+    table_to_shards(spark, source, dataset, "YODAS", 200)
+    label_splits(spark, dataset, labelled, ["YODAS"], key="OG_corpus")
+    rows = read_dataset(spark, labelled)
+    return rows.groupBy("shard").agg(
+        F.count("*").alias("n_rows"), F.sum((F.col("split") == "test").cast("int")).alias("n_test")
+    )
+
+
 # --- shards ---------------------------------------------------------------------------------------
 
 
@@ -318,6 +344,14 @@ def arrow_ipc_roundtrip(spark, sf_dir):
     return read_arrow(spark, path, ["doc_id", "lang", "text"])
 
 
+@query
+def arrow_head_rows(spark, sf_dir):
+    """The first thirty rows of Arrow files."""
+    path = scratch_path(spark, "arrow")
+    write_arrow(table(spark, sf_dir, "documents").coalesce(1), path)
+    return first_arrow_rows(spark, path, 30, lambda names: ["doc_id", "source"])
+
+
 # --- references and scoring -------------------------------------------------------------------------
 
 
@@ -374,11 +408,14 @@ def references_from_csv(spark, sf_dir):
 def script_names(spark, sf_dir):
     """Names out of command lines; lines of other programs do not count."""
     docs = table(spark, sf_dir, "documents")
-    called = F.when(F.col("doc_id") % 3 == 0, "python other.py /home/docker/").otherwise(
-        "python doasr_home.py  /home/docker/"
-    )
-    lines = docs.select(F.concat(called, F.lit("clip_"), "doc_id", F.lit(".wav --beam 1")).alias("value"))
-    return transcripts.names_in_lines(lines)
+    return transcripts.names_in_lines(docs.select(_script_line(F.lit("clip_")).alias("value")))
+
+
+def _script_line(stem: Column) -> Column:
+    """A command line that names ``stem`` and the document; every third is one of another program."""
+    program = F.when(F.col("doc_id") % 3 == 0, "other.py").otherwise(transcripts.SCRIPT_PROGRAM)
+    name = F.concat(F.lit(transcripts.SCRIPT_FOLDER), stem, F.col("doc_id").cast("string"), F.lit(".wav"))
+    return F.concat_ws(" ", F.lit("python"), program, F.lit(""), name, F.lit("--beam 1"))
 
 
 @query
@@ -443,6 +480,29 @@ def evaluate_hypotheses(spark, sf_dir):
     return scoring.score(pairs)
 
 
+@query
+def evaluate_files(spark, sf_dir):
+    """The whole scoring job on files: script, references with repeated paths, transcripts in order, score."""
+    script, output = scratch_path(spark, "script"), scratch_path(spark, "evaluated")
+    references = scratch_path(spark, "references") + ".csv"
+    docs = table(spark, sf_dir, "documents")
+    docs.select(_script_line(F.lit("doc_"))).write.text(script)
+    _, refs = _names_and_references(spark, sf_dir)
+    # the first row of each path is overruled by the second, unless that has too few votes
+    twice = refs.select(
+        "path",
+        F.explode(F.array(F.struct(F.lit("nothing").alias("sentence"), F.lit(1).alias("up_votes")), F.struct("sentence", "up_votes"))).alias("r"),
+    )
+    twice.select("path", "r.sentence", "r.up_votes").write.csv(references, header=True, quote='"', escape='"')
+    hyps = docs.select(
+        F.concat(F.lit("doc_"), "doc_id", F.lit(".wav")).alias("name"), misheard(X.normalize(F.col("text"))).alias("hyp")
+    )
+    total = evaluate(spark, script, references, hyps, output, votes=1, on_missing="drop")
+    lines = transcripts.read_transcripts(spark, output)
+    scored = total.select(F.lit("score").alias("side"), F.lit(-1).cast("long").alias("place"), F.format_string("%d %d %d", "n_pairs", "edits", "ref_words").alias("line"))
+    return lines.unionByName(scored)
+
+
 # --- batches ------------------------------------------------------------------------------------------
 
 

@@ -190,8 +190,8 @@ def path_stem(path: Column) -> Column:
 
 
 def parent_name(path: Column) -> Column:
-    """Name of the directory that holds ``path``."""
-    return F.element_at(F.split(path, "/"), -2)
+    """Name of the directory that holds ``path``; null for a bare file name."""
+    return F.try_element_at(F.split(path, "/"), F.lit(-2))
 
 
 def split_from_path(path: Column, match: str = "anywhere") -> Column:

@@ -11,19 +11,27 @@ from pyspark.sql.window import Window
 from parlato.functions.keys import BUCKETS, hash_bucket, order_hash
 from parlato.session import scratch_path
 
-# A broadcast table of file offsets has one small row per file.
-MAX_BROADCAST_FILES = 200_000
+# A broadcast table of file offsets has one row per file: 16 bytes of its name's digest and a number,
+# about 100 bytes in a hash table. The limit is reached at 20 million files.
+OFFSET_BYTES = 100
+MAX_BROADCAST_BYTES = 2_000_000_000
 
 
 def _with_offsets(df: DataFrame, files: DataFrame, n_files: int, out: str) -> DataFrame:
-    """Number rows by (file, row in file). ``files`` holds ``__file, __start`` for every file of ``df``."""
-    if n_files <= MAX_BROADCAST_FILES:
+    """Number rows by (file, row in file). ``files`` holds ``__file, __start`` for every file of ``df``.
+
+    Names meet by their 128-bit digest. Rows are not moved unless the offsets of
+    all files are too many to send.
+    """
+    files = files.select(F.unhex(F.md5("__file")).alias("__digest"), "__start")
+    if n_files * OFFSET_BYTES <= MAX_BROADCAST_BYTES:
         files = F.broadcast(files)
+    digest = F.unhex(F.md5(F.col("_metadata.file_path"))).alias("__digest")
     return (
-        df.select("*", F.col("_metadata.file_path").alias("__file"), F.col("_metadata.row_index").alias("__row"))
-        .join(files, "__file")
+        df.select("*", digest, F.col("_metadata.row_index").alias("__row"))
+        .join(files, "__digest")
         .withColumn(out, F.col("__start") + F.col("__row"))
-        .drop("__file", "__row", "__start")
+        .drop("__digest", "__row", "__start")
     )
 
 
@@ -91,10 +99,13 @@ def shuffled(df: DataFrame, key: str, seed: int = 42) -> DataFrame:
 
     Hashes are even, so equal ranges of them are known beforehand: rows go to
     their range and are sorted there. A sort by range would read ``df`` twice, once
-    for a sample.
+    for a sample. Rows without a key are spread by a hash of their
+    columns without binary parts.
     """
     parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    hashed = order_hash(seed, F.col(key))
+    others = [name for name, kind in df.dtypes if name != key and "binary" not in kind]
+    spread = order_hash(seed, F.xxhash64(*others) if others else F.lit(None))
+    hashed = F.when(F.col(key).isNotNull(), order_hash(seed, F.col(key))).otherwise(spread)
     bucket = F.conv(hash_bucket(hashed), 16, 10).cast("int")
     target = F.floor(bucket * parts / BUCKETS).cast("int")
     return df.repartitionById(parts, target).sortWithinPartitions(hashed, key)
@@ -112,7 +123,7 @@ def count_per_shard(df: DataFrame, shard: str = "shard") -> DataFrame:
 def first_rows(spark: SparkSession, files: Sequence[str], n: int) -> DataFrame:
     """The first ``n`` rows of Parquet ``files`` taken in path order, reading no file after them."""
     if n < 0:
-        raise ValueError("n must be non-negative")
+        raise ValueError(f"cannot take {n} rows")
     files = sorted(files)
     taken = 1
     while taken < len(files) and spark.read.parquet(*files[:taken]).count() < n:

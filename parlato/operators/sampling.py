@@ -34,6 +34,16 @@ def _shard_key(shard: str | Sequence[str] | None) -> Column:
     return F.col(shard) if isinstance(shard, str) else F.struct(*shard)
 
 
+class RepeatedKey(ValueError):
+    """The sample of a shard ends among rows of one key, so no exact sample can be told by keys."""
+
+
+def _order(seed: int, key: str, tie: Column | None) -> Column:
+    """Hexadecimal digits that order a shard's rows: of the key, then of ``tie`` for rows of one key."""
+    hashed = order_hash(seed, F.col(key))
+    return hashed if tie is None else F.concat(hashed, order_hash(seed, tie))
+
+
 def _last_buckets(counts: DataFrame) -> DataFrame:
     """The bucket in which each shard's sample ends, with the ``__need`` rows to take of its ``__n``.
 
@@ -70,30 +80,38 @@ def split_cutoffs(
     fraction: float = TEST_FRACTION,
     seed: int = SEED,
     max_sorted: int = MAX_SORTED_ROWS,
+    tie: Column | None = None,
 ) -> DataFrame:
-    """Per shard the last (hash, key) that is still a test row: ``shard, cut_hash, cut_key``.
+    """Per shard the last (hash, key) that is still a test row: ``shard, cut_hash, cut_key, n_tied``.
 
     A shard may be of any size. Its rows are counted per range of hashes, which
     finds the range where the sample ends; that range alone is cut finer until one
-    task can sort it. Reads ``key`` and ``shard`` and no other column.
+    task can sort it. Reads ``key``, ``shard`` and ``tie`` and no other column.
+    ``n_tied`` rows after the last one have its hash and key, none if keys and ties are
+    unique.
     """
-    narrow = df.select(_shard_key(shard).alias("__shard"), F.col(key).alias("__key"))
-    narrow = narrow.withColumn("__hash", order_hash(seed, F.col("__key")))
+    hashed = _order(seed, key, tie).alias("__hash")
+    narrow = df.select(_shard_key(shard).alias("__shard"), F.col(key).alias("__key"), hashed)
+    most_digits = HASH_DIGITS * (1 if tie is None else 2)
     digits = _FIRST_DIGITS
     rows = narrow.withColumn("__bucket", hash_bucket(F.col("__hash"), digits))
     counts = rows.groupBy("__shard", "__bucket").agg(F.count("*").alias("__n"))
     in_shard = F.sum("__n").over(Window.partitionBy("__shard"))
     rows, largest = _rows_of(rows, _last_buckets(counts.withColumn("__k", sample_size(in_shard, fraction))))
-    while largest > max_sorted and digits + _MORE_DIGITS <= HASH_DIGITS:
+    while largest > max_sorted and digits + _MORE_DIGITS <= most_digits:
         digits += _MORE_DIGITS
         # a 256th of the keys or less
         rows = staged(rows.withColumn("__bucket", hash_bucket(F.col("__hash"), digits)), "candidates")
         counts = rows.groupBy("__shard", "__bucket").agg(F.count("*").alias("__n"), F.max("__need").alias("__k"))
         rows, largest = _rows_of(rows.drop("__need"), _last_buckets(counts))
     inside = Window.partitionBy("__shard", "__bucket").orderBy("__hash", "__key")
-    ranked = rows.withColumn("__at", F.row_number().over(inside)).filter(F.col("__at") == F.col("__need"))
-    return ranked.select(
-        F.col("__shard").alias("shard"), F.col("__hash").alias("cut_hash"), F.col("__key").alias("cut_key")
+    equal = Window.partitionBy("__shard", "__bucket", "__hash", "__key")
+    ranked = rows.withColumn("__at", F.row_number().over(inside)).withColumn("__end", F.max("__at").over(equal))
+    return ranked.filter(F.col("__at") == F.col("__need")).select(
+        F.col("__shard").alias("shard"),
+        F.col("__hash").alias("cut_hash"),
+        F.col("__key").alias("cut_key"),
+        (F.col("__end") - F.col("__at")).alias("n_tied"),
     )
 
 
@@ -104,27 +122,36 @@ def assign_split(
     fraction: float = TEST_FRACTION,
     seed: int = SEED,
     split_col: str = "split",
+    tie: Column | None = None,
 ) -> DataFrame:
     """``df`` with ``split_col`` set to ``test`` on an exact random sample of each shard, ``train`` elsewhere.
 
     ``shard`` is a column, several, or None if all of ``df`` is one shard; ``key``
-    must be unique within its shard. The result depends on seed, keys and shards
-    only. The cutoffs, one row per shard, are worked out first and stored. Up to
+    may be null or repeat if ``tie`` tells such rows apart, for stored rows their file and
+    place in it. Without ``tie``, :class:`RepeatedKey` is raised where a shard's sample
+    would end among rows of one key. The result depends on seed, keys, ties and shards only. The cutoffs, one row per shard, are worked out first and stored. Up to
     :data:`MAX_BROADCAST_SHARDS` of them are sent to the rows, so that no row of
     ``df`` is moved; a planner that guesses their size would shuffle ``df`` first.
     """
-    mine = F.struct(order_hash(seed, F.col(key)).alias("hash"), F.col(key).alias("key"))
+    if tie is not None:
+        # a column of its own, since the cutoffs come from files as well
+        df, tie = df.withColumn("__tie", tie), F.col("__tie")
+    mine = F.struct(_order(seed, key, tie).alias("hash"), F.col(key).alias("key"))
     last = F.struct(F.col("cut_hash").alias("hash"), F.col("cut_key").alias("key"))
+    cuts = staged(split_cutoffs(df, key, shard, fraction, seed, tie=tie), "cutoffs")
+    tied = cuts.filter("n_tied > 0").limit(3).collect()
+    if tied:
+        raise RepeatedKey(f"{key} repeats at the end of the samples of {[row.shard for row in tied]}; pass tie")
+    cuts = cuts.drop("n_tied").withColumnRenamed("shard", "__cut_shard")
     if shard is None:
-        cut = split_cutoffs(df, key, None, fraction, seed).select(last).scalar()
-        return df.withColumn(split_col, F.when(mine <= cut, "test").otherwise("train"))
-    cuts = staged(split_cutoffs(df, key, shard, fraction, seed), "cutoffs").withColumnRenamed("shard", "__cut_shard")
+        cut = cuts.select(last).scalar()
+        return df.withColumn(split_col, F.when(mine <= cut, "test").otherwise("train")).drop("__tie")
     if cuts.count() <= MAX_BROADCAST_SHARDS:
         cuts = F.broadcast(cuts)
     return (
         df.join(cuts, _shard_key(shard).eqNullSafe(F.col("__cut_shard")), "left")
         .withColumn(split_col, F.when(mine <= last, "test").otherwise("train"))
-        .drop("__cut_shard", "cut_hash", "cut_key")
+        .drop("__cut_shard", "cut_hash", "cut_key", "__tie")
     )
 
 
@@ -132,7 +159,8 @@ def sampled_positions(sizes: DataFrame, fraction: float = TEST_FRACTION, seed: i
     """``n_rows, idx``: the positions Python's seeded sampler picks in a shard of ``n_rows`` rows.
 
     The positions depend on the shard's size only, so each distinct size is drawn
-    once. Made for shards cut to a fixed row count; the draw is sequential.
+    once. Made for shards cut to a fixed row count: the draw is sequential, and one
+    task holds all picks of a size.
     """
 
     def draw(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -18,6 +18,9 @@ UTTERANCES = """utterances AS (
     SELECT doc_id::VARCHAR AS utt_id, text, n_chars / 100.0::DOUBLE AS duration, source AS "OG_corpus", lang
     FROM documents)"""
 
+# The places that Python's sampler, seeded with 42, draws for 9 of 200 rows.
+SAMPLED_OF_200 = (6, 28, 35, 57, 62, 70, 163, 188, 189)
+
 SPLIT = """CASE WHEN row_number() OVER (PARTITION BY "OG_corpus" ORDER BY md5('42:' || utt_id), utt_id)
     <= greatest(1, floor(count(*) OVER (PARTITION BY "OG_corpus") * 0.048::DOUBLE)) THEN 'test' ELSE 'train' END"""
 
@@ -95,14 +98,24 @@ ORACLE: dict[str, str] = {
     "assign_split_whole_table": """SELECT o_orderkey, CASE WHEN row_number() OVER (
         ORDER BY md5('42:' || o_orderkey), o_orderkey) <= greatest(1, floor(count(*) OVER () * 0.048::DOUBLE))
         THEN 'test' ELSE 'train' END AS split FROM orders""",
-    "split_report": f"""WITH {LABELLED} SELECT "OG_corpus", split, count(*) AS n_utterances,
-        round(sum(duration), 2) AS total_seconds FROM labelled WHERE duration <= 30.0 GROUP BY ALL""",
+    "split_report": f"""WITH {LABELLED}, r AS (SELECT "OG_corpus", duration,
+        CASE lang WHEN 'es' THEN NULL WHEN 'de' THEN 'validation' ELSE split END AS split FROM labelled)
+        SELECT "OG_corpus", split, coalesce(split NOT IN ('train', 'test'), true) AS dropped, count(*) AS n_utterances,
+        round(sum(duration), 2) AS total_seconds FROM r GROUP BY ALL""",
+    "assign_split_by_position": f"""WITH p AS (
+        SELECT doc_id, row_number() OVER (ORDER BY doc_id) - 1 AS n FROM documents)
+        SELECT doc_id, n // 200 AS shard, n % 200 AS idx,
+        CASE WHEN n % 200 IN {SAMPLED_OF_200} THEN 'test' ELSE 'train' END AS split FROM p""",
+    "sharded_again": """SELECT doc_id::VARCHAR AS utt_id, 'YODAS' AS name,
+        (row_number() OVER (ORDER BY doc_id) - 1) // 500 AS shard FROM documents""",
+    "label_splits_repeated_key": """WITH s AS (SELECT (row_number() OVER (ORDER BY doc_id) - 1) // 200 AS shard FROM documents)
+        SELECT shard, count(*) AS n_rows, greatest(1, floor(count(*) * 0.048::DOUBLE))::BIGINT AS n_test FROM s GROUP BY 1""",
     "prepare_corpus": f"""WITH {LABELLED}, kept AS (SELECT "OG_corpus", split, duration, {norm("text")} AS text
         FROM labelled WHERE duration <= 30.0 AND (split <> 'train' OR duration >= 0.5))
         SELECT "OG_corpus", split, count(*) AS n_utterances, round(sum(duration), 2) AS total_seconds,
         sum(length(text)) AS n_letters, sum(len({word_list("text")})) AS n_words FROM kept GROUP BY ALL""",
     "write_and_read_splits": f"""WITH {LABELLED} SELECT utt_id, {norm("text")} AS text, duration, "OG_corpus", split
-        FROM labelled WHERE duration <= 30.0 AND split = 'test'""",
+        FROM labelled WHERE duration <= 30.0""",
     "create_dataset": f"""WITH {UTTERANCES}, placed AS (SELECT *, (row_number() OVER (ORDER BY utt_id::BIGINT) - 1) // 200
         AS shard FROM utterances), labelled AS (SELECT *, CASE WHEN row_number() OVER (PARTITION BY shard
         ORDER BY md5('42:' || utt_id), utt_id) <= greatest(1, floor(count(*) OVER (PARTITION BY shard) * 0.048::DOUBLE))
@@ -123,6 +136,7 @@ ORACLE: dict[str, str] = {
         UNION ALL SELECT doc_id, source, n_chars / 100.0::DOUBLE FROM documents""",
     "head_rows": "SELECT text FROM documents ORDER BY doc_id LIMIT 5",
     "arrow_ipc_roundtrip": "SELECT doc_id, lang, text FROM documents",
+    "arrow_head_rows": "SELECT doc_id, source FROM documents ORDER BY doc_id LIMIT 30",
     "reference_last_wins": """SELECT 'c' || conv_id || '.mp3' AS path, arg_max(text, turn) AS sentence
         FROM conversations GROUP BY conv_id""",
     "reference_lookup": """SELECT 'doc_' || doc_id || '.wav' AS name, 'doc_' || doc_id || '.mp3' AS path,
@@ -152,6 +166,19 @@ ORACLE: dict[str, str] = {
         JOIN labels USING (doc_id) WHERE quality >= 1)
         SELECT count(*) FILTER (n > 0) AS n_pairs, sum({MISHEARD_EDITS}) AS edits, sum(n) AS ref_words,
         sum({MISHEARD_EDITS}) / sum(n) AS wer FROM c""",
+    "evaluate_files": f"""WITH c AS (SELECT 'doc_' || doc_id AS utt_id, quality, {norm("text")} AS heard,
+        CASE WHEN quality >= 1 THEN {norm("text")} ELSE 'nothing' END AS ref
+        FROM documents JOIN labels USING (doc_id) WHERE doc_id % 3 <> 0),
+        w AS (SELECT *, string_split(heard, ' ') AS v FROM c),
+        h AS (SELECT utt_id, quality, ref, array_to_string(list_filter(list_transform(range(1, len(v) + 1), lambda i:
+            CASE WHEN i % 7 = 0 THEN NULL WHEN i % 11 = 0 THEN v[i] || 'Ω' ELSE v[i] END), lambda x: x IS NOT NULL), ' ') AS hyp
+            FROM w),
+        o AS (SELECT *, row_number() OVER (ORDER BY utt_id, hyp, ref) - 1 AS place FROM h),
+        n AS (SELECT quality, len({word_list("ref")}) AS n, len({word_list("hyp")}) AS heard FROM o)
+        SELECT 'hyp' AS side, place, hyp || ' (' || utt_id || ')' AS line FROM o
+        UNION ALL SELECT 'ref', place, ref || ' (' || utt_id || ')' FROM o
+        UNION ALL SELECT 'score', -1, count(*) FILTER (n > 0) || ' ' || sum(CASE WHEN quality >= 1 THEN {MISHEARD_EDITS}
+            ELSE greatest(heard, 1) END)::BIGINT || ' ' || sum(n)::BIGINT FROM n""",
     "shuffle_rank": """SELECT o_orderkey, row_number() OVER (ORDER BY md5('7:' || o_orderkey), o_orderkey) - 1 AS rank
         FROM orders""",
     "assign_batches": """WITH r AS (SELECT conv_id || '-' || turn AS key FROM conversations), n AS (

@@ -15,7 +15,7 @@ from parlato.operators.filters import MAX_SECONDS, at_most, known_splits, relabe
 from parlato.operators.numbering import number_by_file, number_by_key, shard_of
 from parlato.operators.sampling import SEED, TEST_FRACTION, assign_split
 from parlato.operators.union import union_shards
-from parlato.schema import UTTERANCE, conform, with_fillers
+from parlato.schema import UTTERANCE, conform, require_columns, with_fillers
 from parlato.session import staged
 from parlato.sources.audio import corpus_files, pair, recordings
 from parlato.sources.shards import ROWS_PER_AUDIO_SHARD, ROWS_PER_TABLE_SHARD, write_splits
@@ -74,6 +74,7 @@ def audio_to_shards(
         .partitionBy("name", "shard")
         .parquet(dataset_dir)
     )
+    drop_other_shards(spark, dataset_dir, names, _shards_of(placed))
     return checked.filter(F.col("reason").isNotNull()).select("path", "reason")
 
 
@@ -84,18 +85,37 @@ def table_to_shards(
     name: str = TABLE_DATASET,
     rows_per_shard: int = ROWS_PER_TABLE_SHARD,
 ) -> None:
-    """Cut a Parquet table into contiguous shards in stored order; no row is moved."""
+    """Cut a Parquet table into contiguous shards in stored order; no row is moved.
+
+    Replaces all earlier shards of ``name``, whatever their number.
+    """
     numbered = number_by_file(spark.read.parquet(file_path), "n")
-    (
-        numbered.withColumns({"name": F.lit(name), "shard": shard_of(F.col("n"), rows_per_shard)})
-        .drop("n")
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("name", "shard")
-        .parquet(dataset_dir)
+    sharded = numbered.withColumn("shard", shard_of(F.col("n"), rows_per_shard)).drop("n")
+    sharded.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("shard").parquet(
+        f"{dataset_dir.rstrip('/')}/name={name}"
     )
 
 
+def drop_other_shards(spark: SparkSession, dataset_dir: str, names: Sequence[str], kept: set[tuple[str, int]]) -> None:
+    """Delete the shard folders of ``names`` that are not among ``kept``, as ``(name, shard)``.
+
+    What an earlier run with more shards has left would be read as part of the
+    dataset. Only folders called ``shard=<number>`` are looked at.
+    """
+    Path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    for name in names:
+        folder = Path(f"{dataset_dir.rstrip('/')}/name={name}")
+        system = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        for status in system.listStatus(folder) if system.exists(folder) else ():
+            label, _, number = status.getPath().getName().partition("=")
+            if label == "shard" and number.isdigit() and (name, int(number)) not in kept:
+                system.delete(status.getPath(), True)
+
+
+def _shards_of(df: DataFrame) -> set[tuple[str, int]]:
+    return {(row["name"], row["shard"]) for row in df.select("name", "shard").distinct().collect()}
+
+
 def read_dataset(
     spark: SparkSession, dataset_dir: str, names: Sequence[str] | None = None, schema: T.StructType = STORED
 ) -> DataFrame:
@@ -126,24 +146,34 @@ def label_splits(
 ) -> None:
     """New versions of the shards of ``names`` with test labels, under ``target``.
 
-    Shards whose path holds ``tag`` get ``corpus`` as their corpus name.
+    Shards whose path holds ``tag`` get ``corpus`` as their corpus name. Rows
+    without a key, or with one that repeats, are told apart by their place in the
+    stored shards, so that every shard has its exact number of test rows.
     """
     if target.rstrip("/") == dataset_dir.rstrip("/"):
         raise ValueError("shards cannot be rewritten onto themselves; give a new path")
     rows = relabel_corpus(read_dataset(spark, dataset_dir, names), F.col("_metadata.file_path"), tag, corpus)
+    place = F.concat_ws(":", "_metadata.file_path", "_metadata.row_index")
     (
-        assign_split(rows, key, ["name", "shard"], fraction, seed)
+        assign_split(rows, key, ["name", "shard"], fraction, seed, tie=place)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("name", "shard")
         .parquet(target)
     )
+    drop_other_shards(spark, target, names, _shards_of(rows))
 
 
 def materialise_splits(
     spark: SparkSession, dataset_dirs: Sequence[str], target: str, split_col: str = "split", max_seconds: float = MAX_SECONDS
 ) -> None:
-    """One train and one test table of all shards in ``dataset_dirs``, long recordings left out."""
+    """One train and one test table of all shards in ``dataset_dirs``, long recordings left out.
+
+    ``ValueError`` if a stored dataset lacks ``duration`` or ``split_col``, which
+    would read as null and leave no row.
+    """
+    for folder in dataset_dirs:
+        require_columns(spark.read.parquet(folder), ["duration", split_col])
     schema = STORED if split_col in STORED.names else T.StructType([*STORED.fields, T.StructField(split_col, T.StringType())])
     parts = [read_dataset(spark, folder, schema=schema).drop("name", "shard") for folder in dataset_dirs]
     rows = known_splits(at_most(union_shards(parts), max_seconds), split_col)

@@ -7,9 +7,10 @@ from pyspark.sql import functions as F
 
 from parlato.functions.text import normalize
 from parlato.operators.filters import MIN_VOTES, voted
-from parlato.operators.lookup import keep_present, last_reference, with_references
+from parlato.operators.lookup import last_reference, with_references
 from parlato.operators.scoring import score
-from parlato.sources.tables import read_references
+from parlato.session import staged
+from parlato.sources.tables import read_references, suffix_of
 from parlato.sources.transcripts import read_script_names, write_transcripts
 
 
@@ -28,10 +29,9 @@ def scoring_pairs(
     paths are resolved.
     """
     chosen = last_reference(voted(refs, votes), order)
-    found = with_references(keep_present(names, hyps), chosen, on_missing=on_missing)
-    return found.join(hyps, "name").select(
-        "utt_id", normalize(F.col("sentence")).alias("ref"), normalize(F.col("hyp")).alias("hyp")
-    )
+    heard = names.join(hyps, "name")
+    found = with_references(heard, chosen, on_missing=on_missing)
+    return found.select("utt_id", normalize(F.col("sentence")).alias("ref"), normalize(F.col("hyp")).alias("hyp"))
 
 
 def evaluate(
@@ -42,9 +42,17 @@ def evaluate(
     output_path: str,
     votes: int = MIN_VOTES,
     on_missing: str = "error",
+    multi_line: bool = True,
 ) -> DataFrame:
-    """Write ``hyp`` and ``ref`` transcript folders below ``output_path``; returns the score row."""
+    """Write ``hyp`` and ``ref`` transcript folders below ``output_path``; returns the score row.
+
+    Of a path that repeats in a CSV of references the last row that has enough
+    votes counts. Pairs are worked out once and stored. ``multi_line`` is that of
+    :func:`parlato.sources.tables.read_csv`.
+    """
     names = read_script_names(spark, script_path)
-    pairs = scoring_pairs(names, read_references(spark, references_path), hyps, None, votes, on_missing)
+    order = "ord" if suffix_of(references_path) == ".csv" else None
+    refs = read_references(spark, references_path, multi_line, order)
+    pairs = staged(scoring_pairs(names, refs, hyps, order, votes, on_missing), "pairs")
     write_transcripts(pairs, output_path)
     return score(pairs)

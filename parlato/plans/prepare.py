@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from parlato.functions.text import normalize
 from parlato.operators.filters import MAX_SECONDS, MIN_SECONDS, at_least, at_most, known_splits
+from parlato.schema import require_columns
 from parlato.sources.shards import read_shards, write_splits
 
 
@@ -34,6 +35,12 @@ def prepared(
 def prepare(
     spark: SparkSession, source: str | Sequence[str], target: str, filter_by_duration: bool = False, **options
 ) -> None:
-    """``source`` shards to ``target/split=train`` and ``target/split=test`` in one pass."""
+    """``source`` shards to ``target/split=train`` and ``target/split=test`` in one pass.
+
+    ``ValueError`` if a source lacks the split or ``duration``, which would read as
+    null and leave no row; other columns may be missing.
+    """
+    for path in [source] if isinstance(source, str) else source:
+        require_columns(spark.read.parquet(path), ["duration", options.get("split_col", "split")])
     rows = prepared(read_shards(spark, source), filter_by_duration, **options)
     write_splits(rows, target, options.get("split_col", "split"))

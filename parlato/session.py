@@ -21,6 +21,10 @@ RECOMMENDED = {
 }
 
 
+# Input of this size moves in well under a second, on any cluster.
+SMALL_BYTES = 64 << 20
+
+
 def build_session(app: str = "parlato", master: str | None = None, **conf: str) -> SparkSession:
     """A session with :data:`RECOMMENDED`; ``conf`` keys use ``__`` for dots."""
     builder = SparkSession.builder.appName(app)
@@ -60,11 +64,11 @@ def staged(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def fill_cluster(df: DataFrame) -> DataFrame:
-    """Spread a plain scan that has fewer splits than the cluster has cores.
+def fill_cluster(df: DataFrame, max_bytes: int = SMALL_BYTES) -> DataFrame:
+    """Spread a scan of at most ``max_bytes``, which may be one split however many cores wait.
 
-    A small file is one split however many cores wait. Large inputs have more
-    splits than cores and come back unchanged, with no shuffle added.
+    The planner's own estimate decides. Anything larger comes back unchanged, so
+    no shuffle of it is added, whatever the number of cores.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism) if size <= max_bytes else df

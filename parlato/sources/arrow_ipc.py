@@ -18,7 +18,7 @@ from pyspark.sql.datasource import (
     WriterCommitMessage,
 )
 from pyspark.sql.pandas.types import from_arrow_schema, to_arrow_schema
-from pyspark.sql.types import StructType
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 # Files above this size are read by several tasks, each with a run of record batches.
 SPLIT_BYTES = 128 * 1024 * 1024
@@ -35,11 +35,13 @@ def _locate(path: str) -> tuple[fs.FileSystem, str]:
     return fs.FileSystem.from_uri(path)
 
 
-def list_arrow_files(path: str) -> list[fs.FileInfo]:
-    """The Arrow files at ``path``, a file or a folder, in path order."""
+def list_arrow_files(path: str, missing_ok: bool = False) -> list[fs.FileInfo]:
+    """The Arrow files at ``path``, a file or a folder, in path order; with ``missing_ok`` there may be none."""
     system, where = _locate(path)
     found = system.get_file_info(where)
     if found.type == fs.FileType.NotFound:
+        if missing_ok:
+            return []
         raise FileNotFoundError(f"{path} does not exist")
     if found.type == fs.FileType.File:
         return [found]
@@ -51,40 +53,45 @@ def list_arrow_files(path: str) -> list[fs.FileInfo]:
         and f.extension in ("arrow", "feather")
         and not any(part.startswith(("_", ".")) for part in f.path.removeprefix(where).split("/"))
     ]
-    if not files:
+    if not files and not missing_ok:
         raise FileNotFoundError(f"no Arrow files in {path}")
     return sorted(files, key=lambda f: f.path)
 
 
+# Columns that tell where a row is stored, for readers that ask for them.
+FILE, BATCH, ROW = "__file", "__batch", "__row"
+
+
 @dataclass
-class _Batches(InputPartition):
-    """Record batches ``start`` to ``stop`` of one file; ``stop`` of None means to the end."""
+class _Part(InputPartition):
+    """Part ``number`` of ``parts`` of one file's record batches."""
 
     file: str
-    start: int = 0
-    stop: int | None = None
+    number: int = 0
+    parts: int = 1
 
 
 class _Reader(DataSourceReader):
-    def __init__(self, path: str, schema: StructType):
-        self.path, self.schema = path, schema
+    """Partitions follow from file sizes; the task that reads a part opens the file and takes its share of batches.
+
+    ``most`` rows of each part at most are read, if it is given.
+    """
+
+    def __init__(self, path: str, schema: StructType, most: int | None = None):
+        self.path, self.schema, self.most = path, schema, most
 
     def partitions(self) -> Sequence[InputPartition]:
-        system, _ = _locate(self.path)
         tasks: list[InputPartition] = []
         for info in list_arrow_files(self.path):
-            if info.size <= SPLIT_BYTES:
-                tasks.append(_Batches(info.path))
-                continue
-            with system.open_input_file(info.path) as source:
-                n = pa.ipc.open_file(source).num_record_batches
-            step = max(1, n * SPLIT_BYTES // info.size)
-            tasks += [_Batches(info.path, at, min(at + step, n)) for at in range(0, n, step)]
+            parts = max(1, -(-info.size // SPLIT_BYTES))
+            tasks += [_Part(info.path, k, parts) for k in range(parts)]
         return tasks
 
-    def read(self, partition: _Batches) -> Iterator[pa.RecordBatch]:
+    def read(self, partition: _Part) -> Iterator[pa.RecordBatch]:
         system, _ = _locate(self.path)
-        wanted = to_arrow_schema(self.schema)
+        whole = to_arrow_schema(self.schema)
+        wanted = pa.schema([field for field in whole if field.name not in (FILE, BATCH, ROW)])
+        left = self.most
         with system.open_input_file(partition.file) as source:
             held = pa.ipc.open_file(source).schema
             lacking = [name for name in wanted.names if name not in held.names]
@@ -92,10 +99,17 @@ class _Reader(DataSourceReader):
                 raise ValueError(f"{partition.file} lacks column(s) {lacking}")
             options = pa.ipc.IpcReadOptions(included_fields=[held.get_field_index(n) for n in wanted.names])
             reader = pa.ipc.open_file(source, options=options)
-            stop = reader.num_record_batches if partition.stop is None else partition.stop
-            for i in range(partition.start, stop):
-                table = pa.Table.from_batches([reader.get_batch(i)]).select(wanted.names).cast(wanted)
-                yield from table.to_batches(max_chunksize=ROWS_PER_BATCH)
+            n = reader.num_record_batches
+            for i in range(n * partition.number // partition.parts, n * (partition.number + 1) // partition.parts):
+                if left is not None and left <= 0:
+                    break
+                table = pa.Table.from_batches([reader.get_batch(i)]).select(wanted.names).cast(wanted).slice(0, left)
+                left = None if left is None else left - table.num_rows
+                if ROW in whole.names:
+                    places = pa.array(range(table.num_rows), pa.int64())
+                    for name, column in ((FILE, pa.repeat(partition.file, len(places))), (BATCH, pa.repeat(i, len(places))), (ROW, places)):
+                        table = table.append_column(name, column)
+                yield from table.select(whole.names).cast(whole).to_batches(max_chunksize=ROWS_PER_BATCH)
 
 
 @dataclass
@@ -105,7 +119,7 @@ class _Written(WriterCommitMessage):
 
 
 class _Writer(DataSourceArrowWriter):
-    """One file per non-empty task. Files are hidden until the job commits."""
+    """One file per task that has rows, and for the first. Files are hidden until the job commits."""
 
     def __init__(self, path: str, schema: StructType, overwrite: bool):
         self.path, self.schema, self.overwrite = path, schema, overwrite
@@ -126,21 +140,24 @@ class _Writer(DataSourceArrowWriter):
                 target = pa.ipc.new_file(sink, wanted)
             target.write_table(pa.Table.from_batches([batch]).cast(wanted))
         if target is None:
-            return _Written(None, None)
+            if context.partitionId():
+                return _Written(None, None)
+            # an empty table still has its columns
+            sink = system.open_output_stream(hidden)
+            target = pa.ipc.new_file(sink, wanted)
         target.close()
         sink.close()
         return _Written(hidden, f"{where}/part-{context.partitionId():05d}-{self.job}.arrow")
 
     def commit(self, messages: list[_Written | None]) -> None:
         system, where = _locate(self.path)
-        if self.overwrite:
-            old = system.get_file_info(fs.FileSelector(where, allow_not_found=True))
-            for info in old:
-                if info.extension == "arrow" and not info.base_name.startswith("."):
-                    system.delete_file(info.path)
+        # what a reader would find, at any depth; gone only when the new files are in place
+        old = list_arrow_files(self.path, missing_ok=True) if self.overwrite else []
         for message in messages:
             if message is not None and message.hidden is not None:
                 system.move(message.hidden, message.final)
+        for info in old:
+            system.delete_file(info.path)
 
     def abort(self, messages: list[_Written | None]) -> None:
         system, _ = _locate(self.path)
@@ -150,7 +167,11 @@ class _Writer(DataSourceArrowWriter):
 
 
 class ArrowIpc(DataSource):
-    """``format("arrow_ipc")``. A schema given to the reader picks the columns that are read."""
+    """``format("arrow_ipc")``. A schema given to the reader picks the columns that are read.
+
+    Option ``positions`` adds columns for a row's file, batch and place in it, and
+    ``most`` bounds the rows read of each partition.
+    """
 
     @classmethod
     def name(cls) -> str:
@@ -160,10 +181,15 @@ class ArrowIpc(DataSource):
         path = self.options["path"]
         system, _ = _locate(path)
         with system.open_input_file(list_arrow_files(path)[0].path) as source:
-            return from_arrow_schema(pa.ipc.open_file(source).schema)
+            held = from_arrow_schema(pa.ipc.open_file(source).schema)
+        if self.options.get("positions") != "true":
+            return held
+        places = [StructField(FILE, StringType()), StructField(BATCH, LongType()), StructField(ROW, LongType())]
+        return StructType([*held.fields, *places])
 
     def reader(self, schema: StructType) -> DataSourceReader:
-        return _Reader(self.options["path"], schema)
+        most = self.options.get("most")
+        return _Reader(self.options["path"], schema, int(most) if most else None)
 
     def writer(self, schema: StructType, overwrite: bool) -> DataSourceArrowWriter:
         return _Writer(self.options["path"], schema, overwrite)
@@ -190,21 +216,11 @@ def write_arrow(df: DataFrame, path: str, mode: str = "overwrite") -> None:
 
 
 def first_arrow_rows(spark: SparkSession, path: str, n: int, pick: Callable[[Sequence[str]], list[str]]) -> DataFrame:
-    """The first ``n`` rows in stored order, read batch by batch until there are enough."""
-    system, _ = _locate(path)
-    tables, rows = [], 0
-    for info in list_arrow_files(path):
-        with system.open_input_file(info.path) as source:
-            names = pick(pa.ipc.open_file(source).schema.names)
-            held = pa.ipc.open_file(source).schema
-            options = pa.ipc.IpcReadOptions(included_fields=[held.get_field_index(c) for c in names])
-            reader = pa.ipc.open_file(source, options=options)
-            for i in range(reader.num_record_batches):
-                if rows >= n and tables:
-                    break
-                part = pa.Table.from_batches([reader.get_batch(i)]).select(names).slice(0, n - rows)
-                tables.append(part)
-                rows += part.num_rows
-        if rows >= n and tables:
-            break
-    return spark.createDataFrame(pa.concat_tables(tables))
+    """The first ``n`` rows in stored order; each task reads as many of its part at most."""
+    spark.dataSource.register(ArrowIpc)
+    list_arrow_files(path)
+    reader = spark.read.format("arrow_ipc").option("positions", "true").option("most", str(max(n, 1)))
+    whole = reader.load(path).schema
+    names = pick([name for name in whole.names if name not in (FILE, BATCH, ROW)])
+    stored = reader.schema(StructType([whole[name] for name in [*names, FILE, BATCH, ROW]])).load(path)
+    return stored.orderBy(FILE, BATCH, ROW).limit(n).select(*names)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -30,34 +30,53 @@ def suffix_of(path: str) -> str:
 
 
 def read_csv(
-    spark: SparkSession, path: str, schema: T.StructType | None = None, columns: Sequence[str] | None = None
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType | None = None,
+    columns: Sequence[str] | None = None,
+    multi_line: bool = True,
+    order: str | None = None,
 ) -> DataFrame:
     """A CSV file with a header, columns found by name; quotes are doubled, quoted line breaks allowed.
 
     ``schema`` casts and, without ``columns``, selects. Only what is selected is parsed.
+    With ``multi_line`` a file is read by one task; turned off, for files without
+    quoted line breaks, large files are split. ``order`` names a column to add
+    whose values rise as the rows do, file after file.
     """
-    raw = spark.read.csv(path, header=True, quote='"', escape='"', multiLine=True)
+    raw = spark.read.csv(path, header=True, quote='"', escape='"', multiLine=multi_line)
     names = list(columns or (schema.names if schema else raw.columns))
-    picked = align_columns(raw, names)
-    if schema is None:
-        return picked
-    return picked.select(
-        *[F.col(n).cast(schema[n].dataType).alias(n) if n in schema.names else F.col(n) for n in names]
+    align_columns(raw, names)
+    cast = [F.col(n).cast(schema[n].dataType).alias(n) if schema and n in schema.names else F.col(n) for n in names]
+    return raw.select(*cast, *([stored_order().alias(order)] if order else []))
+
+
+def stored_order() -> Column:
+    """A value that rises with the rows of a plain scan of text or CSV files: file, part of it, row read there."""
+    return F.struct(
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("start"),
+        F.monotonically_increasing_id().alias("row"),
     )
 
 
 def read_table(
-    spark: SparkSession, path: str, columns: Sequence[str] | None = None, schema: T.StructType | None = None
+    spark: SparkSession,
+    path: str,
+    columns: Sequence[str] | None = None,
+    schema: T.StructType | None = None,
+    multi_line: bool = True,
+    order: str | None = None,
 ) -> DataFrame:
     """Read ``path`` by its suffix, letter case ignored: ``.csv``, ``.parquet``, ``.arrow`` or ``.feather``.
 
     Another suffix raises ``ValueError``; a path that is not there raises
-    ``FileNotFoundError``.
+    ``FileNotFoundError``. ``multi_line`` and ``order`` are those of :func:`read_csv`.
     """
     suffix = suffix_of(path)
     try:
         if suffix == ".csv":
-            return read_csv(spark, path, schema, columns)
+            return read_csv(spark, path, schema, columns, multi_line, order)
         if suffix == ".parquet":
             df = spark.read.parquet(path) if schema is None else spark.read.schema(schema).parquet(path)
             return align_columns(df, columns) if columns else df
@@ -70,9 +89,9 @@ def read_table(
     raise ValueError(f"unsupported file type {suffix!r}: {path}")
 
 
-def read_references(spark: SparkSession, path: str) -> DataFrame:
-    """``path, sentence, up_votes`` of a reference-transcript table."""
-    return read_table(spark, path, REFERENCES.names, REFERENCES)
+def read_references(spark: SparkSession, path: str, multi_line: bool = True, order: str | None = None) -> DataFrame:
+    """``path, sentence, up_votes`` of a reference-transcript table; for CSV also the rows' ``order``."""
+    return read_table(spark, path, REFERENCES.names, REFERENCES, multi_line, order)
 
 
 def head_columns(names: Sequence[str]) -> list[str]:
@@ -82,7 +101,7 @@ def head_columns(names: Sequence[str]) -> list[str]:
 def head(spark: SparkSession, path: str, n: int = 5) -> DataFrame:
     """The first ``n`` rows in stored order, with the columns of :data:`HEAD_COLUMNS` that exist, else all."""
     if n < 0:
-        raise ValueError("n must be non-negative")
+        raise ValueError(f"cannot show {n} rows")
     suffix = suffix_of(path)
     if suffix in (".arrow", ".feather"):
         return first_arrow_rows(spark, path, n, head_columns)
@@ -93,6 +112,5 @@ def head(spark: SparkSession, path: str, n: int = 5) -> DataFrame:
 
 
 def view(df: DataFrame, n: int = 20) -> None:
-    """Print at most ``n`` rows, one JSON object a line."""
-    for i, row in enumerate(df.limit(n).toJSON().collect()):
-        print(f"Row {i}: {row}")
+    """Print at most ``n`` rows, each value in full on a line of its own."""
+    df.show(n, truncate=False, vertical=True)

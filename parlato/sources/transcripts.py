@@ -2,13 +2,19 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from parlato.functions.text import WS, transcript_line
+from parlato.operators.numbering import number_by_key
+from parlato.session import staged
+from parlato.sources.tables import stored_order
 
-# Fixed value: how a script line names the recording that it transcribes.
-SCRIPT_CALL = rf"doasr_home\.py[{WS}]+/home/docker/([A-Za-z0-9_\-]+\.wav)"
+# The program and folder by which a script line names the recording that it transcribes.
+SCRIPT_PROGRAM, SCRIPT_FOLDER = "doasr_home.py", "/home/docker/"
+SCRIPT_CALL = rf"{re.escape(SCRIPT_PROGRAM)}[{WS}]+{SCRIPT_FOLDER}([A-Za-z0-9_\-]+\.wav)"
 
 
 def names_in_lines(lines: DataFrame, line: str = "value", pattern: str = SCRIPT_CALL) -> DataFrame:
@@ -26,7 +32,21 @@ def transcript_lines(df: DataFrame, text: str, utt_id: str = "utt_id") -> DataFr
 
 
 def write_transcripts(df: DataFrame, path: str, hyp: str = "hyp", ref: str = "ref", utt_id: str = "utt_id") -> None:
-    """``path/hyp`` and ``path/ref``: text folders whose lines belong together one by one."""
-    in_order = df.select(utt_id, hyp, ref).orderBy(utt_id, hyp, ref)
+    """``path/hyp`` and ``path/ref``: text folders whose lines belong together one by one.
+
+    ``df`` is computed once and stored; each side sorts what is stored.
+    """
+    stored = staged(df.select(utt_id, hyp, ref), "transcripts")
     for side, column in (("hyp", hyp), ("ref", ref)):
+        in_order = stored.orderBy(utt_id, hyp, ref)
         transcript_lines(in_order, column, utt_id).write.mode("overwrite").text(f"{path.rstrip('/')}/{side}")
+
+
+def read_transcripts(spark: SparkSession, path: str) -> DataFrame:
+    """``side, place, line`` of both folders of :func:`write_transcripts`, places from 0 in the order of the lines."""
+    sides = []
+    for side in ("hyp", "ref"):
+        lines = spark.read.text(f"{path.rstrip('/')}/{side}").select(F.col("value").alias("line"), stored_order().alias("at"))
+        numbered = number_by_key(staged(lines, "lines"), ["at"], "place")
+        sides.append(numbered.select(F.lit(side).alias("side"), "place", "line"))
+    return sides[0].unionByName(sides[1])
