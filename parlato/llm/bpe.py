@@ -6,14 +6,17 @@ import json
 import re
 from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from parlato.llm.common import table
 
 # Words, and runs of them, whose encodings a generation of kept results holds.
 KEPT_WORDS = 120_000
+# Rows whose results a worker holds at a time.
+SLICE_ROWS = 500
 
 
 def byte_letters() -> list[str]:
@@ -228,21 +231,27 @@ def encoded(docs: DataFrame, text: str, path: str) -> DataFrame:
     """``docs`` with ``n_tokens``, ``ids`` (decimal, joined by spaces) and ``decoded``.
 
     ``path`` names a tokenizer file that every worker can open. Null and empty
-    texts have no tokens. Only ``text`` goes to Python; columns of the three
-    names are replaced.
+    texts have no tokens. Columns of the three names are replaced. A worker holds
+    the results of ``SLICE_ROWS`` rows at a time.
     """
-
     shared = docs.sparkSession.sparkContext.broadcast(Shared(path))
+    docs = docs.select(*[F.col(f"`{c}`") for c in docs.columns if c not in ("n_tokens", "ids", "decoded")])
+    place = docs.columns.index(text)
+    schema = T.StructType(
+        [*docs.schema, T.StructField("n_tokens", T.LongType()), T.StructField("ids", T.StringType()), T.StructField("decoded", T.StringType())]
+    )
 
-    @F.pandas_udf("n_tokens long, ids string, decoded string")
-    def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = shared.value.get()
         for batch in batches:
-            yield pd.DataFrame([encoder.encode(t) for t in batch], columns=["n_tokens", "ids", "decoded"])
-
-    kept = [F.col(f"`{c}`") for c in docs.columns if c not in ("n_tokens", "ids", "decoded")]
-    made = docs.select(*kept, run(F.col(text)).alias("__bpe"))
-    return made.select(*kept, "__bpe.n_tokens", "__bpe.ids", "__bpe.decoded")
+            for k in range(0, batch.num_rows, SLICE_ROWS):
+                part = batch.slice(k, SLICE_ROWS)
+                made = [encoder.encode(t.as_py()) for t in part.column(place)]
+                n, ids, decoded = zip(*made, strict=True)
+                columns = [pa.array(n, pa.int64()), pa.array(ids, pa.string()), pa.array(decoded, pa.string())]
+                yield pa.RecordBatch.from_arrays([*part.columns, *columns], schema.names)
+
+    return docs.mapInArrow(run, schema)
 
 
 def vocabulary_path(name: str = "word_bpe_49k.json") -> str:
