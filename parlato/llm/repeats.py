@@ -192,12 +192,12 @@ def remove_repeats(docs: DataFrame, size: int = WINDOW, chunk_bytes: int = CHUNK
     chunk = chunk_of(F.when(~F.col("no_id"), F.col("doc")), F.col("text"), chunks_for(totals["bytes"], chunk_bytes))
     docs = docs.withColumn("chunk", chunk)
     sketch = docs.groupBy("chunk").applyInPandas(sketched(size, shards), "chunk int, shard int, cells binary, twice binary")
-    hot = stage(sketch.groupBy("shard").applyInPandas(merged, "chunk int, shard int, cells binary"), "repeat-cells")
+    hot = stage(sketch.groupBy("shard").applyInPandas(merged, "chunk int, shard int, cells binary"), "repeat-cells", True)
     pairs = docs.groupBy("chunk").cogroup(hot.groupBy("chunk")).applyInPandas(
         suspected(size, shards), "chunk int, shard int, first binary, second binary, docs binary, twice binary"
     )
     known = pairs.groupBy("shard").applyInPandas(grouped, "chunk int, first binary, second binary, earliest binary")
-    known = stage(known, "repeat-windows")
+    known = stage(known, "repeat-windows", True)
     made = docs.groupBy("chunk").cogroup(known.groupBy("chunk")).applyInPandas(
         removed(size), "doc long, no_id boolean, n_words long, n_removed long, kept string"
     )
