@@ -15,11 +15,15 @@ from parlato.functions.text import _bind
 # (integer PCM, float, A-law, mu-law, and the extensible wrapper around them).
 FIXED_SIZE_FORMATS = (0x0001, 0x0003, 0x0006, 0x0007, 0xFFFE)
 
+# Other formats state their frames in a chunk of their own.
+
 # Nearly every file has its samples within this many chunks. The rest are walked
 # again, with a step for each chunk that the file could hold.
 _USUAL_CHUNKS = 16
+# No writer makes more chunks than this before the samples.
+MOST_CHUNKS = 100_000
 
-_STATE = "struct<at:bigint,rate:bigint,block:bigint,wide:bigint,held:bigint,done:boolean>"
+_STATE = "struct<at:bigint,rate:bigint,block:bigint,wide:bigint,held:bigint,frames:bigint,done:boolean>"
 
 
 def _bytes_at(content: Column, offset: Column, size: int) -> Column:
@@ -36,12 +40,12 @@ def _tag(name: str) -> Column:
     return F.lit(name.encode().hex().upper())
 
 
-def _state(at, rate, block, wide, held, done) -> Column:
-    fields = {"at": at, "rate": rate, "block": block, "wide": wide, "held": held, "done": done}
+def _state(at, rate, block, wide, held, frames, done) -> Column:
+    fields = {"at": at, "rate": rate, "block": block, "wide": wide, "held": held, "frames": frames, "done": done}
     return F.struct(*[column.alias(name) for name, column in fields.items()]).cast(_STATE)
 
 
-def _step(content: Column, seen: Column) -> Column:
+def _step(content: Column, total: Column, seen: Column) -> Column:
     """Read the chunk at ``seen.at`` and move past it; ``done`` once the samples are found."""
     at = seen["at"]
     body = at + 8
@@ -53,17 +57,18 @@ def _step(content: Column, seen: Column) -> Column:
         # a 64-bit file keeps the true size of its samples in an earlier chunk
         stored = F.when(size == 0xFFFFFFFF, F.coalesce(seen["wide"], size)).otherwise(size)
         # a header that promises more than the file holds counts what is there
-        held = F.least(stored, F.length(content) - body)
+        held = F.least(stored, total - body)
         return _state(
             body + size + F.pmod(size, F.lit(2)),
-            F.when(is_format, F.when(fixed, _number_at(content, body + 4, 4))).otherwise(seen["rate"]),
+            F.when(is_format, _number_at(content, body + 4, 4)).otherwise(seen["rate"]),
             F.when(is_format, F.when(fixed, _number_at(content, body + 12, 2))).otherwise(seen["block"]),
             F.when(is_wide, _number_at(content, body + 8, 8)).otherwise(seen["wide"]),
             F.when(is_data, held).otherwise(seen["held"]),
+            F.when(tag == _tag("fact"), _number_at(content, body, 4)).otherwise(seen["frames"]),
             is_data,
         )
 
-    past_end = _state(at, seen["rate"], seen["block"], seen["wide"], seen["held"], F.lit(True))
+    past_end = _state(at, seen["rate"], seen["block"], seen["wide"], seen["held"], seen["frames"], F.lit(True))
     return (
         F.when(seen["done"], seen)
         .when(body > F.length(content), past_end)
@@ -71,32 +76,36 @@ def _step(content: Column, seen: Column) -> Column:
     )
 
 
-def _walk(content: Column, steps: Column) -> Column:
+def _walk(content: Column, total: Column, steps: Column) -> Column:
     nothing = F.lit(None)
-    start = _state(F.lit(12), nothing, nothing, nothing, nothing, F.lit(False))
-    return F.aggregate(F.sequence(F.lit(1), steps), start, lambda seen, _: _step(content, seen))
+    start = _state(F.lit(12), nothing, nothing, nothing, nothing, nothing, F.lit(False))
+    return F.aggregate(F.sequence(F.lit(1), steps), start, lambda seen, _: _step(content, total, seen))
 
 
-def _info(content: Column) -> Column:
+def _info(content: Column, total: Column) -> Column:
     is_wave = _bytes_at(content, F.lit(0), 4).isin("RIFF".encode().hex().upper(), "RF64".encode().hex().upper()) & (
         _bytes_at(content, F.lit(8), 4) == _tag("WAVE")
     )
 
     def info(seen: Column) -> Column:
-        usable = (seen["rate"] > 0) & (seen["block"] > 0) & seen["held"].isNotNull()
-        frames = F.floor(seen["held"] / F.nullif(seen["block"], F.lit(0)))
+        frames = F.coalesce(F.floor(seen["held"] / F.nullif(seen["block"], F.lit(0))), seen["frames"])
+        usable = (seen["rate"] > 0) & seen["held"].isNotNull() & frames.isNotNull()
         return F.when(usable, F.struct(frames.cast("long").alias("frames"), seen["rate"].alias("samplerate")))
 
-    all_chunks = F.floor(F.length(content) / 8).cast("int") + 1
-    usual = _walk(content, F.lit(_USUAL_CHUNKS))
-    found = _bind(usual, lambda seen: F.when(seen["done"], seen).otherwise(_walk(content, all_chunks)))
+    all_chunks = F.least(F.floor(F.length(content) / 8), F.lit(MOST_CHUNKS)).cast("int") + 1
+    usual = _walk(content, total, F.lit(_USUAL_CHUNKS))
+    found = _bind(usual, lambda seen: F.when(seen["done"], seen).otherwise(_walk(content, total, all_chunks)))
     return F.when(is_wave, _bind(found, info))
 
 
-def wav_info(content: Column) -> Column:
-    """Struct of ``frames`` and ``samplerate``, null where the bytes are not a readable WAV."""
+def wav_info(content: Column, total: Column | None = None) -> Column:
+    """Struct of ``frames`` and ``samplerate``, null where the bytes are not a readable WAV.
+
+    ``content`` may be the beginning of a file of ``total`` bytes. A compressed
+    format counts the frames that its ``fact`` chunk states.
+    """
     # bound once: every look at a column would copy the whole recording out of its row
-    return _bind(content, _info)
+    return _bind(content, lambda c: _info(c, F.length(c) if total is None else total))
 
 
 def seconds(info: Column) -> Column:

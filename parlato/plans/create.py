@@ -16,8 +16,7 @@ from parlato.operators.numbering import number_by_file, number_by_key, shard_of
 from parlato.operators.sampling import SEED, TEST_FRACTION, assign_split
 from parlato.operators.union import union_shards
 from parlato.schema import UTTERANCE, conform, require_columns, with_fillers
-from parlato.session import staged
-from parlato.sources.audio import corpus_files, pair, recordings
+from parlato.sources.audio import checked_files, with_audio
 from parlato.sources.shards import ROWS_PER_AUDIO_SHARD, ROWS_PER_TABLE_SHARD, write_splits
 
 # The datasets built by default, and the one that comes as a table.
@@ -45,30 +44,23 @@ def audio_to_shards(
     names: Sequence[str] = DATASETS,
     rows_per_shard: int = ROWS_PER_AUDIO_SHARD,
     split_match: str = "anywhere",
-    look_for_empty: bool = True,
 ) -> DataFrame:
     """Write all named corpora as shards of exactly ``rows_per_shard`` rows, the last of each maybe short.
 
-    Rows are numbered in path order without their audio. The bytes are read again
-    at the end, meet their number and go to the task that writes their shard.
-    Returns the rejects.
+    Rows are numbered in path order and go to their shard's task as paths; that
+    task reads each recording, once, and writes it. Returns the rejects.
     """
-    audio, texts = corpus_files(spark, corpus_dir, names, look_for_empty)
-    narrow = pair(audio, texts, split_match).withColumn("path", F.col("audio.path")).drop("audio")
-    # stored, since sorting and the list of rejects would read all headers again
-    checked = staged(narrow, "checked")
+    checked = checked_files(spark, corpus_dir, names, split_match)
     below = F.substring("path", F.lit(len(corpus_dir.rstrip("/")) + 2), F.length("path"))
     rows = with_fillers(checked.filter(F.col("reason").isNull())).withColumn("name", F.split_part(below, F.lit("/"), F.lit(1)))
     numbered = number_by_key(rows.drop("reason"), ["name", "path"], "n")
     # one row per dataset name, as many as the caller listed
     starts = F.broadcast(numbered.groupBy("name").agg(F.min("n").alias("start")))
     placed = numbered.join(starts, "name").withColumn("shard", shard_of(F.col("n") - F.col("start"), rows_per_shard))
-    whole = recordings(spark, corpus_dir, names).join(placed.drop("n", "start"), "path").withColumn(
-        "audio", F.struct(F.col("content").alias("bytes"), "path")
-    )
+    dealt = placed.drop("start").repartition("name", "shard").sortWithinPartitions("name", "shard", "n").drop("n")
     (
-        whole.select(*UTTERANCE.names, "name", "shard")
-        .repartition("name", "shard")
+        with_audio(dealt, corpus_dir)
+        .select(*UTTERANCE.names, "name", "shard")
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("name", "shard")

@@ -4,97 +4,30 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-import pyarrow as pa
-from pyarrow import fs
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from parlato.functions.text import parent_name, path_stem, split_from_path, strip_ws
 from parlato.functions.wav import seconds, wav_info
-from parlato.schema import conform, with_fillers
+from parlato.schema import UTTERANCE, conform, with_fillers
+from parlato.session import staged
+from parlato.sources.listing import list_files, read_files, with_suffix
 
 NO_TRANSCRIPT = "transcript not found"
 BAD_TRANSCRIPT = "transcript is not UTF-8"
 BAD_AUDIO = "audio header not readable"
 
-_FILE = pa.schema([("path", pa.string()), ("content", pa.binary())])
+# A header is looked for in this many bytes; recordings whose samples start later are read whole.
+HEADER_BYTES = 64 << 10
 
-
-def _qualified(spark: SparkSession, folder: str) -> str:
-    """``folder`` with file system and absolute path, as Spark reports the files in it."""
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
-    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(path).toString()
-
-
-def relative_to(df: DataFrame, corpus_dir: str) -> DataFrame:
-    """``path, content`` of found files, ``path`` written the way ``corpus_dir`` is.
-
-    So it does not change with the file system's own prefix.
-    """
-    base = corpus_dir.rstrip("/")
-    start = len(_qualified(df.sparkSession, base)) + 1
-    below = F.substring(F.col("path"), F.lit(start), F.length("path"))
-    return df.select(F.concat(F.lit(base), below).alias("path"), "content")
-
-
-def find_files(spark: SparkSession, corpus_dir: str, names: Sequence[str], glob: str) -> DataFrame:
-    """``path, content`` of every matching file at any depth below ``corpus_dir/name``.
-
-    One listing over all names. Content is read only if a query uses it. Spark
-    lists no empty files and none whose name starts with ``_`` or ``.``.
-    """
-    base = corpus_dir.rstrip("/")
-    found = (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", True)
-        .option("pathGlobFilter", glob)
-        .load([f"{base}/{name}" for name in names])
-    )
-    return relative_to(found, base)
-
-
-def read_partners(corpus_dir: str, files: DataFrame, suffix: str) -> DataFrame:
-    """``path, content`` of the files named like ``files`` but with ``suffix``, where they exist.
-
-    Opened one by one in the tasks, for short lists and small files.
-    """
-    base = corpus_dir.rstrip("/")
-    root = _qualified(files.sparkSession, base)
-
-    def look_up(batches):
-        if root.startswith("file:"):
-            system, folder = fs.LocalFileSystem(), root.removeprefix("file:")
-        else:
-            system, folder = fs.FileSystem.from_uri(root)
-        for batch in batches:
-            for stem in batch.column("stem").to_pylist():
-                path = stem + suffix
-                place = folder + path.removeprefix(base)
-                if system.get_file_info(place).type == fs.FileType.File:
-                    with system.open_input_stream(place) as stream:
-                        content = stream.read()
-                    yield pa.RecordBatch.from_pydict({"path": [path], "content": [content]}, _FILE)
-
-    return files.select(path_stem(F.col("path")).alias("stem")).mapInArrow(look_up, "path string, content binary")
-
-
-def unlisted_partners(corpus_dir: str, files: DataFrame, partners: DataFrame, suffix: str) -> DataFrame:
-    """The ``suffix`` files beside those ``files`` that have none among ``partners``.
-
-    Spark's listing leaves empty files out, yet an empty transcript is a valid
-    one. Only paths are compared, and only unpaired ones are looked up.
-    """
-    stem = path_stem(F.col("path")).alias("stem")
-    lonely = files.select("path", stem).join(partners.select(stem), "stem", "left_anti")
-    return read_partners(corpus_dir, lonely.select("path"), suffix)
-
-
-def recordings(spark: SparkSession, corpus_dir: str, names: Sequence[str]) -> DataFrame:
-    return find_files(spark, corpus_dir, names, "*.wav")
-
-
-def transcripts(spark: SparkSession, corpus_dir: str, names: Sequence[str]) -> DataFrame:
-    return find_files(spark, corpus_dir, names, "*.txt")
+CHECKED = T.StructType(
+    [
+        T.StructField("path", T.StringType()),
+        *[UTTERANCE[name] for name in ("text", "duration", "split", "OG_corpus")],
+        T.StructField("reason", T.StringType()),
+    ]
+)
 
 
 def pair(audio: DataFrame, texts: DataFrame, split_match: str = "anywhere") -> DataFrame:
@@ -114,20 +47,68 @@ def pair(audio: DataFrame, texts: DataFrame, split_match: str = "anywhere") -> D
         "content",
         seconds(wav_info(F.col("content"))).alias("duration"),
     )
+    joined = heads.join(sidecar, "stem", "left")
+    return joined.select(
+        F.struct(F.col("content").alias("bytes"), F.col("path").alias("path")).alias("audio"), *_described(split_match)
+    )
+
+
+def _described(split_match: str) -> list[Column]:
+    """Utterance columns and ``reason`` out of ``path, transcript, duration``."""
     valid = F.is_valid_utf8("transcript")
     # text files are read with every line ending turned into a line feed
     text = strip_ws(F.regexp_replace("transcript", r"\r\n?", "\n"))
-    return heads.join(sidecar, "stem", "left").select(
-        F.struct(F.col("content").alias("bytes"), F.col("path").alias("path")).alias("audio"),
+    return [
         F.when(valid, text).alias("text"),
-        "duration",
+        F.col("duration"),
         split_from_path(F.col("path"), split_match).alias("split"),
         parent_name(F.col("path")).alias("OG_corpus"),
         F.when(F.col("transcript").isNull(), NO_TRANSCRIPT)
         .when(~valid, BAD_TRANSCRIPT)
         .when(F.col("duration").isNull(), BAD_AUDIO)
         .alias("reason"),
-    )
+    ]
+
+
+def check_pairs(pairs: DataFrame, corpus_dir: str, split_match: str = "anywhere") -> DataFrame:
+    """:data:`CHECKED` rows of recordings ``path, size, text_path``, without their audio, stored.
+
+    The task that checks a pair reads its transcript and the head of its recording.
+    """
+    heads = read_files(pairs.select("path", "size", "text_path"), corpus_dir, "head", most=HEADER_BYTES)
+    heads = read_files(heads, corpus_dir, "raw", "text_path").withColumn("transcript", F.col("raw").cast("string"))
+    heads = heads.withColumn("duration", seconds(wav_info(F.col("head"), F.col("size"))))
+    wave = F.coalesce(F.substring("head", 1, 4).isin(b"RIFF", b"RF64"), F.lit(False))
+    late = F.col("duration").isNull() & (F.col("size") > HEADER_BYTES) & wave
+    done = heads.select("path", *_described(split_match), F.when(late, F.col("path")).alias("late"), "transcript")
+    done = staged(done, "checked")
+    if done.where("late is not null").limit(1).count():
+        whole = read_files(done.where("late is not null").drop("duration"), corpus_dir, "whole", "late")
+        whole = whole.withColumn("duration", seconds(wav_info(F.col("whole"))))
+        again = whole.select("path", *_described(split_match))
+        done = staged(done.where("late is null").select(*CHECKED.names).unionByName(again), "checked")
+    return done.select(*CHECKED.names)
+
+
+def checked_files(spark: SparkSession, corpus_dir: str, names: Sequence[str], split_match: str = "anywhere") -> DataFrame:
+    """:func:`check_pairs` of every recording below ``corpus_dir/name``.
+
+    Folders are listed in tasks, and recordings and transcripts meet as paths.
+    Recordings named ``*.wav``, letter case included, count whatever their size
+    and first character.
+    """
+    files = list_files(spark, corpus_dir, names)
+    stem = path_stem(F.col("path")).alias("stem")
+    texts = with_suffix(files, ".txt").select(stem, F.col("path").alias("text_path"))
+    pairs = with_suffix(files, ".wav").select(stem, "path", "size").join(texts, "stem", "left")
+    return check_pairs(pairs, corpus_dir, split_match)
+
+
+def with_audio(rows: DataFrame, corpus_dir: str) -> DataFrame:
+    """``rows`` with ``audio`` in place of ``path``: each recording is read once, in the task that has its row."""
+    read = read_files(rows, corpus_dir)
+    audio = F.struct(F.col("content").alias("bytes"), "path").alias("audio")
+    return read.select(audio, *[c for c in rows.columns if c != "path"])
 
 
 def accepted(paired: DataFrame, strict: bool = False) -> DataFrame:
@@ -140,30 +121,10 @@ def rejects(paired: DataFrame) -> DataFrame:
     return paired.filter(F.col("reason").isNotNull()).select(F.col("audio.path").alias("path"), "reason")
 
 
-def corpus_files(
-    spark: SparkSession, corpus_dir: str, names: Sequence[str], look_for_empty: bool = True
-) -> tuple[DataFrame, DataFrame]:
-    """Recordings and transcripts, each as ``path, content``.
-
-    ``look_for_empty`` asks the file system for zero-byte partners of unpaired
-    files, which needs a file system that Arrow can open.
-    """
-    audio, texts = recordings(spark, corpus_dir, names), transcripts(spark, corpus_dir, names)
-    if look_for_empty:
-        empty_texts = unlisted_partners(corpus_dir, audio, texts, ".txt")
-        empty_audio = unlisted_partners(corpus_dir, texts, audio, ".wav")
-        audio, texts = audio.unionByName(empty_audio), texts.unionByName(empty_texts)
-    return audio, texts
-
-
 def build_utterances(
-    spark: SparkSession,
-    corpus_dir: str,
-    names: Sequence[str],
-    split_match: str = "anywhere",
-    strict: bool = False,
-    look_for_empty: bool = True,
+    spark: SparkSession, corpus_dir: str, names: Sequence[str], split_match: str = "anywhere", strict: bool = False
 ) -> tuple[DataFrame, DataFrame]:
     """Utterances and rejects of the named datasets below ``corpus_dir``."""
-    both = pair(*corpus_files(spark, corpus_dir, names, look_for_empty), split_match)
-    return accepted(both, strict), rejects(both)
+    checked = checked_files(spark, corpus_dir, names, split_match)
+    sound = with_audio(checked.where("reason is null").drop("reason"), corpus_dir)
+    return conform(with_fillers(sound, strict)), checked.where("reason is not null").select("path", "reason")

@@ -5,10 +5,14 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from parlato.sources.audio import accepted, pair, read_partners, rejects, relative_to
+from parlato.functions.text import path_stem
+from parlato.schema import UTTERANCE, conform, with_fillers
+from parlato.sources.audio import check_pairs, with_audio
+from parlato.sources.listing import existing, relative_paths
 
 FILE = T.StructType(
     [
@@ -31,24 +35,34 @@ def ingest_audio(
     """Turn the recordings that have arrived below ``corpus_dir`` into rows of ``output/utterances``.
 
     Runs until all of them are done, then stops; started again, it takes up new
-    files only. Transcripts must be there before their recordings. Each batch
-    writes its own folder, and replaces it when it is replayed after a failure.
-    Skipped recordings go to ``output/rejects``.
+    files only. Recordings and transcripts arrive in any order: either one makes
+    its batch look for the other, so a recording without a transcript is rejected
+    at first and taken up when the transcript comes. Only paths are streamed; a
+    batch reads each recording once, and one that an earlier batch has stored is
+    not stored again. Each batch writes its own folder, and replaces it when it is
+    replayed after a failure. Skipped recordings go to ``output/rejects``;
+    :func:`open_rejects` leaves out those taken up since.
     """
     arriving = (
         spark.readStream.format("binaryFile")
         .schema(FILE)
         .option("recursiveFileLookup", True)
-        .option("pathGlobFilter", "*.wav")
+        .option("pathGlobFilter", "*.{wav,txt}")
         .option("maxFilesPerTrigger", files_per_batch)
         .load(corpus_dir)
+        .select("path")
     )
 
     def store(found: DataFrame, batch_id: int) -> None:
-        audio = relative_to(found, corpus_dir)
-        both = pair(audio, read_partners(corpus_dir, audio, ".txt"), split_match)
-        accepted(both).write.mode("overwrite").parquet(f"{output}/utterances/batch={batch_id}")
-        rejects(both).write.mode("overwrite").parquet(f"{output}/rejects/batch={batch_id}")
+        stems = relative_paths(found, corpus_dir).select(path_stem(F.col("path")).alias("stem")).distinct()
+        both = stems.select(F.concat("stem", F.lit(".wav")).alias("path"), F.concat("stem", F.lit(".txt")).alias("text"))
+        both = existing(existing(both, corpus_dir, "path", "size"), corpus_dir, "text", "text_size")
+        pairs = both.where("size is not null").withColumn("text_path", F.when(F.col("text_size").isNotNull(), F.col("text")))
+        checked = check_pairs(_not_stored(pairs, f"{output}/utterances", batch_id), corpus_dir, split_match)
+        sound = with_audio(checked.where("reason is null").drop("reason"), corpus_dir)
+        conform(with_fillers(sound)).write.mode("overwrite").parquet(f"{output}/utterances/batch={batch_id}")
+        skipped = checked.where("reason is not null").select("path", "reason")
+        skipped.write.mode("overwrite").parquet(f"{output}/rejects/batch={batch_id}")
 
     return (
         arriving.writeStream.foreachBatch(store)
@@ -58,6 +72,23 @@ def ingest_audio(
     )
 
 
+def _not_stored(pairs: DataFrame, utterances: str, batch_id: int) -> DataFrame:
+    """Recordings that no earlier batch has stored; the batch's own folder is of a run that failed."""
+    if batch_id == 0:
+        return pairs
+    stored = pairs.sparkSession.read.schema(T.StructType([*UTTERANCE.fields, T.StructField("batch", T.LongType())])).parquet(utterances)
+    earlier = stored.where(F.col("batch") < batch_id).select(F.col("audio.path").alias("path"))
+    return pairs.join(earlier, "path", "left_anti")
+
+
+def open_rejects(spark: SparkSession, output: str) -> DataFrame:
+    """``path, reason`` of the recordings that no batch has taken up: the reason of the last batch that saw them."""
+    seen = spark.read.schema("path string, reason string, batch long").parquet(f"{output}/rejects")
+    last = seen.groupBy("path").agg(F.max_by("reason", "batch").alias("reason"))
+    taken = spark.read.schema(UTTERANCE).parquet(f"{output}/utterances").select(F.col("audio.path").alias("path"))
+    return last.join(taken, "path", "left_anti")
+
+
 def stream_table(
     spark: SparkSession, source: str, schema: T.StructType, glob: str = "*.parquet", files_per_batch: int = 1000
 ) -> DataFrame:

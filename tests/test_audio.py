@@ -9,7 +9,7 @@ from parlato.functions.wav import seconds, wav_info
 from parlato.plans.create import audio_to_shards, label_splits, materialise_splits, read_dataset
 from parlato.schema import UTTERANCE
 from parlato.sources.audio import BAD_AUDIO, BAD_TRANSCRIPT, NO_TRANSCRIPT, build_utterances
-from parlato.streaming.ingest import ingest_audio
+from parlato.streaming.ingest import ingest_audio, open_rejects
 
 LIST_CHUNK = b"LIST" + struct.pack("<I", 5) + b"hello\0"
 
@@ -88,6 +88,9 @@ def corpus(tmp_path):
         "FL/zero.wav": (b"", b"hi"),
         "FL/noise.wav": (b"noise" * 20, b"hi"),
         "FL/UPPER.WAV": (wav(800), b"upper"),
+        "FL/_hidden.wav": (wav(800), b"under"),
+        "FL/.dots/.x.wav": (wav(1600), b"dot"),
+        "FL/late data.wav": (wav(160, before=b"LIST" + (200_000).to_bytes(4, "little") + bytes(200_000)), b"late"),
         "VX/x.y.wav": (wav(160, before=LIST_CHUNK), b"dots"),
         "other/o.wav": (wav(800), b"not asked for"),
     }
@@ -113,6 +116,9 @@ def test_build_utterances(spark, corpus):
         "FL/contest.wav": ("substring", 0.05, "test", "FL"),
         "FL/empty text.wav": ("", 0.05, prefix, "FL"),
         "VX/x.y.wav": ("dots", 0.01, prefix, "VX"),
+        "FL/_hidden.wav": ("under", 0.05, prefix, "FL"),
+        "FL/.dots/.x.wav": ("dot", 0.1, prefix, ".dots"),
+        "FL/late data.wav": ("late", 0.01, prefix, "FL"),
     }
     assert {r.path[below:]: r.reason for r in skipped.collect()} == {
         "FL/bad.wav": BAD_TRANSCRIPT,
@@ -176,3 +182,10 @@ def test_incremental_ingest(spark, tmp_path):
     assert sorted(r.text for r in rows.select("text").collect()) == list("abcd")
     assert rows.first().audio.path.startswith(str(base))
     assert [r.reason for r in spark.read.parquet(f"{out}/rejects").collect()] == [NO_TRANSCRIPT]
+    # the transcript of a recording that was rejected, and an empty recording
+    (base / "lone.txt").write_text("found")
+    (base / "none.wav").write_bytes(b"")
+    (base / "none.txt").write_text("x")
+    ingest_audio(spark, str(base), out, state).awaitTermination()
+    assert sorted(r.text for r in spark.read.parquet(f"{out}/utterances").select("text").collect()) == ["a", "b", "c", "d", "found"]
+    assert [(r.path.rsplit("/", 1)[1], r.reason) for r in open_rejects(spark, out).collect()] == [("none.wav", BAD_AUDIO)]

@@ -4,10 +4,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from parlato import catalogue
-from parlato.operators import filters, sampling
+from parlato.operators import filters, numbering, sampling
 from parlato.plans.prepare import prepared
 from parlato.plans.training import training_rows
 from parlato.schema import conform, with_fillers
+from parlato.session import fill_cluster
 from parlato.sources import audio, shards
 
 
@@ -67,19 +68,25 @@ def test_training_read_pushes_filters(spark, stored):
     assert text.count("Exchange") == 1 and "rangepartitioning" not in text
 
 
-def test_rejects_do_not_shuffle_audio(spark, tmp_path):
-    (tmp_path / "n").mkdir()
-    (tmp_path / "n" / "a.wav").write_bytes(b"x")
-    (tmp_path / "n" / "b.txt").write_bytes(b"x")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        _, skipped = audio.build_utterances(spark, str(tmp_path), ["n"], look_for_empty=False)
-        # what crosses the network on the audio side is stem, path and duration
-        moved = [line for line in plan(skipped).splitlines() if "Project [" in line and "AS duration" in line]
-        assert moved and not any("content#" in line.split(" AS stem")[0] for line in moved)
-        assert not any(", content#" in line.split("element_at(")[0] for line in moved)
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+def test_audio_is_read_where_it_is_written(spark, tmp_path):
+    rows = spark.createDataFrame([("x/a.wav", "n", 0)], "path string, name string, shard long")
+    dealt = rows.repartition("name", "shard").sortWithinPartitions("name", "shard")
+    lines = plan(audio.with_audio(dealt, str(tmp_path))).splitlines()
+    read = next(k for k, line in enumerate(lines) if "MapInArrow" in line)
+    assert not any("Exchange" in line for line in lines[:read]) and any("Exchange" in line for line in lines[read:])
+
+
+def test_offsets_of_a_million_files_move_no_rows(spark, stored):
+    rows = shards.read_shards(spark, stored)
+    files = spark.createDataFrame([("f", 0)], "__file string, __start long")
+    text = plan(numbering._with_offsets(rows, files, 1_000_000, "n"))
+    assert "BroadcastHashJoin" in text and "SortMergeJoin" not in text and text.count("Exchange") == 1
+
+
+@pytest.mark.parametrize("name", [n for n in catalogue.QUERIES if n.startswith("normalize_")])
+def test_normalising_large_input_has_no_exchange(spark, monkeypatch, name):
+    monkeypatch.setattr(catalogue, "fill_cluster", lambda df: fill_cluster(df, 100))
+    assert "Exchange" not in plan(catalogue.QUERIES[name](spark, "/root/testdata/sf0.001"))
 
 
 @pytest.mark.parametrize("name", sorted(set(catalogue.QUERIES) - {"ingest_stream"}))
