@@ -16,14 +16,15 @@ from pyspark.sql import types as T
 from parlato.functions import text as X
 from parlato.functions.edits import word_edit_distance
 from parlato.operators import batching, filters, lookup, numbering, report, sampling, scoring, union
-from parlato.plans.create import as_utterances, label_splits, materialise_splits, read_dataset, table_to_shards
+from parlato.plans.create import as_utterances, audio_to_shards, label_splits, materialise_splits, read_dataset, table_to_shards
 from parlato.plans.evaluate import evaluate, scoring_pairs
 from parlato.plans.prepare import prepared
-from parlato.plans.training import map_rows
+from parlato.plans.training import map_rows, read_for_training
+from parlato.schema import UTTERANCE
 from parlato.session import fill_cluster, scratch_path
-from parlato.sources import audio, shards, tables, transcripts
+from parlato.sources import audio, listing, shards, tables, transcripts
 from parlato.sources.arrow_ipc import first_arrow_rows, read_arrow, write_arrow
-from parlato.streaming.ingest import append_stream, stream_table
+from parlato.streaming.ingest import append_stream, ingest_audio, open_rejects, stream_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -586,6 +587,55 @@ def wav_rejects(spark, sf_dir):
     return audio.rejects(audio.pair(*_audio_files(spark, sf_dir)))
 
 
+def _corpus_on_disk(spark: SparkSession, sf_dir: str) -> str:
+    """The files of :func:`_audio_files` written to the shared folder, one dataset; some names are hidden, some files empty."""
+    folder = scratch_path(spark, "corpus")
+    wav, txt = _audio_files(spark, sf_dir)
+    doc_id = F.regexp_extract("path", r"/(\d+)\.", 1).cast("long")
+    mark = F.when(doc_id % 17 == 0, "_").when(doc_id % 19 == 0, ".").otherwise("")
+    named = F.concat(F.lit(f"{folder}/"), F.regexp_extract("path", "^(.*/)", 1), mark, F.regexp_extract("path", "([^/]*)$", 1))
+    content = F.when((doc_id % 23 == 0) & F.col("path").endswith(".wav"), F.lit(b"")).otherwise(F.col("content"))
+    files = wav.unionByName(txt).select(named.alias("path"), content.alias("content"))
+    listing.store_files(files, folder)
+    return folder
+
+
+def _place_in_corpus(path: Column) -> Column:
+    return F.regexp_extract(path, r"/(corpus/.*)$", 1)
+
+
+@query
+def audio_files_to_shards(spark, sf_dir):
+    """Recordings and transcripts as files in folders, to shards of 100 rows."""
+    corpus, dataset = _corpus_on_disk(spark, sf_dir), scratch_path(spark, "dataset")
+    audio_to_shards(spark, corpus, dataset, ["corpus"], 100)
+    rows = read_dataset(spark, dataset)
+    path, size = _place_in_corpus(F.col("audio.path")), F.length("audio.bytes").cast("long")
+    return rows.select(path.alias("path"), "shard", "text", "duration", "split", size.alias("n_bytes"))
+
+
+@query
+def audio_files_rejects(spark, sf_dir):
+    """The recordings of the same folders that are left out, with reasons."""
+    corpus = _corpus_on_disk(spark, sf_dir)
+    left = audio_to_shards(spark, corpus, scratch_path(spark, "dataset"), ["corpus"], 100)
+    return left.select(_place_in_corpus(F.col("path")).alias("path"), "reason")
+
+
+@query
+def training_order(spark, sf_dir):
+    """Usable rows of the training split in a reproducible random order, with their place in it."""
+    source, ordered = scratch_path(spark, "split"), scratch_path(spark, "ordered")
+    docs = table(spark, sf_dir, "documents")
+    audio_column = F.struct(F.encode("text", "UTF-8").alias("bytes"), F.col("doc_id").cast("string").alias("path"))
+    stored = docs.select("doc_id", audio_column.alias("audio"), "text", (F.col("n_chars") / 100.0).alias("duration"))
+    stored = stored.withColumn("audio", F.when(F.col("doc_id") % 5 > 0, F.col("audio")))
+    shards.write_splits(stored.withColumn("split", F.when(F.col("doc_id") % 3 == 0, "test").otherwise("train")), source)
+    read_for_training(spark, source).select("doc_id").write.parquet(ordered)
+    part = F.regexp_extract("__file", r"part-(\d+)-", 1).cast("long")
+    return numbering.number_by_file(spark.read.parquet(ordered), "place", part)
+
+
 # --- streaming ----------------------------------------------------------------------------------------
 
 
@@ -600,3 +650,20 @@ def ingest_stream(spark, sf_dir):
     )
     append_stream(filters.at_most(rows), output, checkpoint).awaitTermination()
     return spark.read.schema("doc_id long, text string, duration double").parquet(output)
+
+
+@query
+def ingest_audio_stream(spark, sf_dir):
+    """Recordings that arrive before some of their transcripts; a second run takes up what the first had rejected."""
+    folder, output, state = (scratch_path(spark, "arriving") for _ in range(3))
+    wav, txt = _audio_files(spark, sf_dir)
+    below = F.concat(F.lit(f"{folder}/"), "path").alias("path")
+    late = F.regexp_extract("path", r"/(\d+)\.", 1).cast("long") % 4 == 0
+    listing.store_files(wav.unionByName(txt.where(~late)).select(below, "content"), folder)
+    ingest_audio(spark, folder, output, state).awaitTermination()
+    listing.store_files(txt.where(late).select(below, "content"), folder)
+    ingest_audio(spark, folder, output, state).awaitTermination()
+    stored = spark.read.schema(UTTERANCE).parquet(f"{output}/utterances")
+    taken = stored.select(_place_in_corpus(F.col("audio.path")).alias("path"), F.lit(None).cast("string").alias("reason"))
+    left = open_rejects(spark, output)
+    return taken.unionByName(left.select(_place_in_corpus(F.col("path")).alias("path"), "reason"))

@@ -199,6 +199,19 @@ ORACLE: dict[str, str] = {
         FROM (SELECT * REPLACE (regexp_replace(regexp_replace(text, '^\\s+', ''), '\\s+$', '') AS text) FROM stored)
         WHERE reason IS NULL""",
     "wav_rejects": f"WITH {AUDIO} SELECT path, reason FROM stored WHERE reason IS NOT NULL",
+    "audio_files_to_shards": f"""WITH {AUDIO}, files AS (SELECT *, regexp_replace(path, '[^/]*$', '') || CASE WHEN doc_id % 17 = 0 THEN '_'
+        WHEN doc_id % 19 = 0 THEN '.' ELSE '' END || regexp_extract(path, '[^/]*$') AS place FROM stored),
+        kept AS (SELECT *, row_number() OVER (ORDER BY place) - 1 AS n FROM files WHERE reason IS NULL AND doc_id % 23 <> 0)
+        SELECT place AS path, n // 100 AS shard, regexp_replace(regexp_replace(text, '^\\s+', ''), '\\s+$', '') AS text,
+        n_chars / 100.0::DOUBLE AS duration, CASE WHEN lang = 'en' THEN 'test' ELSE 'train' END AS split, n_chars + 44 AS n_bytes
+        FROM kept""",
+    "audio_files_rejects": f"""WITH {AUDIO}, files AS (SELECT *, regexp_replace(path, '[^/]*$', '') || CASE WHEN doc_id % 17 = 0
+        THEN '_' WHEN doc_id % 19 = 0 THEN '.' ELSE '' END || regexp_extract(path, '[^/]*$') AS place FROM stored)
+        SELECT place AS path, coalesce(reason, 'audio header not readable') AS reason FROM files
+        WHERE reason IS NOT NULL OR doc_id % 23 = 0""",
+    "ingest_audio_stream": f"WITH {AUDIO} SELECT path, reason FROM stored",
+    "training_order": """SELECT doc_id, row_number() OVER (ORDER BY md5('42:' || doc_id), doc_id::VARCHAR) - 1 AS place
+        FROM documents WHERE doc_id % 3 <> 0 AND doc_id % 5 > 0""",
     "ingest_stream": f"""SELECT doc_id, {norm("text")} AS text, n_chars / 100.0::DOUBLE AS duration FROM documents
         WHERE n_chars / 100.0::DOUBLE <= 30.0""",
 }
