@@ -17,8 +17,8 @@ from parlato.session import staged
 TEST_FRACTION = 0.048
 SEED = 42
 
-# A cutoff takes some 150 bytes, so this many are a broadcast of about 150 MB.
-MAX_BROADCAST_SHARDS = 1_000_000
+# Bytes of cutoffs that are sent to all rows: some 150 a shard with names and keys of usual length.
+MAX_BROADCAST_BYTES = 500_000_000
 
 
 # A bucket of this many (hash, key) rows is sorted by one task; larger ones are cut finer.
@@ -57,15 +57,20 @@ def _last_buckets(counts: DataFrame) -> DataFrame:
     )
 
 
+def _sent_if_small(stored: DataFrame) -> DataFrame:
+    """``stored`` marked for a broadcast if its values and their overhead stay within :data:`MAX_BROADCAST_BYTES`."""
+    size = stored.agg(F.sum(F.octet_length(F.to_json(F.struct("*"))) + 100)).first()[0] or 0
+    return F.broadcast(stored) if size <= MAX_BROADCAST_BYTES else stored
+
+
 def _rows_of(rows: DataFrame, last: DataFrame) -> tuple[DataFrame, int]:
     """The rows that lie in the ``last`` buckets, and the size of the largest of these."""
     last = staged(last, "buckets")
-    size = last.agg(F.count("*").alias("shards"), F.max("__n").alias("largest")).first()
+    largest = last.agg(F.max("__n")).first()[0]
     ends = last.select(F.col("__shard").alias("__s"), F.col("__bucket").alias("__b"), "__need")
-    if size.shards <= MAX_BROADCAST_SHARDS:
-        ends = F.broadcast(ends)
+    ends = _sent_if_small(ends)
     inside = F.col("__shard").eqNullSafe(F.col("__s")) & (F.col("__bucket") == F.col("__b"))
-    return rows.join(ends, inside).drop("__s", "__b"), size.largest or 0
+    return rows.join(ends, inside).drop("__s", "__b"), largest or 0
 
 
 def sample_size(rows: Column, fraction: float = TEST_FRACTION) -> Column:
@@ -129,9 +134,10 @@ def assign_split(
     ``shard`` is a column, several, or None if all of ``df`` is one shard; ``key``
     may be null or repeat if ``tie`` tells such rows apart, for stored rows their file and
     place in it. Without ``tie``, :class:`RepeatedKey` is raised where a shard's sample
-    would end among rows of one key. The result depends on seed, keys, ties and shards only. The cutoffs, one row per shard, are worked out first and stored. Up to
-    :data:`MAX_BROADCAST_SHARDS` of them are sent to the rows, so that no row of
-    ``df`` is moved; a planner that guesses their size would shuffle ``df`` first.
+    would end among rows of one key. The result depends on seed, keys, ties and shards
+    only. The cutoffs, one row per shard, are worked out first and stored. Up to a size
+    of :data:`MAX_BROADCAST_BYTES` they are sent to the rows, so that no row of ``df`` is
+    moved; a planner that guesses their size would shuffle ``df`` first.
     """
     if tie is not None:
         # a column of its own, since the cutoffs come from files as well
@@ -146,8 +152,7 @@ def assign_split(
     if shard is None:
         cut = cuts.select(last).scalar()
         return df.withColumn(split_col, F.when(mine <= cut, "test").otherwise("train")).drop("__tie")
-    if cuts.count() <= MAX_BROADCAST_SHARDS:
-        cuts = F.broadcast(cuts)
+    cuts = _sent_if_small(cuts)
     return (
         df.join(cuts, _shard_key(shard).eqNullSafe(F.col("__cut_shard")), "left")
         .withColumn(split_col, F.when(mine <= last, "test").otherwise("train"))

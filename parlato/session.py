@@ -64,6 +64,12 @@ def staged(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete what jobs have stored for their own use. Frames that read it, results of earlier jobs included, end with it."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/parlato")
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def fill_cluster(df: DataFrame, max_bytes: int = SMALL_BYTES) -> DataFrame:
     """Spread a scan of at most ``max_bytes``, which may be one split however many cores wait.
 

@@ -50,6 +50,33 @@ def test_split_of_empty_table_has_no_rows(spark):
     assert sampling.assign_split(df, "utt", None).count() == 0
 
 
+def test_repeated_and_null_keys(spark):
+    rows = [(None if i % 2 else "same", i // 500, i) for i in range(1000)]
+    df = spark.createDataFrame(rows, "key string, shard int, place int")
+    with pytest.raises(sampling.RepeatedKey):
+        sampling.assign_split(df, "key", "shard")
+    out = sampling.assign_split(df, "key", "shard", tie=F.col("place").cast("string"))
+    assert out.columns == [*df.columns, "split"] and split_counts(out, "shard") == {0: (500, 24), 1: (500, 24)}
+    cut = sampling.split_cutoffs(df, "key", "shard", max_sorted=1, tie=F.col("place").cast("string"))
+    assert sorted(cut.collect()) == sorted(sampling.split_cutoffs(df, "key", "shard", tie=F.col("place").cast("string")).collect())
+    assert sampling.assign_split(df, "key", None, 0.1, tie=F.col("place").cast("string")).filter("split = 'test'").count() == 100
+
+
+def test_large_cutoffs_are_not_sent(spark, monkeypatch):
+    df = spark.range(3000).select(F.col("id").cast("string").alias("utt"), (F.col("id") % 3).alias("shard"))
+    whole = sampling.assign_split(df, "utt", "shard")
+    monkeypatch.setattr(sampling, "MAX_BROADCAST_BYTES", 0)
+    assert sorted(sampling.assign_split(df, "utt", "shard").collect()) == sorted(whole.collect())
+
+
+def test_report_counts_dropped_rows(spark):
+    rows = [("a", "train", 1.0), ("a", "validation", 2.0), ("a", None, 3.0), ("a", "test", 40.0)]
+    out = report.split_report(spark.createDataFrame(rows, "OG_corpus string, split string, duration double"))
+    assert {(r.split, r.dropped, r.total_seconds) for r in out.collect()} == {
+        ("train", False, 1.0), ("validation", True, 2.0), (None, True, 3.0), ("test", False, 40.0),
+    }
+
+
 def test_positions_of_the_older_sampler(spark):
     sizes = [1, 2, 20, 21, 333]
     rows = [(shard, i) for shard, n in enumerate(sizes) for i in range(n)]

@@ -6,12 +6,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from parlato.operators.lookup import MissingReference
-from parlato.plans.create import read_dataset, table_to_shards
+from parlato.plans.create import as_utterances, label_splits, materialise_splits, read_dataset, table_to_shards
 from parlato.plans.evaluate import evaluate
 from parlato.plans.prepare import prepare
 from parlato.plans.training import map_rows, read_for_training
 from parlato.schema import conform, with_fillers
 from parlato.sources import arrow_ipc, shards, tables, transcripts
+from parlato.sources.transcripts import read_transcripts
 
 
 def write_ipc(path, table, rows_per_batch=None):
@@ -206,3 +207,43 @@ def test_evaluate(spark, tmp_path):
     assert lines_of(f"{out}/ref") == ["Ciao bella (a)", "Perche no (b)"]
     with pytest.raises(MissingReference):
         evaluate(spark, str(script), str(refs), hyps.union(spark.createDataFrame([("gone.wav", "x")], hyps.schema)), out)
+
+
+def test_jobs_fail_on_missing_columns(spark, tmp_path):
+    rows = spark.createDataFrame([("x", "train")], "text string, split string")
+    rows.write.parquet(f"{tmp_path}/a")
+    with pytest.raises(ValueError, match="duration"):
+        prepare(spark, f"{tmp_path}/a", f"{tmp_path}/b")
+    with pytest.raises(ValueError, match="duration"):
+        materialise_splits(spark, [f"{tmp_path}/a"], f"{tmp_path}/b")
+    rows.drop("split").withColumn("duration", F.lit(1.0)).write.parquet(f"{tmp_path}/c")
+    with pytest.raises(ValueError, match="split"):
+        prepare(spark, f"{tmp_path}/c", f"{tmp_path}/b")
+
+
+def test_shards_of_an_earlier_cut_go(spark, tmp_path):
+    source, out, labelled = (str(tmp_path / name) for name in ("t", "d", "l"))
+    rows = spark.range(100).select(F.lit("x").alias("text"), F.lit(1.0).alias("duration"))
+    as_utterances(rows).coalesce(1).write.parquet(source)
+    for rows_per_shard in (10, 40):
+        table_to_shards(spark, source, out, "N", rows_per_shard)
+        table_to_shards(spark, source, out, "other", 50)
+        label_splits(spark, out, labelled, ["N"])
+        # no row has a path; exact samples all the same
+        found = {r.shard: (r.n, r.t) for r in read_dataset(spark, labelled, ["N"]).groupBy("shard").agg(
+            F.count("*").alias("n"), F.sum((F.col("split") == "test").cast("int")).alias("t")).collect()}
+        sizes = [rows_per_shard] * (100 // rows_per_shard) + ([20] if rows_per_shard == 40 else [])
+        assert found == {k: (n, max(1, int(n * 0.048))) for k, n in enumerate(sizes)}
+    assert read_dataset(spark, out).count() == 200
+
+
+def test_last_reference_of_a_file(spark, tmp_path):
+    (tmp_path / "script.sh").write_text("python doasr_home.py /home/docker/a.wav\n")
+    lines = ["path,sentence,up_votes", "a.mp3,first,9", "a.mp3,second,9", "a.mp3,third,1"]
+    (tmp_path / "refs.csv").write_text("\n".join(lines) + "\n")
+    hyps = spark.createDataFrame([("a.wav", "second")], "name string, hyp string")
+    for multi_line in (True, False):
+        total = evaluate(spark, f"{tmp_path}/script.sh", f"{tmp_path}/refs.csv", hyps, f"{tmp_path}/out", multi_line=multi_line)
+        assert (total.first().n_pairs, total.first().edits) == (1, 0)
+    lines = read_transcripts(spark, f"{tmp_path}/out").collect()
+    assert sorted((r.side, r.place, r.line) for r in lines) == [("hyp", 0, "second (a)"), ("ref", 0, "second (a)")]
