@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 from parlato.llm.common import table
 
 # Words, and runs of them, whose encodings a generation of kept results holds.
-KEPT_WORDS = 120_000
+KEPT_WORDS = 50_000
 # Rows whose results a worker holds at a time.
 SLICE_ROWS = 500
 
@@ -49,9 +49,8 @@ class Automaton:
         self.ids, self.suffix = vocabulary, suffix
         self.tokens = {i: t for t, i in vocabulary.items()}
         self.removed: dict[tuple[int, int], int] = {}
-        self.left: dict[int, int] = {}
-        self.right: dict[int, int] = {}
-        self.time: dict[int, int] = {}
+        top = max(vocabulary.values(), default=-1) + 1
+        self.left, self.right, self.time = [-1] * top, [-1] * top, [-1] * top
         made = {a + b for a, b in merges}
         arcs = {i for t, i in vocabulary.items() if t not in made}
         for time, (a, b) in enumerate(merges):
@@ -77,7 +76,7 @@ class Automaton:
         while True:
             if self.removed.get((state, label), time) < time:
                 return False
-            made, entered = self.time.get(label, -1), self.time.get(state, -1)
+            made, entered = self.time[label], self.time[state]
             if made == entered == -1:
                 return True
             if made >= entered:  # the arc was put beside that of its left part, after the removal

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from parlato.session import staged
 
 # Bytes of text that one group of documents holds on average.
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 2 << 20
 # Keys that one shard of a distributed count holds on average.
 SHARD_KEYS = 2_000_000
 
