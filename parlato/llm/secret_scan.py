@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import hashlib
 import re
 from collections.abc import Iterator
 from typing import NamedTuple
@@ -29,7 +28,8 @@ CONTEXT = 24
 # Findings of each class that the network learns from, at most; chosen by hash.
 SAMPLE = 4000
 RECALL = 0.99
-LEAST_PROBABILITY = 0.5
+# Width of the bins in which the network's outputs are counted.
+BIN = 1 / 256
 
 _RUN = bytes(49 if chr(b) in "+/_.=-" or chr(b).isalnum() and b < 128 else 48 for b in range(256))
 _HEX = bytes(49 if chr(b) in "0123456789abcdef" else 48 for b in range(256))
@@ -187,23 +187,27 @@ class Network:
                     v += 0.001 * (g * g - v)
                     w -= rate * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-8)
 
-    def calibrate(self, windows: list[str], labels: np.ndarray) -> None:
-        """Fit a logistic curve to the outputs for findings not learned from, then the thresholds.
+    def calibrate(self, counts: pd.DataFrame) -> None:
+        """Fit a logistic curve to the outputs for findings, then the thresholds.
 
-        A threshold is the highest probability that still keeps ``RECALL`` of the
-        true findings, ``LEAST_PROBABILITY`` at least; after an equals sign or colon
-        it is one of its own.
+        ``counts`` has ``label, keyed, bin, n``: findings by place and by output in bins of
+        ``BIN``. A threshold is the highest bin edge that still keeps ``RECALL`` of the
+        true findings; after an equals sign or colon it is one of its own.
         """
-        logit = self.logits(windows)
-        a = 1 / max(float(logit.std()), 1e-3)
-        b = -a * float(logit.mean())
+        logit, labels = (counts["bin"].to_numpy(np.float64) + 0.5) * BIN, counts["label"].to_numpy()
+        times = counts["n"].to_numpy(np.float64)
+        mean = float(np.average(logit, weights=times))
+        a = 1 / max(float(np.sqrt(np.average((logit - mean) ** 2, weights=times))), 1e-3)
+        b = -a * mean
         # targets drawn in by one finding a class keep the curve from becoming a step
-        n = labels.sum()
-        target = np.where(labels == 1, (n + 1) / (n + 2), 1 / (len(labels) - n + 2))
+        n, total = times[labels == 1].sum(), times.sum()
+        target = np.where(labels == 1, (n + 1) / (n + 2), 1 / (total - n + 2))
+        # shares, as sums over many findings would drown what keeps the matrix regular
+        times = times / total
         for _ in range(50):
             p = 1 / (1 + np.exp(-np.clip(a * logit + b, -30, 30)))
-            w, d = p * (1 - p) + 1e-9, p - target
-            hessian = np.array([[(w * logit * logit).sum(), (w * logit).sum()], [(w * logit).sum(), w.sum()]]) + 1e-6 * np.eye(2)
+            w, d = times * (p * (1 - p) + 1e-9), times * (p - target)
+            hessian = np.array([[(w * logit * logit).sum(), (w * logit).sum()], [(w * logit).sum(), w.sum()]]) + 1e-9 * np.eye(2)
             move = np.linalg.solve(hessian, [(d * logit).sum(), d.sum()])
             # short steps: between well parted classes the curve is flat
             move *= min(1.0, 1.0 / max(np.abs(move).max(), 1e-12))
@@ -211,19 +215,22 @@ class Network:
             if np.abs(move).max() < 1e-6:
                 break
         self.scale = (float(a), float(b))
-        p = self.probabilities(windows)
-        keyed = np.array([is_keyed(w) for w in windows])
+        true = counts[counts["label"] == 1]
         for place in (True, False):
-            mine = (labels == 1) & (keyed == place)
             # a place without findings takes the threshold of all
-            found = np.sort(p[mine if mine.any() else labels == 1])
-            if len(found):
-                kept = found[int(np.floor((1 - RECALL) * len(found)))]
-                self.thresholds[place] = max(LEAST_PROBABILITY, float(kept))
+            mine = true[true["keyed"] == place] if (true["keyed"] == place).any() else true
+            mine = mine.groupby("bin")["n"].sum().sort_index(ascending=a < 0)  # most probable first
+            if len(mine):
+                above = mine.cumsum()
+                last = above.index[int(np.argmax(above.to_numpy() >= RECALL * mine.sum()))]
+                self.thresholds[place] = float(self._curve(np.array([last, last + 1]) * BIN).min())
+
+    def _curve(self, logit: np.ndarray) -> np.ndarray:
+        a, b = self.scale
+        return 1 / (1 + np.exp(-np.clip(a * logit + b, -30, 30)))
 
     def probabilities(self, windows: list[str]) -> np.ndarray:
-        a, b = self.scale
-        return 1 / (1 + np.exp(-np.clip(a * self.logits(windows) + b, -30, 30)))
+        return self._curve(self.logits(windows))
 
 
 def is_keyed(window: str) -> bool:
@@ -252,11 +259,13 @@ def train(found: DataFrame, sample: int = SAMPLE) -> Network | None:
     """A network learned from findings of base patterns and from candidates that none of them takes.
 
     Up to ``sample`` distinct windows of each class, those of the smallest hash,
-    reach the driver; a quarter of them, by hash, is kept for calibration. Without
-    findings of both classes there is no network.
+    reach the driver and are learned from. Calibration and thresholds come from
+    all findings, scored in tasks and counted by output. Without findings of both
+    classes there is no network.
     """
     rows = found.select(F.explode(F.arrays_zip("found.labels", "found.windows")).alias("x"))
-    rows = rows.select(F.col("x.labels").alias("label"), F.col("x.windows").alias("window")).where("label >= 0").distinct()
+    rows = rows.select(F.col("x.labels").alias("label"), F.col("x.windows").alias("window")).where("label >= 0")
+    rows = rows.groupBy("label", "window").agg(F.count("*").alias("n"))
     by_hash = stage(rows.withColumn("h", F.md5("window")), "secret-windows")
     counts = {r["label"]: r["n"] for r in by_hash.groupBy("label").agg(F.count("*").alias("n")).collect()}
     parts = []
@@ -268,18 +277,27 @@ def train(found: DataFrame, sample: int = SAMPLE) -> Network | None:
     if not all(map(len, parts)):
         return None
     rows = pd.concat(parts).sort_values("h")
-    labels = rows["label"].to_numpy(np.float64)
-    windows = rows["window"].tolist()
-    aside = np.array([hashlib.md5(w.encode()).digest()[15] % 4 == 0 for w in windows])
-    if not all(((labels == k) & part).any() for k in (0, 1) for part in (aside, ~aside)):
-        aside = np.zeros(len(windows), bool)
     network = Network()
-    network.fit([w for w, a in zip(windows, aside, strict=True) if not a], labels[~aside])
-    held = aside if aside.any() else ~aside
-    network.calibrate([w for w, a in zip(windows, held, strict=True) if a], labels[held])
+    network.fit(rows["window"].tolist(), rows["label"].to_numpy(np.float64))
+    network.calibrate(output_counts(by_hash, network))
     return network
 
 
+def output_counts(windows: DataFrame, network: Network) -> pd.DataFrame:
+    """``label, keyed, bin, n`` for ``label, window, n``: how many findings have an output in each bin of ``BIN``."""
+    sent = windows.sparkSession.sparkContext.broadcast(network)
+
+    @F.pandas_udf("keyed boolean, bin long")
+    def scored(values: pd.Series) -> pd.DataFrame:
+        mine = values.tolist()
+        # far outputs are as good as certain, and would make bins without end
+        bins = np.floor(np.clip(sent.value.logits(mine), -100, 100) / BIN).astype(np.int64)
+        return pd.DataFrame({"keyed": [is_keyed(w) for w in mine], "bin": bins})
+
+    rows = windows.select("label", "n", scored("window").alias("x"))
+    return rows.groupBy("label", "x.keyed", "x.bin").agg(F.sum("n").alias("n")).orderBy("label", "keyed", "bin").toPandas()
+
+
 def with_spans(found: DataFrame, network: Network | None) -> DataFrame:
     """``found`` with ``spans``: base spans and those the network adds, as ``kind:start:end`` in order.
 

@@ -1,6 +1,7 @@
 import re
 
 import numpy as np
+import pandas as pd
 
 from parlato.llm import secret_scan as ss
 
@@ -67,6 +68,19 @@ def test_network_learns_and_adds(documents):
     assert spans == {r["doc_id"]: r["spans"] for r in again.collect()}
 
 
+def test_thresholds_keep_the_recall_of_all_findings(spark):
+    rng = np.random.default_rng(4)
+    windows = [(k % 2, ss.scan(t).windows[0], 1 + k % 3) for k, t in enumerate(corpus(rng, 300))]
+    counts = ss.output_counts(spark.createDataFrame(windows, "label int, window string, n long"), ss.Network())
+    assert counts["n"].sum() == sum(n for *_, n in windows)
+    # a tenth of the findings have outputs like those of harmless candidates
+    counts = pd.DataFrame({"label": [1, 1, 0, 0], "keyed": True, "bin": [900, -500, -480, -900], "n": [900, 100, 5000, 5000]})
+    network = ss.Network()
+    network.calibrate(counts)
+    least = network._curve(np.array([-499.5, 900.5]) * ss.BIN)
+    assert (least >= network.thresholds[True]).all() and network.thresholds[True] < 0.5
+
+
 def test_gradient_lowers_loss():
     rng = np.random.default_rng(2)
     windows = [ss.scan(t).windows[0] for t in corpus(rng, 64)]
