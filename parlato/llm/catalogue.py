@@ -14,6 +14,7 @@ from parlato.llm.mixing import op5_mix_sources
 from parlato.llm.neardup import op7_near_duplicates
 from parlato.llm.repeats import OP3_SQL, op3_repeated_windows
 from parlato.llm.secret_scan import op8_secret_scan
+from parlato.llm.token_counts import op12_token_counts
 from parlato.llm.topk import OP2_SQL, op2_exact_top_k
 from parlato.llm.warc import OP1_SQL, op1_warc_revisits
 
@@ -28,6 +29,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_secret_scan": op8_secret_scan,
     "op9_language_id": op9_language_id,
     "op10_html_text": op10_html_text,
+    "op12_token_counts": op12_token_counts,
 }
 
 ORACLE: dict[str, str] = {
