@@ -12,6 +12,7 @@ from parlato.llm.html_text import op10_html_text
 from parlato.llm.langid import op9_language_id
 from parlato.llm.mixing import op5_mix_sources
 from parlato.llm.neardup import op7_near_duplicates
+from parlato.llm.phrases import OP13_SQL, op13_phrase_collocations
 from parlato.llm.repeats import OP3_SQL, op3_repeated_windows
 from parlato.llm.secret_scan import op8_secret_scan
 from parlato.llm.token_counts import op12_token_counts
@@ -30,10 +31,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_language_id": op9_language_id,
     "op10_html_text": op10_html_text,
     "op12_token_counts": op12_token_counts,
+    "op13_phrase_collocations": op13_phrase_collocations,
 }
 
 ORACLE: dict[str, str] = {
     "op1_warc_revisits": OP1_SQL,
     "op2_exact_top_k": OP2_SQL,
     "op3_repeated_windows": OP3_SQL,
+    "op13_phrase_collocations": OP13_SQL,
 }

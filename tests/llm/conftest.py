@@ -1,4 +1,10 @@
 import pytest
+from pyspark import cloudpickle
+
+import parlato
+
+# so that workers see values that a test changes
+cloudpickle.register_pickle_by_value(parlato)
 
 
 @pytest.fixture

@@ -20,4 +20,4 @@ def test_query(spark, con, name):
 
 
 def test_one_query_each():
-    assert sorted(int(name.split("_")[0][2:]) for name in QUERIES) == list(range(1, 11))
+    assert sorted(int(name.split("_")[0][2:]) for name in QUERIES) == list(range(1, 14))
