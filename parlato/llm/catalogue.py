@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from parlato.llm.bpe import op6_bpe_roundtrip
 from parlato.llm.fingerprints import op4_fingerprints
+from parlato.llm.hard_negatives import OP11_SQL, op11_hard_negatives
 from parlato.llm.html_text import op10_html_text
 from parlato.llm.langid import op9_language_id
 from parlato.llm.mixing import op5_mix_sources
@@ -30,6 +31,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_secret_scan": op8_secret_scan,
     "op9_language_id": op9_language_id,
     "op10_html_text": op10_html_text,
+    "op11_hard_negatives": op11_hard_negatives,
     "op12_token_counts": op12_token_counts,
     "op13_phrase_collocations": op13_phrase_collocations,
 }
@@ -38,5 +40,6 @@ ORACLE: dict[str, str] = {
     "op1_warc_revisits": OP1_SQL,
     "op2_exact_top_k": OP2_SQL,
     "op3_repeated_windows": OP3_SQL,
+    "op11_hard_negatives": OP11_SQL,
     "op13_phrase_collocations": OP13_SQL,
 }
