@@ -17,7 +17,7 @@ from parlato.operators.numbering import number_by_key
 # Phrases that count, and how many are listed.
 LEAST, PERCENT, TOP = 10, 50, 2000
 # Bytes of one language's text that one chunk holds, and of all languages that a task holds.
-CHUNK_BYTES, HELD_BYTES = 1 << 20, 8 << 20
+CHUNK_BYTES, HELD_BYTES = 2 << 20, 8 << 20
 # A tile has 2^BITS ids a side; it is counted in dense cells from DENSE pairs on.
 BITS, DENSE = 10, 1 << 16
 # Pairs that a task counts in one go.
@@ -227,7 +227,8 @@ def collocations(
     its own words back. Tasks count pairs of ranks tile by tile, the cells of
     busy tiles by direct address, and Spark sums the counts by pair. Frequent
     pairs are ranked in turn, sent back to their chunks and paired with the word that
-    follows. Nothing is broadcast and no group holds more than one chunk's words.
+    follows. Nothing is broadcast and no group holds more than one chunk's words; hash tables of
+    joins are of words or pairs, each of which occurs there once.
 
     Null texts are empty, a null language is ``und``; repeated rows count each
     time, other columns are ignored, and no rows give none. At most 2^31 words or
@@ -237,8 +238,8 @@ def collocations(
     chunks = stage(rows.mapInArrow(_chunked, CHUNKS), "phrase-chunks")
     own = chunks.select("chunk", "lang", F.inline("words"))
     words = own.groupBy("lang", "word").agg(F.sum("n").alias("f")).where(F.col("f") >= least)
-    words = _numbered(stage(words, "phrase-words"), ["lang", F.desc("f"), "word"], "phrase-ranks")
-    back = own.select("chunk", "lang", "at", "word").join(words.select("lang", "word", "id"), ["lang", "word"])
+    words = _numbered(stage(words, "phrase-words", True), ["lang", F.desc("f"), "word"], "phrase-ranks")
+    back = own.select("chunk", "lang", "at", "word").join(words.select("lang", "word", "id").hint("shuffle_hash"), ["lang", "word"])
     back = back.groupBy("chunk").agg(F.collect_list(F.struct("at", F.col("id").cast("int").alias("id"))).alias("known"))
     coded = chunks.select("chunk", "seq").join(back, "chunk").select("chunk", "seq", "known")
     coded = stage(coded.mapInArrow(_recoded, "chunk long, seq binary"), "phrase-codes", True)
@@ -248,7 +249,7 @@ def collocations(
 
     pairs = often(coded.mapInArrow(_counted(_word_pairs), "key long, n long"), "phrase-pairs")
     pairs = _numbered(pairs, [F.desc("a"), "key"], "phrase-pair-ranks")
-    back = coded.mapInArrow(_own_pairs, "chunk long, key long").join(pairs.select("key", "id"), "key")
+    back = coded.mapInArrow(_own_pairs, "chunk long, key long").join(pairs.select("key", "id").hint("shuffle_hash"), "key")
     back = back.groupBy("chunk").agg(F.collect_list(F.struct("key", "id")).alias("known"))
     paired = coded.join(back, "chunk").select("seq", "known")
     triples = often(paired.mapInArrow(_counted(_pair_words), "key long, n long"), "phrase-triples")
