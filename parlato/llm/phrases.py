@@ -17,7 +17,7 @@ from parlato.operators.numbering import number_by_key
 # Phrases that count, and how many are listed.
 LEAST, PERCENT, TOP = 10, 50, 2000
 # Bytes of one language's text that one chunk holds, and of all languages that a task holds.
-CHUNK_BYTES, HELD_BYTES = 2 << 20, 8 << 20
+CHUNK_BYTES, HELD_BYTES = 1 << 20, 8 << 20
 # A tile has 2^BITS ids a side; it is counted in dense cells from DENSE pairs on.
 BITS, DENSE = 10, 1 << 16
 # Pairs that a task counts in one go.
@@ -57,13 +57,19 @@ class Chunk:
         flat = np.concatenate(self.parts)
         counts = np.bincount(flat, minlength=len(self.number))[1:]
         words = pa.array(list(self.number)[1:], pa.binary()).cast(pa.string())
+        flat = flat.astype(_width(len(words)))
         own = pa.StructArray.from_arrays([pa.array(np.arange(1, len(words) + 1)), words, pa.array(counts)], ["at", "word", "n"])
-        values = [[name], [lang], [flat.tobytes()], [int(counts.sum())]]
+        values = [[name], [lang], [flat.tobytes()], [len(words)], [int(counts.sum())]]
         columns = [*map(pa.array, values), pa.ListArray.from_arrays(pa.array([0, len(words)], pa.int32()), own)]
-        return pa.RecordBatch.from_arrays(columns, ["chunk", "lang", "seq", "n", "words"])
+        return pa.RecordBatch.from_arrays(columns, ["chunk", "lang", "seq", "most", "n", "words"])
 
 
-CHUNKS = "chunk long, lang string, seq binary, n long, words array<struct<at: long, word: string, n: long>>"
+def _width(most: int) -> type:
+    """The smallest type of a chunk's own numbers, the largest being ``most``."""
+    return np.uint16 if most < 1 << 16 else np.int32
+
+
+CHUNKS = "chunk long, lang string, seq binary, most long, n long, words array<struct<at: long, word: string, n: long>>"
 
 
 def _chunked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -184,9 +190,9 @@ def _own_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _recoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Chunks in ids of the whole corpus; -1 stands between pieces and for rare words, once where several meet."""
     for batch in batches:
-        for chunk, seq, known in zip(batch.column("chunk"), batch.column("seq"), batch.column("known"), strict=True):
-            local, known = np.frombuffer(seq.as_py(), np.int32), known.values
-            ids = np.full(int(local.max(initial=0)) + 1, -1, np.int32)
+        for chunk, seq, most, known in zip(*(batch.column(c) for c in ("chunk", "seq", "most", "known")), strict=True):
+            local, known = np.frombuffer(seq.as_py(), _width(most.as_py())), known.values
+            ids = np.full(most.as_py() + 1, -1, np.int32)
             ids[known.field("at").to_numpy()] = known.field("id").to_numpy()
             out = ids[local]
             out = out[np.append(True, (out[1:] >= 0) | (out[:-1] >= 0))]
@@ -241,7 +247,7 @@ def collocations(
     words = _numbered(stage(words, "phrase-words", True), ["lang", F.desc("f"), "word"], "phrase-ranks")
     back = own.select("chunk", "lang", "at", "word").join(words.select("lang", "word", "id").hint("shuffle_hash"), ["lang", "word"])
     back = back.groupBy("chunk").agg(F.collect_list(F.struct("at", F.col("id").cast("int").alias("id"))).alias("known"))
-    coded = chunks.select("chunk", "seq").join(back, "chunk").select("chunk", "seq", "known")
+    coded = chunks.select("chunk", "seq", "most").join(back, "chunk")
     coded = stage(coded.mapInArrow(_recoded, "chunk long, seq binary"), "phrase-codes", True)
 
     def often(counts: DataFrame, label: str) -> DataFrame:
