@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -16,6 +17,7 @@ from pyspark.sql import types as T
 from parlato.functions import text as X
 from parlato.functions.edits import word_edit_distance
 from parlato.operators import batching, filters, lookup, numbering, report, sampling, scoring, union
+from parlato.operators.buffering import buffer_places
 from parlato.plans.create import as_utterances, audio_to_shards, label_splits, materialise_splits, read_dataset, table_to_shards
 from parlato.plans.evaluate import evaluate, scoring_pairs
 from parlato.plans.prepare import prepared
@@ -24,6 +26,7 @@ from parlato.schema import UTTERANCE
 from parlato.session import fill_cluster, scratch_path
 from parlato.sources import audio, listing, shards, tables, transcripts
 from parlato.sources.arrow_ipc import first_arrow_rows, read_arrow, write_arrow
+from parlato.sources.reader_streams import reader_streams
 from parlato.streaming.ingest import append_stream, ingest_audio, open_rejects, stream_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -636,6 +639,27 @@ def training_order(spark, sf_dir):
     return numbering.number_by_file(spark.read.parquet(ordered), "place", part)
 
 
+@query
+def buffered_streams(spark, sf_dir):
+    """Documents in shards of 40 as the streams of three readers, usable rows only, through a buffer of eight rows."""
+    folder = scratch_path(spark, "shards")
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "n_chars")
+    shards.write_shards(shards.shard_by_key(docs, ["doc_id"], 40), folder)
+    schema = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("n_chars", T.LongType())])
+    files = spark.read.parquet(folder).inputFiles()
+    rows = reader_streams(spark, files, 3, schema, lambda batch: pc.greater(batch.column("n_chars"), 300))
+    return rows.select("doc_id", "reader", "place")
+
+
+@query
+def places_in_buffer(spark, sf_dir):
+    """Each order's place in the stream of one of five readers, which hold back eight rows, from row numbers alone."""
+    orders = table(spark, sf_dir, "orders").select("o_orderkey")
+    numbered = numbering.number_by_key(orders, ["o_orderkey"], "n")
+    dealt = numbered.select("o_orderkey", (F.col("n") % 5).alias("reader"), F.floor(F.col("n") / 5).alias("index"))
+    return buffer_places(dealt, "reader", "index", seed=7).select("o_orderkey", "reader", "place")
+
+
 # --- streaming ----------------------------------------------------------------------------------------
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -121,10 +122,10 @@ def count_per_shard(df: DataFrame, shard: str = "shard") -> DataFrame:
 
 
 def first_rows(spark: SparkSession, files: Sequence[str], n: int) -> DataFrame:
-    """The first ``n`` rows of Parquet ``files`` taken in path order, reading no file after them."""
+    """The first ``n`` rows of Parquet ``files``, named as ``inputFiles`` does, taken in path order, reading no file after them."""
     if n < 0:
         raise ValueError(f"cannot take {n} rows")
-    files = sorted(files)
+    files = [unquote(file) for file in sorted(files)]
     taken = 1
     while taken < len(files) and spark.read.parquet(*files[:taken]).count() < n:
         taken = min(2 * taken, len(files))

@@ -67,6 +67,14 @@ AUDIO = """stored AS (
 
 ADDRESS = r"regexp_replace(url, '[?#].*', '')"
 
+def through_buffer(key: str, seed: int, size: int = 8) -> str:
+    """Rows ``reader, i`` of the table ``s`` in the order in which a buffer of ``size`` rows lets them go."""
+    digits = f"('0x' || substr(md5('{seed}:' || reader || ':' || i), 1, 8))::BIGINT"
+    return f"""t AS (SELECT *, CASE WHEN i < {size} THEN i ELSE {digits} % {size} END AS slot, count(*) OVER (PARTITION BY reader) AS n FROM s),
+        through_buffer AS (SELECT {key}, reader, coalesce(
+        lead(i) OVER (PARTITION BY reader, slot ORDER BY i) - least(n, {size}), n - 1 - slot)::BIGINT AS place FROM t)"""
+
+
 ORACLE: dict[str, str] = {
     "normalize_documents": f"SELECT doc_id, {norm('text')} AS text FROM documents",
     "normalize_lowercase": f"SELECT doc_id, {norm('lower(text)')} AS text FROM documents",
@@ -212,6 +220,14 @@ ORACLE: dict[str, str] = {
     "ingest_audio_stream": f"WITH {AUDIO} SELECT path, reason FROM stored",
     "training_order": """SELECT doc_id, row_number() OVER (ORDER BY md5('42:' || doc_id), doc_id::VARCHAR) - 1 AS place
         FROM documents WHERE doc_id % 3 <> 0 AND doc_id % 5 > 0""",
+    "places_in_buffer": f"""WITH s AS (SELECT o_orderkey, n % 5 AS reader, n // 5 AS i FROM (
+        SELECT o_orderkey, row_number() OVER (ORDER BY o_orderkey) - 1 AS n FROM orders)), {through_buffer("o_orderkey", 7)}
+        SELECT o_orderkey, reader, place FROM through_buffer""",
+    "buffered_streams": f"""WITH n AS (SELECT doc_id, n_chars, (row_number() OVER (ORDER BY doc_id) - 1) // 40 AS shard FROM documents),
+        f AS (SELECT doc_id, n_chars, shard::VARCHAR AS shard, dense_rank() OVER (ORDER BY 'shard=' || shard || '/') - 1 AS file FROM n),
+        s AS (SELECT doc_id, file % 3 AS reader, row_number() OVER (PARTITION BY file % 3 ORDER BY file, doc_id) - 1 AS i
+        FROM f WHERE n_chars > 300), {through_buffer("doc_id", 42)}
+        SELECT doc_id, reader::INTEGER AS reader, place FROM through_buffer""",
     "ingest_stream": f"""SELECT doc_id, {norm("text")} AS text, n_chars / 100.0::DOUBLE AS duration FROM documents
         WHERE n_chars / 100.0::DOUBLE <= 30.0""",
 }

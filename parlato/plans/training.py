@@ -9,8 +9,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
+from parlato.operators.buffering import BUFFER_ROWS
 from parlato.operators.filters import usable_rows
 from parlato.operators.numbering import shuffled
+from parlato.sources.reader_streams import reader_streams
 from parlato.sources.shards import read_split
 
 
@@ -38,5 +40,17 @@ def training_rows(
     return rows.transform(transform) if transform else rows
 
 
+def read_streams(
+    spark: SparkSession, path: str, num_readers: int, split: str = "train", buffer_rows: int = BUFFER_ROWS, seed: int = 42, **options
+) -> DataFrame:
+    """Usable rows of one split as the streams of ``num_readers`` training readers, shuffled through a small buffer each.
+
+    Unlike :func:`read_for_training` this sends no recording anywhere; rows stay near
+    those that they are stored with.
+    """
+    files = [file for file in read_split(spark, path, split).inputFiles() if f"/split={split}/" in file]
+    return reader_streams(spark, files, num_readers, buffer_rows=buffer_rows, seed=seed, **options)
+
+
 def read_for_training(spark: SparkSession, path: str, split: str = "train", **options) -> DataFrame:
     return training_rows(read_split(spark, path, split), **options)
