@@ -590,13 +590,18 @@ def wav_rejects(spark, sf_dir):
     return audio.rejects(audio.pair(*_audio_files(spark, sf_dir)))
 
 
+def _hidden(path: Column, doc_id: Column) -> Column:
+    """``path`` with a file name that starts with ``_`` or ``.`` for some documents."""
+    mark = F.when(doc_id % 17 == 0, "_").when(doc_id % 19 == 0, ".").otherwise("")
+    return F.concat(F.regexp_extract(path, "^(.*/)", 1), mark, F.regexp_extract(path, "([^/]*)$", 1))
+
+
 def _corpus_on_disk(spark: SparkSession, sf_dir: str) -> str:
     """The files of :func:`_audio_files` written to the shared folder, one dataset; some names are hidden, some files empty."""
     folder = scratch_path(spark, "corpus")
     wav, txt = _audio_files(spark, sf_dir)
     doc_id = F.regexp_extract("path", r"/(\d+)\.", 1).cast("long")
-    mark = F.when(doc_id % 17 == 0, "_").when(doc_id % 19 == 0, ".").otherwise("")
-    named = F.concat(F.lit(f"{folder}/"), F.regexp_extract("path", "^(.*/)", 1), mark, F.regexp_extract("path", "([^/]*)$", 1))
+    named = F.concat(F.lit(f"{folder}/"), _hidden(F.col("path"), doc_id))
     content = F.when((doc_id % 23 == 0) & F.col("path").endswith(".wav"), F.lit(b"")).otherwise(F.col("content"))
     files = wav.unionByName(txt).select(named.alias("path"), content.alias("content"))
     listing.store_files(files, folder)
@@ -681,12 +686,14 @@ def ingest_audio_stream(spark, sf_dir):
     """Recordings that arrive before some of their transcripts; a second run takes up what the first had rejected."""
     folder, output, state = (scratch_path(spark, "arriving") for _ in range(3))
     wav, txt = _audio_files(spark, sf_dir)
-    below = F.concat(F.lit(f"{folder}/"), "path").alias("path")
-    late = F.regexp_extract("path", r"/(\d+)\.", 1).cast("long") % 4 == 0
-    listing.store_files(wav.unionByName(txt.where(~late)).select(below, "content"), folder)
-    ingest_audio(spark, folder, output, state).awaitTermination()
+    doc_id = F.regexp_extract("path", r"/(\d+)\.", 1).cast("long")
+    content = F.when((doc_id % 23 == 0) & F.col("path").endswith(".wav"), F.lit(b"")).otherwise(F.col("content")).alias("content")
+    below = F.concat(F.lit(f"{folder}/"), _hidden(F.col("path"), doc_id)).alias("path")
+    late = doc_id % 4 == 0
+    listing.store_files(wav.unionByName(txt.where(~late)).select(below, content), folder)
+    ingest_audio(spark, folder, output, state, files_per_batch=500).awaitTermination()
     listing.store_files(txt.where(late).select(below, "content"), folder)
-    ingest_audio(spark, folder, output, state).awaitTermination()
+    ingest_audio(spark, folder, output, state, files_per_batch=500).awaitTermination()
     stored = spark.read.schema(UTTERANCE).parquet(f"{output}/utterances")
     taken = stored.select(_place_in_corpus(F.col("audio.path")).alias("path"), F.lit(None).cast("string").alias("reason"))
     left = open_rejects(spark, output)

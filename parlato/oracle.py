@@ -66,6 +66,11 @@ AUDIO = """stored AS (
     FROM documents)"""
 
 ADDRESS = r"regexp_replace(url, '[?#].*', '')"
+# the same with hidden names and empty recordings
+FILES = """files AS (SELECT regexp_replace(path, '[^/]*$', '') || CASE WHEN doc_id % 17 = 0 THEN '_'
+    WHEN doc_id % 19 = 0 THEN '.' ELSE '' END || regexp_extract(path, '[^/]*$') AS path,
+    CASE WHEN doc_id % 23 = 0 THEN coalesce(reason, 'audio header not readable') ELSE reason END AS reason FROM stored)"""
+
 
 def through_buffer(key: str, seed: int, size: int = 8) -> str:
     """Rows ``reader, i`` of the table ``s`` in the order in which a buffer of ``size`` rows lets them go."""
@@ -213,11 +218,8 @@ ORACLE: dict[str, str] = {
         SELECT place AS path, n // 100 AS shard, regexp_replace(regexp_replace(text, '^\\s+', ''), '\\s+$', '') AS text,
         n_chars / 100.0::DOUBLE AS duration, CASE WHEN lang = 'en' THEN 'test' ELSE 'train' END AS split, n_chars + 44 AS n_bytes
         FROM kept""",
-    "audio_files_rejects": f"""WITH {AUDIO}, files AS (SELECT *, regexp_replace(path, '[^/]*$', '') || CASE WHEN doc_id % 17 = 0
-        THEN '_' WHEN doc_id % 19 = 0 THEN '.' ELSE '' END || regexp_extract(path, '[^/]*$') AS place FROM stored)
-        SELECT place AS path, coalesce(reason, 'audio header not readable') AS reason FROM files
-        WHERE reason IS NOT NULL OR doc_id % 23 = 0""",
-    "ingest_audio_stream": f"WITH {AUDIO} SELECT path, reason FROM stored",
+    "audio_files_rejects": f"""WITH {AUDIO}, {FILES} SELECT path, reason FROM files WHERE reason IS NOT NULL""",
+    "ingest_audio_stream": f"WITH {AUDIO}, {FILES} SELECT path, reason FROM files",
     "training_order": """SELECT doc_id, row_number() OVER (ORDER BY md5('42:' || doc_id), doc_id::VARCHAR) - 1 AS place
         FROM documents WHERE doc_id % 3 <> 0 AND doc_id % 5 > 0""",
     "places_in_buffer": f"""WITH s AS (SELECT o_orderkey, n % 5 AS reader, n // 5 AS i FROM (

@@ -20,7 +20,8 @@ from parlato.session import staged
 # Bytes of file contents that one batch holds; a larger file has a batch of its own.
 BATCH_BYTES = 32 << 20
 
-_LISTED = pa.schema([("path", pa.string()), ("size", pa.int64())])
+LISTED = "path string, size long, modified long"
+_LISTED = pa.schema([("path", pa.string()), ("size", pa.int64()), ("modified", pa.int64())])
 
 
 def qualified(spark: SparkSession, folder: str) -> str:
@@ -46,15 +47,16 @@ class Place:
 
 
 def list_files(spark: SparkSession, folder: str, names: Sequence[str]) -> DataFrame:
-    """``path, size`` of every file at any depth below ``folder/name``, in tasks that each list some folders.
+    """``path, size, modified`` of every file at any depth below ``folder/name``, in tasks that each list some folders.
 
+    ``modified`` is in nanoseconds. The name ``""`` stands for ``folder`` itself.
     Works down level by level; a level's folders are spread over the cluster. A
     name without a folder raises ``FileNotFoundError``.
     """
     place = Place(spark, folder)
     system, root = place.open()
     for name in names:
-        if system.get_file_info(f"{root}/{name}").type != fs.FileType.Directory:
+        if system.get_file_info(f"{root}/{name}".rstrip("/")).type != fs.FileType.Directory:
             raise FileNotFoundError(f"{place.base}/{name} is not a folder")
 
     def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -65,13 +67,14 @@ def list_files(spark: SparkSession, folder: str, names: Sequence[str]) -> DataFr
                 paths = [place.base + info.path.removeprefix(root) for info in found]
                 # a folder has no size
                 sizes = [info.size if info.type == fs.FileType.File else None for info in found]
-                yield pa.RecordBatch.from_arrays([pa.array(paths, pa.string()), pa.array(sizes, pa.int64())], schema=_LISTED)
+                times = [info.mtime_ns for info in found]
+                yield pa.RecordBatch.from_arrays([pa.array(paths, pa.string()), pa.array(sizes, pa.int64()), pa.array(times, pa.int64())], schema=_LISTED)
 
-    level = spark.createDataFrame([(f"{place.base}/{name}",) for name in names], "path string")
+    level = spark.createDataFrame([(f"{place.base}/{name}".rstrip("/"),) for name in names], "path string")
     levels = []
     while True:
         parts = spark.sparkContext.defaultParallelism
-        found = staged(level.repartition(parts, "path").mapInArrow(look, "path string, size long"), "listed")
+        found = staged(level.repartition(parts, "path").mapInArrow(look, LISTED), "listed")
         levels.append(found.where("size is not null"))
         level = found.where("size is null").select("path")
         if not level.limit(1).count():
@@ -120,7 +123,7 @@ def with_suffix(files: DataFrame, suffix: str) -> DataFrame:
 
 
 def existing(rows: DataFrame, folder: str, path: str, size: str) -> DataFrame:
-    """``rows`` with the ``size`` of the file that their column ``path`` names, null where there is none."""
+    """``rows`` with the ``size`` of the file that their column ``path`` names, null where there is none or no name."""
     place = Place(rows.sparkSession, folder)
     at = rows.columns.index(path)
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema)
@@ -128,8 +131,10 @@ def existing(rows: DataFrame, folder: str, path: str, size: str) -> DataFrame:
     def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         system, root = place.open()
         for batch in batches:
-            found = system.get_file_info([root + place.below(name) for name in batch.column(at).to_pylist()])
-            sizes = [info.size if info.type == fs.FileType.File else None for info in found]
+            names = batch.column(at).to_pylist()
+            found = iter(system.get_file_info([root + place.below(name) for name in names if name is not None]))
+            infos = [None if name is None else next(found) for name in names]
+            sizes = [info.size if info and info.type == fs.FileType.File else None for info in infos]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(sizes, pa.int64())], [*batch.schema.names, size])
 
     return rows.mapInArrow(look, f"{kinds}, `{size}` long")

@@ -2,26 +2,78 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Iterator, Sequence
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from parlato.functions.text import path_stem
 from parlato.schema import UTTERANCE, conform, with_fillers
+from parlato.session import staged
 from parlato.sources.audio import check_pairs, with_audio
-from parlato.sources.listing import existing, relative_paths
+from parlato.sources.listing import existing, list_files, with_suffix
 
-FILE = T.StructType(
-    [
-        T.StructField("path", T.StringType()),
-        T.StructField("modificationTime", T.TimestampType()),
-        T.StructField("length", T.LongType()),
-        T.StructField("content", T.BinaryType()),
-    ]
-)
+LOG = "path string, size long, modified long, stem string, again boolean"
+PAIRED = "path string, size long, text_path string, again boolean"
+# What state keeps of a stem until both its files are there, and whether its recording has been reported.
+WAITING = "path string, size long, text_path string, reported boolean"
+
+
+def note_arrivals(spark: SparkSession, corpus_dir: str, log: str, files_per_batch: int) -> int:
+    """Append the recordings and transcripts that ``log`` does not have yet to it; gives their number.
+
+    The folder is listed in tasks, hidden and empty files included. A file that has been
+    replaced since counts as new, and its partner comes with it. Files of one stem lie in one file of the log, each of
+    which holds about ``files_per_batch``.
+    """
+    spark.createDataFrame([], LOG).write.mode("append").parquet(log)
+    found = list_files(spark, corpus_dir, [""])
+    stem = path_stem(F.col("path")).alias("stem")
+    found = staged(with_suffix(found, ".wav").unionByName(with_suffix(found, ".txt")).select("*", stem), "found")
+    known = spark.read.schema(LOG).parquet(log)
+    new = found.join(known, ["path", "modified"], "left_anti")
+    replaced = new.join(known, "path", "left_semi").select("stem").distinct().withColumn("again", F.lit(True))
+    again = F.coalesce("again", F.lit(False)).alias("again")
+    once = new.join(replaced, "stem", "left").where("again is null")
+    both = found.join(replaced, "stem")
+    rows = once.unionByName(both).select("path", "size", "modified", "stem", again)
+    rows = staged(rows, "arrivals")
+    count = rows.count()
+    if count:
+        rows.repartition(-(-count // files_per_batch), "stem").write.mode("append").parquet(log)
+    return count
+
+
+def matched(patience_ms: int) -> Callable:
+    """The state function: a stem's recording and transcript, once both have come; the recording alone if the transcript stays away."""
+
+    def run(key: tuple[str], arrived: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        path, size, text, reported = state.get if state.exists else (None, None, None, False)
+        again = False
+        for rows in arrived:
+            for name, length, more in zip(rows["path"], rows["size"], rows["again"], strict=True):
+                again |= bool(more)
+                if name.endswith(".wav"):
+                    path, size, reported = name, int(length), False
+                else:
+                    text = name
+        if path is not None and text is not None:
+            state.remove()
+        else:
+            late = path is not None and not reported
+            ripe = late and (state.hasTimedOut or not patience_ms)
+            state.update((path, size, text, reported or ripe))
+            if late and not ripe:
+                state.setTimeoutDuration(patience_ms)
+            if not ripe:
+                return
+        yield pd.DataFrame({"path": [path], "size": [size], "text_path": [text], "again": [again]})
+
+    return run
 
 
 def ingest_audio(
@@ -30,42 +82,44 @@ def ingest_audio(
     output: str,
     checkpoint: str,
     split_match: str = "anywhere",
-    files_per_batch: int = 1000,
+    files_per_batch: int = 100_000,
+    patience_ms: int = 0,
 ) -> StreamingQuery:
     """Turn the recordings that have arrived below ``corpus_dir`` into rows of ``output/utterances``.
 
-    Runs until all of them are done, then stops; started again, it takes up new
-    files only. Recordings and transcripts arrive in any order: either one makes
-    its batch look for the other, so a recording without a transcript is rejected
-    at first and taken up when the transcript comes. Only paths are streamed; a
-    batch reads each recording once, and one that an earlier batch has stored is
-    not stored again. Each batch writes its own folder, and replaces it when it is
+    Lists the folder once, then runs until all new files are done and stops; started again, it takes up new
+    files only. Recordings and transcripts arrive in any order, hidden and empty files
+    included. New files are noted in ``output/arrivals``, which is what is streamed: paths
+    only. The first of a recording and its transcript waits in state by their
+    stem, so a batch costs what arrives in it, however long the stream has run. A
+    recording that waits longer than ``patience_ms`` is rejected, and taken up when its
+    transcript comes. Each batch writes its own folder, and replaces it when it is
     replayed after a failure. Skipped recordings go to ``output/rejects``;
-    :func:`open_rejects` leaves out those taken up since.
+    :func:`open_rejects` leaves out those taken up since. A file that is replaced makes its recording be looked at
+    again, and be stored unless it was.
     """
-    arriving = (
-        spark.readStream.format("binaryFile")
-        .schema(FILE)
-        .option("recursiveFileLookup", True)
-        .option("pathGlobFilter", "*.{wav,txt}")
-        .option("maxFilesPerTrigger", files_per_batch)
-        .load(corpus_dir)
-        .select("path")
-    )
+    log = f"{output}/arrivals"
+    note_arrivals(spark, corpus_dir, log, files_per_batch)
+    arriving = spark.readStream.schema(LOG).option("maxFilesPerTrigger", 1).parquet(log)
+    timeout = GroupStateTimeout.ProcessingTimeTimeout if patience_ms else GroupStateTimeout.NoTimeout
+    paired = arriving.groupBy("stem").applyInPandasWithState(matched(patience_ms), PAIRED, WAITING, "append", timeout)
 
     def store(found: DataFrame, batch_id: int) -> None:
-        stems = relative_paths(found, corpus_dir).select(path_stem(F.col("path")).alias("stem")).distinct()
-        both = stems.select(F.concat("stem", F.lit(".wav")).alias("path"), F.concat("stem", F.lit(".txt")).alias("text"))
-        both = existing(existing(both, corpus_dir, "path", "size"), corpus_dir, "text", "text_size")
-        pairs = both.where("size is not null").withColumn("text_path", F.when(F.col("text_size").isNotNull(), F.col("text")))
-        checked = check_pairs(_not_stored(pairs, f"{output}/utterances", batch_id), corpus_dir, split_match)
+        # state moves on each time that this is evaluated
+        pairs = staged(found, "paired")
+        there = existing(existing(pairs, corpus_dir, "path", "now"), corpus_dir, "text_path", "text_size")
+        there = there.where("now is not null").withColumn("text_path", F.when(F.col("text_size").isNotNull(), F.col("text_path")))
+        there = there.select("path", F.col("now").alias("size"), "text_path", "again")
+        if pairs.where("again").limit(1).count():
+            there = there.where("not again").unionByName(_not_stored(there.where("again"), f"{output}/utterances", batch_id))
+        checked = check_pairs(there.drop("again"), corpus_dir, split_match)
         sound = with_audio(checked.where("reason is null").drop("reason"), corpus_dir)
         conform(with_fillers(sound)).write.mode("overwrite").parquet(f"{output}/utterances/batch={batch_id}")
         skipped = checked.where("reason is not null").select("path", "reason")
         skipped.write.mode("overwrite").parquet(f"{output}/rejects/batch={batch_id}")
 
     return (
-        arriving.writeStream.foreachBatch(store)
+        paired.writeStream.foreachBatch(store)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()

@@ -2,6 +2,7 @@ import os
 import struct
 import wave
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -189,3 +190,82 @@ def test_incremental_ingest(spark, tmp_path):
     ingest_audio(spark, str(base), out, state).awaitTermination()
     assert sorted(r.text for r in spark.read.parquet(f"{out}/utterances").select("text").collect()) == ["a", "b", "c", "d", "found"]
     assert [(r.path.rsplit("/", 1)[1], r.reason) for r in open_rejects(spark, out).collect()] == [("none.wav", BAD_AUDIO)]
+
+
+def test_hidden_recordings_and_replaced_files(spark, tmp_path):
+    base, out, state = tmp_path / "in", str(tmp_path / "out"), str(tmp_path / "state")
+    (base / "sub").mkdir(parents=True)
+    for name in ("a", "_b", ".c", "sub/_d"):
+        (base / f"{name}.wav").write_bytes(wav(16000))
+        (base / f"{name}.txt").write_text(name)
+    (base / "_lone.wav").write_bytes(wav(10))
+    (base / "broken.wav").write_bytes(b"RIFF")
+    (base / "broken.txt").write_text("x")
+    ingest_audio(spark, str(base), out, state).awaitTermination()
+
+    def stored():
+        return sorted(r.text for r in spark.read.parquet(f"{out}/utterances").select("text").collect())
+
+    def left():
+        return {r.path.rsplit("/", 1)[1]: r.reason for r in open_rejects(spark, out).collect()}
+
+    assert stored() == [".c", "_b", "a", "sub/_d"]
+    assert left() == {"_lone.wav": NO_TRANSCRIPT, "broken.wav": BAD_AUDIO}
+    # a sound recording in place of the broken one, another text for a stored one, the missing transcript
+    (base / "broken.wav").write_bytes(wav(100))
+    (base / "a.txt").write_text("other")
+    (base / "_lone.txt").write_text("found")
+    ingest_audio(spark, str(base), out, state).awaitTermination()
+    assert stored() == [".c", "_b", "a", "found", "sub/_d", "x"]
+    assert left() == {}
+    # a run without new files, and a folder that never had any
+    ingest_audio(spark, str(base), out, state).awaitTermination()
+    assert len(stored()) == 6
+    (tmp_path / "none").mkdir()
+    ingest_audio(spark, str(tmp_path / "none"), str(tmp_path / "o"), str(tmp_path / "s")).awaitTermination()
+
+
+def test_a_batch_reads_no_earlier_output(spark, tmp_path, monkeypatch):
+    from parlato.streaming import ingest
+
+    base, out, state = tmp_path / "in", str(tmp_path / "out"), str(tmp_path / "state")
+    base.mkdir()
+
+    def never(*_):
+        raise AssertionError("history was read")
+
+    monkeypatch.setattr(ingest, "_not_stored", never)
+    for name in "abcd":
+        (base / f"{name}.wav").write_bytes(wav(100))
+        ingest_audio(spark, str(base), out, state).awaitTermination()
+        (base / f"{name}.txt").write_text(name)
+    ingest_audio(spark, str(base), out, state, files_per_batch=1).awaitTermination()
+    assert sorted(r.text for r in spark.read.parquet(f"{out}/utterances").select("text").collect()) == list("abcd")
+
+
+class _State:
+    def __init__(self):
+        self.get, self.exists, self.hasTimedOut, self.due = None, False, False, None
+
+    def update(self, value):
+        self.get, self.exists = value, True
+
+    def remove(self):
+        self.get, self.exists = None, False
+
+    def setTimeoutDuration(self, ms):
+        self.due = ms
+
+
+def test_patience():
+    from parlato.streaming.ingest import matched
+
+    run, state = matched(5000), _State()
+    files = pd.DataFrame({"path": ["x.wav"], "size": [3], "again": [False]})
+    assert list(run(("x",), iter([files]), state)) == [] and state.due == 5000
+    state.hasTimedOut = True
+    (late,) = run(("x",), iter([]), state)
+    assert late.iloc[0].tolist() == ["x.wav", 3, None, False]
+    state.hasTimedOut = False
+    (both,) = run(("x",), iter([files.assign(path="x.txt")]), state)
+    assert both.iloc[0].tolist() == ["x.wav", 3, "x.txt", False] and not state.exists
