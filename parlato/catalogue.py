@@ -24,7 +24,7 @@ from parlato.plans.prepare import prepared
 from parlato.plans.training import map_rows, read_for_training
 from parlato.schema import UTTERANCE
 from parlato.session import fill_cluster, scratch_path
-from parlato.sources import audio, listing, shards, tables, transcripts
+from parlato.sources import audio, listing, shards, tables, transcripts, versions
 from parlato.sources.arrow_ipc import first_arrow_rows, read_arrow, write_arrow
 from parlato.sources.reader_streams import reader_streams
 from parlato.streaming.ingest import append_stream, ingest_audio, open_rejects, stream_table
@@ -248,7 +248,7 @@ def create_dataset(spark, sf_dir):
     table_to_shards(spark, source, dataset, "YODAS", 200)
     label_splits(spark, dataset, labelled, ["YODAS"], key="utt_id")
     materialise_splits(spark, [labelled], final)
-    return spark.read.parquet(final).select("utt_id", "OG_corpus", "duration", "split")
+    return versions.read_current(spark, final).select("utt_id", "OG_corpus", "duration", "split")
 
 
 @query
@@ -318,6 +318,19 @@ def write_and_read_shards(spark, sf_dir):
     return shards.read_shards(spark, second, schema).select("conv_id", "turn", "text", "shard")
 
 
+@query
+def replaced_shards(spark, sf_dir):
+    """Shards of 100 turns; every third is replaced by its normalised rows in one step, then all are trimmed in place."""
+    path = scratch_path(spark, "shards")
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "text")
+    shards.write_shards(shards.shard_by_file(turns, 100), path)
+    schema = T.StructType([*turns.schema.fields, T.StructField("shard", T.LongType())])
+    third = shards.read_shards(spark, path, schema).where("shard % 3 = 0")
+    shards.replace_shards(third.withColumn("text", X.normalize(F.col("text"))), path)
+    shards.rewrite_column(spark, path, path, "text", F.trim)
+    return shards.read_shards(spark, path, schema).select("conv_id", "turn", "text", "shard")
+
+
 @query
 def reader_assignment(spark, sf_dir):
     docs = shards.shard_by_file(table(spark, sf_dir, "documents").select("doc_id"), 50)
@@ -651,7 +664,7 @@ def buffered_streams(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "n_chars")
     shards.write_shards(shards.shard_by_key(docs, ["doc_id"], 40), folder)
     schema = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("n_chars", T.LongType())])
-    files = spark.read.parquet(folder).inputFiles()
+    files = versions.read_current(spark, folder).inputFiles()
     rows = reader_streams(spark, files, 3, schema, lambda batch: pc.greater(batch.column("n_chars"), 300))
     return rows.select("doc_id", "reader", "place")
 
@@ -691,9 +704,9 @@ def ingest_audio_stream(spark, sf_dir):
     below = F.concat(F.lit(f"{folder}/"), _hidden(F.col("path"), doc_id)).alias("path")
     late = doc_id % 4 == 0
     listing.store_files(wav.unionByName(txt.where(~late)).select(below, content), folder)
-    ingest_audio(spark, folder, output, state, files_per_batch=500).awaitTermination()
+    ingest_audio(spark, folder, output, state, files_per_batch=1500).awaitTermination()
     listing.store_files(txt.where(late).select(below, "content"), folder)
-    ingest_audio(spark, folder, output, state, files_per_batch=500).awaitTermination()
+    ingest_audio(spark, folder, output, state, files_per_batch=1500).awaitTermination()
     stored = spark.read.schema(UTTERANCE).parquet(f"{output}/utterances")
     taken = stored.select(_place_in_corpus(F.col("audio.path")).alias("path"), F.lit(None).cast("string").alias("reason"))
     left = open_rejects(spark, output)

@@ -1,6 +1,7 @@
 """Building a dataset: audio or tables to shards, test labels, train and test tables.
 
-Shards lie at ``<dataset>/name=<dataset name>/shard=<number>/``.
+Shards lie at ``name=<dataset name>/shard=<number>/`` below the folders of the dataset's
+versions, see :mod:`parlato.sources.versions`; a plain folder of that layout can be read too.
 """
 
 from __future__ import annotations
@@ -18,6 +19,7 @@ from parlato.operators.union import union_shards
 from parlato.schema import UTTERANCE, conform, require_columns, with_fillers
 from parlato.sources.audio import checked_files, with_audio
 from parlato.sources.shards import ROWS_PER_AUDIO_SHARD, ROWS_PER_TABLE_SHARD, write_splits
+from parlato.sources.versions import current_parts, publish, read_current
 
 # The datasets built by default, and the one that comes as a table.
 DATASETS = (
@@ -58,15 +60,8 @@ def audio_to_shards(
     starts = F.broadcast(numbered.groupBy("name").agg(F.min("n").alias("start")))
     placed = numbered.join(starts, "name").withColumn("shard", shard_of(F.col("n") - F.col("start"), rows_per_shard))
     dealt = placed.drop("start").repartition("name", "shard").sortWithinPartitions("name", "shard", "n").drop("n")
-    (
-        with_audio(dealt, corpus_dir)
-        .select(*UTTERANCE.names, "name", "shard")
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("name", "shard")
-        .parquet(dataset_dir)
-    )
-    drop_other_shards(spark, dataset_dir, names, _shards_of(placed))
+    rows = with_audio(dealt, corpus_dir).select(*UTTERANCE.names, "name", "shard")
+    _publish(rows, dataset_dir, names)
     return checked.filter(F.col("reason").isNotNull()).select("path", "reason")
 
 
@@ -83,39 +78,29 @@ def table_to_shards(
     """
     numbered = number_by_file(spark.read.parquet(file_path), "n")
     sharded = numbered.withColumn("shard", shard_of(F.col("n"), rows_per_shard)).drop("n")
-    sharded.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("shard").parquet(
-        f"{dataset_dir.rstrip('/')}/name={name}"
-    )
-
+    _publish(sharded.withColumn("name", F.lit(name)), dataset_dir, [name])
 
-def drop_other_shards(spark: SparkSession, dataset_dir: str, names: Sequence[str], kept: set[tuple[str, int]]) -> None:
-    """Delete the shard folders of ``names`` that are not among ``kept``, as ``(name, shard)``.
 
-    What an earlier run with more shards has left would be read as part of the
-    dataset. Only folders called ``shard=<number>`` are looked at.
-    """
-    Path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
-    for name in names:
-        folder = Path(f"{dataset_dir.rstrip('/')}/name={name}")
-        system = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-        for status in system.listStatus(folder) if system.exists(folder) else ():
-            label, _, number = status.getPath().getName().partition("=")
-            if label == "shard" and number.isdigit() and (name, int(number)) not in kept:
-                system.delete(status.getPath(), True)
-
-
-def _shards_of(df: DataFrame) -> set[tuple[str, int]]:
-    return {(row["name"], row["shard"]) for row in df.select("name", "shard").distinct().collect()}
+def _publish(rows: DataFrame, dataset_dir: str, names: Sequence[str]) -> None:
+    """A version in which the shards of ``names`` are those of ``rows``, whatever there was of them; other names stay."""
+    publish(
+        rows.sparkSession,
+        dataset_dir,
+        lambda folder: rows.write.partitionBy("name", "shard").parquet(folder),
+        whole=False,
+        expected=tuple(f"name={name}" for name in names),
+    )
 
 
 def read_dataset(
-    spark: SparkSession, dataset_dir: str, names: Sequence[str] | None = None, schema: T.StructType = STORED
+    spark: SparkSession, dataset_dir: str, names: Sequence[str] | None = None, schema: T.StructType = STORED, **place: str
 ) -> DataFrame:
-    """The shards of ``names``, or all, in one scan with the utterance schema plus ``name, shard``.
+    """The current shards of ``names``, or all, with the utterance schema plus ``name, shard``.
 
-    ``FileNotFoundError`` if one of ``names`` has no shard.
+    ``FileNotFoundError`` if one of ``names`` has no shard. ``file`` and ``row`` are those of
+    :func:`parlato.sources.versions.read_current`.
     """
-    df = spark.read.schema(schema).parquet(dataset_dir)
+    df = read_current(spark, dataset_dir, schema, None if names is None else [f"name={name}" for name in names], **place)
     if names is None:
         return df
     files = df.inputFiles()
@@ -136,24 +121,18 @@ def label_splits(
     tag: str = "YODAS",
     corpus: str = "yodas_granary",
 ) -> None:
-    """New versions of the shards of ``names`` with test labels, under ``target``.
+    """New versions of the shards of ``names`` with test labels, under ``target``, which may be ``dataset_dir``.
 
     Shards whose path holds ``tag`` get ``corpus`` as their corpus name. Rows
     without a key, or with one that repeats, are told apart by their place in the
     stored shards, so that every shard has its exact number of test rows.
     """
-    if target.rstrip("/") == dataset_dir.rstrip("/"):
-        raise ValueError("shards cannot be rewritten onto themselves; give a new path")
-    rows = relabel_corpus(read_dataset(spark, dataset_dir, names), F.col("_metadata.file_path"), tag, corpus)
-    place = F.concat_ws(":", "_metadata.file_path", "_metadata.row_index")
-    (
-        assign_split(rows, key, ["name", "shard"], fraction, seed, tie=place)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("name", "shard")
-        .parquet(target)
-    )
-    drop_other_shards(spark, target, names, _shards_of(rows))
+    if target.rstrip("/") == dataset_dir.rstrip("/") and current_parts(spark, dataset_dir) is None:
+        raise ValueError("plain shards cannot be rewritten onto themselves; give a new path")
+    stored = read_dataset(spark, dataset_dir, names, file="__file", row="__row")
+    rows = relabel_corpus(stored, F.col("__file"), tag, corpus)
+    labelled = assign_split(rows, key, ["name", "shard"], fraction, seed, tie=F.concat_ws(":", "__file", "__row"))
+    _publish(labelled.drop("__file", "__row"), target, names)
 
 
 def materialise_splits(
@@ -165,7 +144,7 @@ def materialise_splits(
     would read as null and leave no row.
     """
     for folder in dataset_dirs:
-        require_columns(spark.read.parquet(folder), ["duration", split_col])
+        require_columns(read_current(spark, folder), ["duration", split_col])
     schema = STORED if split_col in STORED.names else T.StructType([*STORED.fields, T.StructField(split_col, T.StringType())])
     parts = [read_dataset(spark, folder, schema=schema).drop("name", "shard") for folder in dataset_dirs]
     rows = known_splits(at_most(union_shards(parts), max_seconds), split_col)

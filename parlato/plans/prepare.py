@@ -11,6 +11,7 @@ from parlato.functions.text import normalize
 from parlato.operators.filters import MAX_SECONDS, MIN_SECONDS, at_least, at_most, known_splits
 from parlato.schema import require_columns
 from parlato.sources.shards import read_shards, write_splits
+from parlato.sources.versions import read_current
 
 
 def prepared(
@@ -41,6 +42,6 @@ def prepare(
     null and leave no row; other columns may be missing.
     """
     for path in [source] if isinstance(source, str) else source:
-        require_columns(spark.read.parquet(path), ["duration", options.get("split_col", "split")])
+        require_columns(read_current(spark, path), ["duration", options.get("split_col", "split")])
     rows = prepared(read_shards(spark, source), filter_by_duration, **options)
     write_splits(rows, target, options.get("split_col", "split"))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,6 +12,7 @@ from pyspark.sql import types as T
 from parlato.functions.text import normalize
 from parlato.operators.numbering import number_by_file, number_by_key, reader_of, shard_of
 from parlato.schema import UTTERANCE
+from parlato.sources.versions import current_parts, publish, read_current
 
 # Rows per shard when built from audio files and when cut from a table.
 ROWS_PER_AUDIO_SHARD = 10_000
@@ -27,9 +29,9 @@ def shard_by_key(df: DataFrame, keys: Sequence[str], rows_per_shard: int = ROWS_
     return number_by_key(df, keys, "__n").withColumn("shard", shard_of(F.col("__n"), rows_per_shard)).drop("__n")
 
 
-def write_shards(sharded: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """One folder per shard. Rows already lie in shard order, so none are moved."""
-    sharded.write.mode(mode).partitionBy("shard").parquet(path)
+def write_shards(sharded: DataFrame, path: str) -> None:
+    """A new version of the table at ``path``, one folder per shard. Rows already lie in shard order, so none are moved."""
+    publish(sharded.sparkSession, path, lambda folder: sharded.write.partitionBy("shard").parquet(folder))
 
 
 def write_reader_export(sharded: DataFrame, path: str, num_readers: int) -> None:
@@ -42,38 +44,39 @@ def write_reader_export(sharded: DataFrame, path: str, num_readers: int) -> None
 def read_shards(
     spark: SparkSession, paths: str | Sequence[str], schema: T.StructType | None = UTTERANCE
 ) -> DataFrame:
-    """All shards in one scan. ``schema`` fixes column order and types whatever each file holds.
+    """All shards in one scan of plain folders and one for each folder of a version. ``schema`` fixes column order and types whatever each file holds.
 
     Columns that a shard lacks read as null, extra ones stay unread, whole numbers
     widen. Partition columns such as ``shard`` come with it.
     """
     paths = [paths] if isinstance(paths, str) else list(paths)
-    reader = spark.read
-    if schema is not None:
-        reader = reader.schema(schema)
+    plain = [path for path in paths if current_parts(spark, path) is None]
+    reader = spark.read if schema is None else spark.read.schema(schema)
     try:
-        return reader.parquet(*paths)
+        scans = [reader.parquet(*plain)] if plain else []
+        scans += [read_current(spark, path, schema) for path in paths if path not in plain]
     except Exception as error:
         if "PATH_NOT_FOUND" in str(error):
             raise FileNotFoundError(f"no shards at {paths}") from error
         raise
+    return reduce(DataFrame.unionByName, scans)
 
 
 def rewrite_column(spark: SparkSession, source: str, target: str, column: str, change: Callable[[Column], Column]) -> None:
-    """Write ``source`` to ``target`` with one column changed in place; shards stay separate folders.
+    """A new version of ``target``: ``source`` with one column changed in place; shards stay separate folders.
 
-    The source is left as it is, so a run that fails leaves nothing half changed.
+    A run that fails leaves both as they are. ``target`` may be ``source``, unless that is a plain folder.
     A table without the column is copied as it is.
     """
-    if source.rstrip("/") == target.rstrip("/"):
-        raise ValueError("a table cannot be rewritten onto itself; give a new path")
-    df = spark.read.parquet(source)
+    if source.rstrip("/") == target.rstrip("/") and current_parts(spark, source) is None:
+        raise ValueError("a plain table cannot be rewritten onto itself; give a new path")
+    df = read_current(spark, source)
     if column in df.columns:
         df = df.withColumn(column, change(F.col(column)))
-    writer = df.write.mode("overwrite")
     if "shard" in df.columns:
-        writer = writer.partitionBy("shard")
-    writer.parquet(target)
+        write_shards(df, target)
+    else:
+        df.write.mode("overwrite").parquet(target)
 
 
 def normalize_table(spark: SparkSession, source: str, target: str, lowercase: bool = False) -> None:
@@ -82,15 +85,15 @@ def normalize_table(spark: SparkSession, source: str, target: str, lowercase: bo
 
 
 def replace_shards(df: DataFrame, path: str) -> None:
-    """Replace the shards that occur in ``df`` and leave the others. ``df`` must not read from ``path``."""
-    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("shard").parquet(path)
+    """A new version in which the shards that occur in ``df`` are replaced and the others stay. ``df`` may read from ``path``."""
+    publish(df.sparkSession, path, lambda folder: df.write.partitionBy("shard").parquet(folder), whole=False)
 
 
 def write_splits(df: DataFrame, path: str, split_col: str = "split") -> None:
-    """Train and test in one pass, each under its own folder; earlier output is removed."""
-    df.write.mode("overwrite").partitionBy(split_col).parquet(path)
+    """A new version with train and test, written in one pass, each in its own folder."""
+    publish(df.sparkSession, path, lambda folder: df.write.partitionBy(split_col).parquet(folder))
 
 
 def read_split(spark: SparkSession, path: str, split: str, split_col: str = "split") -> DataFrame:
     """One split, reading only its folder."""
-    return spark.read.parquet(path).filter(F.col(split_col) == split)
+    return read_current(spark, path).filter(F.col(split_col) == split)

@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from parlato.functions.wav import seconds, wav_info
+from parlato.sources.versions import read_current
 from parlato.plans.create import audio_to_shards, label_splits, materialise_splits, read_dataset
 from parlato.schema import UTTERANCE
 from parlato.sources.audio import BAD_AUDIO, BAD_TRANSCRIPT, NO_TRANSCRIPT, build_utterances
@@ -158,7 +159,7 @@ def test_audio_to_train_and_test(spark, tmp_path):
         label_splits(spark, dataset, labelled, ["CC"])
 
     materialise_splits(spark, [labelled], final, max_seconds=2.0)
-    out = spark.read.parquet(final)
+    out = read_current(spark, final)
     assert out.count() == 20 + 7
     assert {r.split for r in out.select("split").distinct().collect()} == {"train", "test"}
     assert out.filter("duration > 2.0").count() == 0

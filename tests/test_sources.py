@@ -11,6 +11,7 @@ from parlato.plans.evaluate import evaluate
 from parlato.plans.prepare import prepare
 from parlato.plans.training import map_rows, read_for_training
 from parlato.schema import conform, with_fillers
+from parlato.sources.versions import current_parts, read_current
 from parlato.sources import arrow_ipc, shards, tables, transcripts
 from parlato.sources.transcripts import read_transcripts
 
@@ -97,7 +98,8 @@ def test_arrow_round_trip(spark, tmp_path):
     # what an overwrite leaves is what it wrote, whatever a reader would have found before
     os.makedirs(f"{path}/deeper")
     for name in ("old.feather", "deeper/old.arrow"):
-        os.link(f"{path}/{[f for f in os.listdir(path) if f.endswith('.arrow')][0]}", f"{path}/{name}")
+        parts = [f"{path}/{f}" for f in os.listdir(path) if f.endswith(".arrow")]
+        os.link(max(parts, key=os.path.getsize), f"{path}/{name}")
     assert arrow_ipc.read_arrow(spark, path).count() > 2
     arrow_ipc.write_arrow(df, path)
     assert arrow_ipc.read_arrow(spark, path).count() == 2
@@ -112,19 +114,19 @@ def test_shards(spark, tmp_path):
     source, first, second = (str(tmp_path / name) for name in ("s", "one", "two"))
     spark.range(45).select("id", F.concat(F.lit("È [x] "), "id").alias("text")).coalesce(1).write.parquet(source)
     shards.write_shards(shards.shard_by_file(spark.read.parquet(source), 20), first)
-    assert sorted(n for n in os.listdir(first) if n.startswith("shard")) == ["shard=0", "shard=1", "shard=2"]
+    assert sorted(current_parts(spark, first)) == ["shard=0", "shard=1", "shard=2"]
     shards.normalize_table(spark, first, second)
     schema = T.StructType().add("id", "long").add("text", "string").add("absent", "double").add("shard", "long")
     rows = shards.read_shards(spark, second, schema).collect()
     assert {(r.id, r.text, r.absent, r.shard) for r in rows} == {(i, f"E {i}", None, i // 20) for i in range(45)}
     with pytest.raises(ValueError):
-        shards.normalize_table(spark, first, first + "/")
+        shards.normalize_table(spark, source, source + "/")
     with pytest.raises(FileNotFoundError):
         shards.read_shards(spark, str(tmp_path / "none"))
 
     change = spark.createDataFrame([(99, "new", 1)], "id long, text string, shard long")
     shards.replace_shards(change, second)
-    counts = {r.shard: r["count"] for r in spark.read.parquet(second).groupBy("shard").count().collect()}
+    counts = {r.shard: r["count"] for r in read_current(spark, second).groupBy("shard").count().collect()}
     assert counts == {0: 20, 1: 1, 2: 5}
 
     no_text = str(tmp_path / "plain")
@@ -133,7 +135,7 @@ def test_shards(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "copy")).count() == 3
 
     export = str(tmp_path / "export")
-    shards.write_reader_export(spark.read.parquet(first), export, 2)
+    shards.write_reader_export(read_current(spark, first), export, 2)
     counts = {r.reader: r["count"] for r in spark.read.parquet(export).groupBy("reader").count().collect()}
     assert counts == {0: 25, 1: 20}
 
@@ -157,12 +159,12 @@ def test_prepare_and_read_for_training(spark, tmp_path):
     source, out = str(tmp_path / "s"), str(tmp_path / "out")
     utterance_rows(spark).write.parquet(source)
     prepare(spark, source, out)
-    rows = spark.read.parquet(out).select("utt_id", "text", "split").collect()
+    rows = read_current(spark, out).select("utt_id", "text", "split").collect()
     assert {tuple(r) for r in rows} == {
         ("a", "E a", "train"), ("b", "E b", "train"), ("c", "E c", "train"), ("e", "E e", "test"),
     }
     prepare(spark, source, out, filter_by_duration=True)
-    assert {r.utt_id for r in spark.read.parquet(out).collect()} == {"b", "c", "e"}
+    assert {r.utt_id for r in read_current(spark, out).collect()} == {"b", "c", "e"}
     train = read_for_training(spark, out, "train", transform=lambda df: df.select("utt_id", F.upper("text").alias("t")))
     assert {tuple(r) for r in train.collect()} == {("b", "E B"), ("c", "E C")}
 
