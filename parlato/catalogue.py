@@ -24,7 +24,7 @@ from parlato.plans.prepare import prepared
 from parlato.plans.training import map_rows, read_for_training
 from parlato.schema import UTTERANCE
 from parlato.session import fill_cluster, scratch_path
-from parlato.sources import audio, listing, shards, tables, transcripts, versions
+from parlato.sources import audio, drift, listing, shards, tables, transcripts, versions
 from parlato.sources.arrow_ipc import first_arrow_rows, read_arrow, write_arrow
 from parlato.sources.reader_streams import reader_streams
 from parlato.streaming.ingest import append_stream, ingest_audio, open_rejects, stream_table
@@ -348,6 +348,24 @@ def union_relaxed(spark, sf_dir):
     return union.union_shards([first, second])
 
 
+@query
+def union_drifting_files(spark, sf_dir):
+    """Orders in some hundred files of three layouts: other order, more columns and smaller numbers."""
+    folder = scratch_path(spark, "drift")
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice", "o_orderstatus")
+    part = F.pmod(F.xxhash64(F.col("o_orderkey").cast("long")), F.lit(102)).cast("int")
+    for k, rows in enumerate(
+        (
+            orders,
+            orders.select("o_orderstatus", "o_totalprice", F.lit("x").alias("extra"), "o_custkey", F.col("o_orderkey").cast("int")),
+            orders.select("o_custkey", "o_orderkey", F.col("o_totalprice").cast("double"), "o_orderstatus", F.lit(1).alias("o_shippriority")),
+        )
+    ):
+        rows.where(part % 3 == k).repartitionById(34, F.floor(part / 3).cast("int")).write.parquet(f"{folder}/{k}")
+    files = [file for k in range(3) for file in spark.read.parquet(f"{folder}/{k}").inputFiles()]
+    return drift.union_files(spark, files, ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice"])
+
+
 @query
 def head_rows(spark, sf_dir):
     """A look at the first five rows."""

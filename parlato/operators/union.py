@@ -27,18 +27,24 @@ def _common_type(name: str, types: Sequence[T.DataType]) -> T.DataType:
     raise ValueError(f"column {name!r} has types that do not combine: {[t.simpleString() for t in distinct]}")
 
 
+def common_types(names: Sequence[str], schemas: Sequence[T.StructType]) -> dict[str, T.DataType]:
+    """The type of each column that its types in all ``schemas`` fit in."""
+    return {name: _common_type(name, [schema[name].dataType for schema in schemas]) for name in names}
+
+
 def union_shards(shards: Sequence[DataFrame], columns: Sequence[str] | None = None) -> DataFrame:
     """All rows of ``shards`` with the columns of the first one, or ``columns``.
 
     Later shards are reordered to fit, lose extra columns and must have every
     column asked for; numbers widen to a common type. For a folder of shards that
     agree, or that differ from a known schema, one read is the better plan: see
-    :func:`parlato.sources.shards.read_shards`.
+    :func:`parlato.sources.shards.read_shards`; for many files of a few layouts
+    :func:`parlato.sources.drift.union_files`.
     """
     if not shards:
         raise ValueError("no shards to put together")
     names = list(columns or shards[0].columns)
     aligned = [align_columns(df, names) for df in shards]
-    types = {name: _common_type(name, [df.schema[name].dataType for df in aligned]) for name in names}
+    types = common_types(names, [df.schema for df in aligned])
     cast = [df.select(*[F.col(name).cast(types[name]).alias(name) for name in names]) for df in aligned]
     return reduce(DataFrame.unionByName, cast)

@@ -143,6 +143,7 @@ ORACLE: dict[str, str] = {
     "row_index_in_shard": "SELECT doc_id, (row_number() OVER (ORDER BY doc_id) - 1) % 200 AS idx FROM documents",
     "write_and_read_shards": f"""SELECT conv_id, turn, {norm("text")} AS text,
         (row_number() OVER (ORDER BY conv_id, turn) - 1) // 100 AS shard FROM conversations""",
+    "union_drifting_files": "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice FROM orders",
     "replaced_shards": f"""SELECT conv_id, turn, shard, trim(CASE WHEN shard % 3 = 0 THEN {norm("text")} ELSE text END) AS text
         FROM (SELECT *, (row_number() OVER (ORDER BY conv_id, turn) - 1) // 100 AS shard FROM conversations)""",
     "reader_assignment": """WITH s AS (SELECT (row_number() OVER (ORDER BY doc_id) - 1) // 50 AS shard FROM documents)
