@@ -78,6 +78,19 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h
 
 
+def slices(sizes: np.ndarray, rows: int, most: int) -> Iterator[slice]:
+    """Cuts of a batch into runs of at most ``rows`` rows and ``most`` bytes; a larger row is alone."""
+    lo = held = 0
+    for hi, size in enumerate(sizes):
+        if hi > lo and (hi - lo >= rows or held + size > most):
+            yield slice(lo, hi)
+            lo = hi
+            held = 0
+        held += size
+    if lo < len(sizes):
+        yield slice(lo, len(sizes))
+
+
 class WordIds(dict):
     """Numbers words as they come; ``halves`` has the two 64-bit halves of each word's digest."""
 

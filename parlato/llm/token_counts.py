@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from parlato.llm.bpe import byte_letters, vocabulary_path
-from parlato.llm.common import table
+from parlato.llm.common import slices, table
 
 # Fixed value: how the vocabulary's authors cut texts before merging.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -186,19 +186,6 @@ def counter(path: str) -> Counter:
     return _counters[path]
 
 
-def _slices(sizes: np.ndarray) -> Iterator[slice]:
-    """Cuts of a batch by ``SLICE_ROWS`` and ``SLICE_BYTES``."""
-    lo = held = 0
-    for hi, size in enumerate(sizes):
-        if hi > lo and (hi - lo >= SLICE_ROWS or held + size > SLICE_BYTES):
-            yield slice(lo, hi)
-            lo = hi
-            held = 0
-        held += size
-    if lo < len(sizes):
-        yield slice(lo, len(sizes))
-
-
 def token_counts(docs: DataFrame, text: str, path: str, limit: int = LIMIT) -> DataFrame:
     """``docs`` with ``n_bytes`` (UTF-8), ``n_tokens`` and ``over_limit``: whether there are more than ``limit`` tokens.
 
@@ -218,7 +205,7 @@ def token_counts(docs: DataFrame, text: str, path: str, limit: int = LIMIT) -> D
         made = counter(path)
         for batch in batches:
             sizes = pc.fill_null(pc.binary_length(batch.column(place)), 0).to_numpy(zero_copy_only=False).astype(np.int64)
-            for cut in _slices(sizes):
+            for cut in slices(sizes, SLICE_ROWS, SLICE_BYTES):
                 part = batch.slice(cut.start, cut.stop - cut.start)
                 n = made.count(part.column(place).to_pylist())
                 columns = [*part.columns, pa.array(sizes[cut], pa.int64()), pa.array(n, pa.int64())]

@@ -28,20 +28,20 @@ def test_against_library(pair):
         text = "".join(rng.choice(pool if rng.random() < 0.4 else "abcdeth'e INSTHE's've12!?.") for _ in range(rng.randrange(50)))
         if k % 9 == 0:
             text += "<|endoftext|>" + text[:4] + "<|startoftext|>"
-        assert encoder.encode(text) == plain(library, text), repr(text)
+        assert encoder.encode([text]) == [plain(library, text)], repr(text)
 
 
 def test_every_low_character(pair):
     encoder, library = pair
     for c in range(1, 0x250):
         for text in (chr(c), f"a{chr(c)}b", f"1{chr(c)}'s {chr(c)}{chr(c)}"):
-            assert encoder.encode(text) == plain(library, text), repr(text)
+            assert encoder.encode([text]) == [plain(library, text)], repr(text)
 
 
 def test_long_words(pair):
     encoder, library = pair
     for text in ("a" * 2000, "ab" * 500, "the" * 300, "!" * 777, "é" * 300):
-        assert encoder.encode(text) == plain(library, text)
+        assert encoder.encode([text]) == [plain(library, text)]
 
 
 def merged(word, merges):
@@ -74,15 +74,37 @@ def test_automaton_of_random_merges():
         for _ in range(60):
             word = "".join(rng.choice("ab") for _ in range(rng.randrange(1, 12)))
             assert [made.tokens[i] for i in made.encode(word)] == merged(word, merges), (word, merges)
+            assert bpe.Tables(made, bpe.byte_letters()).encode([word.encode()]) == [made.encode(word)]
     with pytest.raises(ValueError):
         made.encode("c")
+    with pytest.raises(ValueError):
+        bpe.Tables(made, bpe.byte_letters()).encode([b"c"])
+
+
+def test_kept_results_are_bounded():
+    held = bpe.Kept(2)
+    for k in "abcabcd":
+        assert held.known([k, "z"]) in ({}, {k: (k,)})
+        held.keep({k: (k,)})
+    assert len(held.young) <= 2 and len(held.old) <= 2 and held.known("d") == {"d": ("d",)}
+
+
+def test_texts_together(pair, monkeypatch):
+    library = pair[1]
+    monkeypatch.setattr(bpe, "KEPT_WORDS", 3)
+    encoder = bpe.Encoder(PATH)
+    texts = ["Ein Text", None, "", "ein text's", "<|endoftext|> a<|endoftext|>", "12 x 3", "ſ İ é", "it's 0n\x7f", "a_b\x01c"]
+    for _ in range(3):
+        assert encoder.encode(texts) == [plain(library, t or "") for t in texts]
 
 
-def test_recent_forgets_old_keys():
-    calls = []
-    held = bpe.Recent(lambda k: calls.append(k) or (k,), 2)
-    assert [held(k)[0] for k in "abcabcabc"] == list("abcabcabc")
-    assert len(held.young) <= 2 and len(held.old) <= 2
+def test_tables_and_automaton_agree(pair):
+    encoder = pair[0]
+    rng = random.Random(8)
+    words = [bytes(rng.choice(b"abcdethingsrou0123!?.\xc3\xa9\xff\x00") for _ in range(rng.randrange(1, 48))) for _ in range(3000)]
+    scalar = [encoder.automaton.encode("".join(encoder.letters[b] for b in w)) for w in words]
+    assert encoder.tables.encode(words) == scalar
+    assert encoder.tables.encode([]) == []
 
 
 def test_frame(documents, pair):

@@ -6,6 +6,7 @@ from tokenizers import Tokenizer
 
 from parlato.llm import token_counts
 from parlato.llm.bpe import vocabulary_path
+from parlato.llm.common import slices
 
 ODD = ["  ", "\n", " \n", " ", "\t", "'s", " 's", "aaaa", " aaa", "<|endoftext|>", "<|endof", "\x1c", "\xa0", " ", "日本語テキスト"]
 ODD += ["՘", "\U0001df90", "é", "é", "123", " 45", "!!", "=====", "x" * 300, "🙂", "Ġ", "don't", "I'LL", "The quick", " fox."]
@@ -78,6 +79,6 @@ def test_empty_table(documents, path):
 
 
 def test_slices():
-    assert [(s.start, s.stop) for s in token_counts._slices(np.array([], np.int64))] == []
-    big = token_counts.SLICE_BYTES
-    assert [(s.start, s.stop) for s in token_counts._slices(np.array([1, big + 1, 2, 3]))] == [(0, 1), (1, 2), (2, 4)]
+    assert [(s.start, s.stop) for s in slices(np.array([], np.int64), 500, 10)] == []
+    assert [(s.start, s.stop) for s in slices(np.array([1, 11, 2, 3]), 500, 10)] == [(0, 1), (1, 2), (2, 4)]
+    assert [(s.start, s.stop) for s in slices(np.array([1, 1, 1]), 2, 10)] == [(0, 2), (2, 3)]
