@@ -56,11 +56,23 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/parlato/{label}-{uuid.uuid4().hex}"
 
 
+# Spark's own setting: the shuffle files of a query go when it has ended.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def staged(df: DataFrame, label: str) -> DataFrame:
-    """``df`` written once to the shared folder and read back: short lineage, fixed rows."""
+    """``df`` written once to the shared folder and read back: short lineage, fixed rows.
+
+    The shuffle files that made it are deleted as soon as it is there.
+    """
     spark = df.sparkSession
     path = scratch_path(spark, label)
-    df.write.parquet(path)
+    before = spark.conf.get(CLEANUP, "false")
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -46,3 +46,20 @@ def test_small_scans_are_spread_and_large_ones_left(spark, tmp_path):
     assert fill_cluster(spark.read.parquet(small)).rdd.getNumPartitions() == cores
     many = spark.read.parquet(large)
     assert fill_cluster(many, 100) is many
+
+
+def test_staged_leaves_no_shuffle_files(spark):
+    from pyspark.sql import functions as F
+
+    from parlato.session import CLEANUP, staged
+
+    def files():
+        folders = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()
+        return {f for top in folders for _, _, names in os.walk(top) for f in names if f.startswith("shuffle_")}
+
+    before = files()
+    made = staged(spark.range(100_000).groupBy(F.col("id") % 1000).count(), "counts")
+    assert not files() - before
+    assert made.count() == 1000 and spark.conf.get(CLEANUP, "false") == "false"
+    # other queries keep theirs
+    assert files() - before
