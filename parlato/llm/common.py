@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-import gc
 import math
-import time
 from array import array
 from bisect import bisect_right
 from collections.abc import Callable, Iterable, Iterator, Sequence
@@ -31,22 +29,9 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def stage(df: DataFrame, label: str, release: bool = False) -> DataFrame:
-    """``df`` stored in the shared folder and read back.
-
-    With ``release`` the shuffle files that made it may go before the next job
-    fills the disks. Spark's cleaner deletes them once the driver's heap has
-    dropped the finished query, which it is asked to do; the listeners hold the
-    query for a moment longer than the call that ran it.
-    """
-    out = staged(df, label)
-    if release:
-        del df
-        time.sleep(1)
-        gc.collect()
-        out.sparkSession.sparkContext._jvm.System.gc()
-        time.sleep(0.5)
-    return out
+def stage(df: DataFrame, label: str) -> DataFrame:
+    """``df`` stored in the shared folder and read back; the shuffle files that made it go."""
+    return staged(df, label)
 
 
 def n_words(text: Column) -> Column:

@@ -244,14 +244,14 @@ def collocations(
     chunks = stage(rows.mapInArrow(_chunked, CHUNKS), "phrase-chunks")
     own = chunks.select("chunk", "lang", F.inline("words"))
     words = own.groupBy("lang", "word").agg(F.sum("n").alias("f")).where(F.col("f") >= least)
-    words = _numbered(stage(words, "phrase-words", True), ["lang", F.desc("f"), "word"], "phrase-ranks")
+    words = _numbered(stage(words, "phrase-words"), ["lang", F.desc("f"), "word"], "phrase-ranks")
     back = own.select("chunk", "lang", "at", "word").join(words.select("lang", "word", "id").hint("shuffle_hash"), ["lang", "word"])
     back = back.groupBy("chunk").agg(F.collect_list(F.struct("at", F.col("id").cast("int").alias("id"))).alias("known"))
     coded = chunks.select("chunk", "seq", "most").join(back, "chunk")
-    coded = stage(coded.mapInArrow(_recoded, "chunk long, seq binary"), "phrase-codes", True)
+    coded = stage(coded.mapInArrow(_recoded, "chunk long, seq binary"), "phrase-codes")
 
     def often(counts: DataFrame, label: str) -> DataFrame:
-        return stage(counts.groupBy("key").agg(F.sum("n").alias("a")).where(F.col("a") >= least), label, True)
+        return stage(counts.groupBy("key").agg(F.sum("n").alias("a")).where(F.col("a") >= least), label)
 
     pairs = often(coded.mapInArrow(_counted(_word_pairs), "key long, n long"), "phrase-pairs")
     pairs = _numbered(pairs, [F.desc("a"), "key"], "phrase-pair-ranks")

@@ -22,12 +22,16 @@ HEX = re.compile(r"[0-9a-f]{16,}")
 KINDS = ("assign", "access", "hex", "model")
 WORDS = (b"password", b"passwd", b"secret", b"token", b"apikey", b"api_key")
 
-# A candidate is a run of token characters this long that is not all letters.
+# A candidate is a run of token characters this long that is not all letters in the case of an ordinary word.
 LEAST = 12
 CONTEXT = 24
 # Findings of each class that the network learns from, at most; chosen by hash.
 SAMPLE = 4000
 RECALL = 0.99
+# Characters of the longest window that the network learns from; it scores all.
+LEARNED = 1000
+# Characters, with their contexts, that the network looks at in one go.
+STRIP = 1 << 13
 # Width of the bins in which the network's outputs are counted.
 BIN = 1 / 256
 
@@ -89,7 +93,7 @@ def scan(text: str | None) -> Found:
     starts, ends, labels, windows = [], [], [], []
     for a, b in runs(raw):
         run = raw[a:b]
-        if run.isalpha():
+        if run.isalpha() and (run.islower() or run.isupper() or run[1:].islower()):
             continue
         at = a if len(raw) == len(text) else len(raw[:a].decode("utf-8"))
         end = at + len(run)
@@ -145,15 +149,24 @@ class Network:
         pooled = np.maximum(np.take_along_axis(maps, best[:, None, :], 1)[:, 0] + self.shift, 0)
         return pooled @ self.output + self.bias[0], pooled, best
 
-    def logits(self, windows: list[str], most: int = 1 << 16) -> np.ndarray:
+    def _best(self, codes: np.ndarray) -> np.ndarray:
+        """The maximum of each filter over all places, some places at a time."""
+        step = max(1, STRIP // len(codes))
+        out = np.full((len(codes), FILTERS), -np.inf)
+        for k in range(0, codes.shape[1] - WIDTH + 1, step):
+            np.maximum(out, (self._patches(codes[:, k : k + step + WIDTH - 1]) @ self.filters).max(axis=1), out=out)
+        return out
+
+    def logits(self, windows: list[str]) -> np.ndarray:
         """Outputs for all windows, in batches of like length so that a long candidate stands alone."""
         out = np.zeros(len(windows))
         order = sorted(range(len(windows)), key=lambda k: len(windows[k]))
         while order:
             longest = len(windows[order[-1]]) + WIDTH
-            part = order[-max(1, most // longest) :]
+            part = order[-max(1, STRIP // longest) :]
             del order[-len(part) :]
-            out[part] = self._forward(coded([windows[k] for k in part]))[0]
+            pooled = np.maximum(self._best(coded([windows[k] for k in part])) + self.shift, 0)
+            out[part] = pooled @ self.output + self.bias[0]
         return out
 
     def fit(self, windows: list[str], labels: np.ndarray, epochs: int = 12, batch: int = 64, rate: float = 0.01) -> None:
@@ -258,7 +271,7 @@ def findings(docs: DataFrame, text: str) -> DataFrame:
 def train(found: DataFrame, sample: int = SAMPLE) -> Network | None:
     """A network learned from findings of base patterns and from candidates that none of them takes.
 
-    Up to ``sample`` distinct windows of each class, those of the smallest hash,
+    Up to ``sample`` distinct windows of each class of up to ``LEARNED`` characters, those of the smallest hash,
     reach the driver and are learned from. Calibration and thresholds come from
     all findings, scored in tasks and counted by output. Without findings of both
     classes there is no network.
@@ -267,12 +280,13 @@ def train(found: DataFrame, sample: int = SAMPLE) -> Network | None:
     rows = rows.select(F.col("x.labels").alias("label"), F.col("x.windows").alias("window")).where("label >= 0")
     rows = rows.groupBy("label", "window").agg(F.count("*").alias("n"))
     by_hash = stage(rows.withColumn("h", F.md5("window")), "secret-windows")
-    counts = {r["label"]: r["n"] for r in by_hash.groupBy("label").agg(F.count("*").alias("n")).collect()}
+    learned = by_hash.where(F.length("window") <= LEARNED)
+    counts = {r["label"]: r["n"] for r in learned.groupBy("label").agg(F.count("*").alias("n")).collect()}
     parts = []
     for k in (0, 1):
         # hashes are even, so a range of them holds the smallest with some to spare
         share = min(1.0, 2 * sample / max(counts.get(k, 0), 1))
-        mine = by_hash.where((F.col("label") == k) & (F.col("h") <= f"{int(share * (16**8 - 1)):08x}g"))
+        mine = learned.where((F.col("label") == k) & (F.col("h") <= f"{int(share * (16**8 - 1)):08x}g"))
         parts.append(mine.orderBy("h").limit(sample).toPandas())
     if not all(map(len, parts)):
         return None

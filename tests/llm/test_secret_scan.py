@@ -105,3 +105,31 @@ def test_redact(documents):
     assert {r["doc_id"]: r["text"] for r in made.collect()} == {1: 'x [secret]" y', 2: None, 3: "", 4: "é [secret]"}
     assert ss.without("abcdef", ["a:1:3", "b:2:4"], "*") == "a*ef"
     assert ss.redact(documents([]), "text").collect() == []
+
+
+def test_keys_of_letters_are_candidates():
+    text = "passphrase: QwErTyAsDfGhZxCvBnMm Ordinarilylong ORDINARILYLONG ordinarilylong"
+    found = ss.scan(text)
+    assert [text[a:b] for a, b in zip(found.starts, found.ends)] == ["QwErTyAsDfGhZxCvBnMm"]
+
+
+def test_strips_change_nothing(monkeypatch):
+    rng = np.random.default_rng(3)
+    network = ss.Network()
+    windows = ["x\n" + "".join(rng.choice(list("abc123"), n)) + "\ny" for n in (12, 30, 400, 5000, 12)]
+    whole = [network._forward(ss.coded([w]))[0][0] for w in windows]
+    monkeypatch.setattr(ss, "STRIP", 64)
+    assert np.allclose(network.logits(windows), whole)
+
+
+def test_a_long_candidate_costs_little(documents):
+    import tracemalloc
+
+    network, window = ss.Network(), "a\n" + "Ab1" * 350_000 + "\nb"
+    tracemalloc.start()
+    network.logits([window])
+    assert tracemalloc.get_traced_memory()[1] < 100e6
+    tracemalloc.stop()
+    rng = np.random.default_rng(1)
+    rows = [(i, t) for i, t in enumerate(corpus(rng))] + [(999, "token=" + "Ab1" * 30_000), (998, "Ab1" * 30_000)]
+    assert ss.find_secrets(documents(rows), "text")[0].count() == len(rows)
