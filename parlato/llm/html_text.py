@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections import Counter
 from html import unescape
 
 import pandas as pd
@@ -16,9 +17,10 @@ RANGE_ROWS = 512
 # Element names and words of class and id names, by what they mean for a page.
 RAW = {"script", "style", "textarea", "title", "noscript", "iframe", "xmp", "template", "noembed", "noframes"}
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
-SKIPPED = {
-    "nav", "header", "footer", "aside", "form", "menu", "dialog", "button", "select", "datalist", "head", "svg", "math",
-    "canvas", "object", "audio", "video", "map", "fieldset",
+SKIPPED = {"nav", "header", "footer", "aside", "form", "menu", "dialog", "head", "fieldset"}
+# inside a line: what is not shown as text there, with what it holds
+INLINE_SKIPPED = {
+    "annotation", "annotation-xml", "audio", "button", "canvas", "datalist", "defs", "metadata", "object", "select", "video",
 }
 BLOCKS = {
     "address", "article", "aside", "blockquote", "body", "caption", "center", "dd", "details", "dialog", "dir", "div", "dl",
@@ -33,35 +35,73 @@ CHROME_WORDS = {
     "promo", "promotion", "promoted", "recommended", "related", "replies", "search", "share", "sharing", "sidebar",
     "signup", "skip", "social", "sponsor", "sponsored", "subscribe", "teaser", "toolbar", "widget",
 }
+# words of names that tell the kind of a box, or whose it is, and not what is in it
+NEUTRAL_WORDS = {
+    "a", "area", "article", "background", "bar", "block", "body", "bottom", "box", "btn", "button", "buttons", "card", "cards",
+    "center", "col", "column", "container", "content", "entry", "float", "footer", "form", "global", "group", "header",
+    "heading", "icon", "icons", "inline", "inner", "item", "items", "label", "layout", "left", "link", "links", "list", "main",
+    "outer", "page", "panel", "part", "post", "posts", "primary", "reader", "right", "row", "secondary", "section", "site",
+    "slot", "small", "text", "the", "thread", "title", "to", "top", "unit", "user", "wide", "wrap", "wrapper",
+}
+HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
 CHROME_ROLES = {
     "alert", "banner", "complementary", "contentinfo", "dialog", "form", "menu", "menubar", "navigation", "search",
 }
 
-TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)(?:>|\Z)|<[!?/][^>]*(?:>|\Z)""", re.DOTALL)
-ATTRIBUTE = re.compile(r"""([^\s"'<>/=]+)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'=<>`]+))""")
+# All of these run in linear time: nothing that was read is tried again in another way. A quoted value
+# without an end is closed by the next ">".
+TAG = re.compile(
+    r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>=]++|=\s*+(?:"[^"]*+"|'[^']*+'|["'][^>]*+|[^\s>"'][^\s>]*+)?+)*+)(?:>|\Z)"""
+    r"""|<[!?/][^>]*+(?:>|\Z)""",
+    re.DOTALL,
+)
+ATTRIBUTE = re.compile(r"""([^\s"'>/=][^\s>/=]*+)(?:\s*+=\s*+(?:"([^"]*+)"|'([^']*+)'|["']?+([^\s>"'][^\s>]*+)?+))?+""")
 HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden")
 
-# What a line is part of: an article, the main element, none of both, or what surrounds articles.
-ARTICLE, MAIN, OPEN, CHROME = "article", "main", "open", "chrome"
-
-
-def _is_chrome(name: str, attributes: str, inside: bool) -> bool:
-    """Whether an element surrounds articles; a header or footer inside an article is part of it unless named otherwise."""
-    if name in SKIPPED and not (inside and name == "header"):
-        return True
-    if "hidden" in attributes.lower() and "hidden" in ATTRIBUTE.sub(" ", attributes).lower().split():
-        return True
+# What a line is part of: an article, an article inside the main element, that element outside of articles, a part
+# of any of these whose name says that it may not belong there, none of all, or what surrounds articles.
+ARTICLE, INNER, MAIN, DOUBTFUL, OPEN, CHROME = "article", "inner", "main", "doubtful", "open", "chrome"
+TEXT = (ARTICLE, INNER, MAIN)
+
+
+def _named_chrome(name: str) -> str | None:
+    """What a class or id says: ``CHROME`` if all its words mean what surrounds articles, ``DOUBTFUL`` if only the
+    one that the others qualify does (``price-alert``; not ``share-price`` or ``related-work``)."""
+    found = [w for w in re.split(r"[^a-z]+", re.sub(r"(?<=[a-z])(?=[A-Z])", "-", name).lower()) if w]
+    known = [w for w in found if w not in NEUTRAL_WORDS]
+    if not known:
+        # a name like "site-header" has no word of its own
+        return None
+    while found[-1] in NEUTRAL_WORDS:
+        found.pop()
+    if found[-1] not in CHROME_WORDS:
+        return None
+    return CHROME if all(w in CHROME_WORDS for w in known) else DOUBTFUL
+
+
+def _judged(name: str, attributes: str, inside: bool) -> str | None:
+    """``CHROME`` for an element that surrounds articles, ``DOUBTFUL`` for one inside an article that may; a header or
+    footer inside an article is part of it unless named otherwise. Ids of headings are made of their words and tell nothing."""
+    if name in SKIPPED and not (inside and name == "header") or name in INLINE_SKIPPED:
+        return CHROME
+    doubt = None
     for key, *values in ATTRIBUTE.findall(attributes):
-        key, value = key.lower(), next((v for v in values if v), "").lower()
+        key, value = key.lower(), next((v for v in values if v), "")
         if key in ("class", "id") and name not in ("body", "html", "article", "main"):
-            found = {w for w in re.split(r"[^a-z0-9]+", value) if w}
-            if found & CHROME_WORDS or "header" in found and not inside:
-                return True
-        elif key == "role" and value in CHROME_ROLES or key == "aria-hidden" and value == "true":
-            return True
-        elif key == "hidden" or key == "style" and HIDDEN.search(value):
-            return True
-    return False
+            if key == "id" and name in HEADINGS:
+                continue
+            for part in value.split():
+                kind = _named_chrome(part)
+                if not inside and (kind or part.lower() == "header" or re.search(r"(^|[-_])header$", part.lower())):
+                    return CHROME
+                if kind == CHROME:
+                    return CHROME
+                doubt = doubt or kind
+        elif key == "role" and value.lower() in CHROME_ROLES or key == "aria-hidden" and value.lower() == "true":
+            return CHROME
+        elif key == "hidden" or key == "style" and HIDDEN.search(value.lower()):
+            return CHROME
+    return doubt
 
 
 def lines(html: str | None) -> list[tuple[str, str]]:
@@ -73,7 +113,9 @@ def lines(html: str | None) -> list[tuple[str, str]]:
     """
     found: list[tuple[str, str]] = []
     block: list[str] = []
-    stack: list[tuple[str, str]] = []
+    # open elements: name, place before it, and the line that an element inside it interrupts, if it does
+    stack: list[tuple[str, str, list[str] | None]] = []
+    opened: Counter[str] = Counter()
     place = OPEN
 
     def close() -> None:
@@ -82,6 +124,18 @@ def lines(html: str | None) -> list[tuple[str, str]]:
             found.append((place, text))
         block.clear()
 
+    def leave() -> str:
+        nonlocal place, block
+        name, before, line = stack.pop()
+        opened[name] -= 1
+        if line is not None:
+            close()
+            place, block = before, line
+        elif before != place:
+            close()
+            place = before
+        return name
+
     at, html = 0, html or ""
     while True:
         tag = TAG.search(html, at)
@@ -98,14 +152,9 @@ def lines(html: str | None) -> list[tuple[str, str]]:
         if tag[1]:
             if name in BLOCKS or name in SKIPPED:
                 close()
-            if any(n == name for n, _ in stack):
-                while stack:
-                    n, before = stack.pop()
-                    if before != place:
-                        close()
-                        place = before
-                    if n == name:
-                        break
+            if opened[name]:
+                while leave() != name:
+                    pass
             continue
         if name in RAW:
             end = re.compile(rf"</{re.escape(name)}[\s/>]|</{re.escape(name)}\Z", re.IGNORECASE).search(html, at)
@@ -118,22 +167,30 @@ def lines(html: str | None) -> list[tuple[str, str]]:
             close()
             # a paragraph or list item ends where the next begins
             if stack and stack[-1][0] in ("p", "li") and (stack[-1][0] == "p" or name == "li"):
-                place = stack.pop()[1]
-        if name in VOID or tag[3].endswith("/") and name in SKIPPED:
+                leave()
+        if name in VOID or tag[3].endswith("/") and (name in SKIPPED or name in INLINE_SKIPPED):
             continue
-        inside = place in (ARTICLE, MAIN)
         now = place
         if place != CHROME:
-            if _is_chrome(name, tag[3], inside):
-                now = CHROME
-            elif name == "article" or "articlebody" in tag[3].lower():
-                now = ARTICLE
+            kind = _judged(name, tag[3], place in TEXT)
+            if kind:
+                now = kind
+            elif place != DOUBTFUL and (name == "article" or "articlebody" in tag[3].lower()):
+                now = INNER if place in (INNER, MAIN) else ARTICLE
             elif place == OPEN and (name == "main" or re.search(r"""role\s*=\s*["']?main\b""", tag[3], re.IGNORECASE)):
                 now = MAIN
+        line = None
         if now != place:
-            close()
-        stack.append((name, place))
+            if name in BLOCKS or name in SKIPPED:
+                close()
+            else:
+                # the line goes on after an element inside it
+                line, block = block, []
+        stack.append((name, place, line))
+        opened[name] += 1
         place = now
+    while stack:
+        leave()
     close()
     return found
 
@@ -162,21 +219,43 @@ def common_lines(a: list[str], b: list[str]) -> set[int]:
     return matched
 
 
+def _parts(own: list[tuple[str, str]]) -> tuple[str, ...]:
+    """What a page's text is made of: the main element with its articles, or these alone if they hold half of its
+    characters at least; without one, the articles; else all that surrounds nothing."""
+    held = Counter()
+    for part, text in own:
+        held[part] += len(text)
+    if held[MAIN] > held[INNER]:
+        return (MAIN, INNER)
+    if held[INNER]:
+        return (INNER,)
+    return (ARTICLE,) if held[ARTICLE] else (OPEN,)
+
+
 def main_text(own: list[tuple[str, str]], near: list[tuple[str, str]] | None) -> str:
     """A page's lines without what surrounds the article, and without the lines it shares with the near page.
 
-    Lines of an article are its text, whatever other pages say: pages that quote or
-    copy each other keep it. Elsewhere shared lines go; a page with an article or
-    main element has its text in there.
+    Lines inside an article element are its text, whatever other pages say: pages
+    quote each other and repeat licences. What the alignment decides is all that markup leaves open: lines of the
+    main element outside of articles, lines of pages that have neither, and lines of doubtful name anywhere in the
+    text. Shared ones go; but where two main elements share half of their characters or more, the pages
+    are versions of one another, and only lines of doubtful name go. Without a near page, those go too.
     """
-    around = [k for k, (part, _) in enumerate(own) if part in (OPEN, CHROME)]
-    shared: set[int] = set()
-    if near is not None:
-        other = [text for part, text in near if part in (OPEN, CHROME)]
-        shared = {around[k] for k in common_lines([own[k][1] for k in around], other)}
-    parts = {part for part, _ in own}
-    wanted = ARTICLE if ARTICLE in parts else MAIN if MAIN in parts else OPEN
-    return "\n".join(text for k, (part, text) in enumerate(own) if part == wanted and k not in shared)
+    wanted = _parts(own)
+    gone = {k for k, (part, _) in enumerate(own) if part not in wanted and part != DOUBTFUL}
+    doubtful = {k for k, (part, _) in enumerate(own) if part == DOUBTFUL}
+    if near is None:
+        gone |= doubtful
+    else:
+        theirs = (*_parts(near), DOUBTFUL)
+        mine = [k for k, (part, _) in enumerate(own) if part in wanted or part == DOUBTFUL]
+        other = [text for part, text in near if part in theirs]
+        met = {mine[k] for k in common_lines([own[k][1] for k in mine], other)}
+        shared = sum(len(own[k][1]) for k in met)
+        versions = 2 * shared >= min(sum(len(own[k][1]) for k in mine), sum(map(len, other)))
+        open_to = doubtful if versions and wanted != (OPEN,) else {k for k in mine if own[k][0] not in (ARTICLE, INNER)}
+        gone |= met & open_to
+    return "\n".join(text for k, (_, text) in enumerate(own) if k not in gone)
 
 
 def _nearness(a: str, b: str) -> int:

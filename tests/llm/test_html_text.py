@@ -1,4 +1,5 @@
 import random
+import time
 
 from parlato.llm.html_text import common_lines, extract, lines, main_text
 
@@ -25,6 +26,59 @@ def test_markup():
     assert lines('<p title="a>b" hidden>x</p><p>y') == [("chrome", "x"), ("open", "y")]
 
 
+def text_of(page, near=None):
+    return main_text(lines(page), None if near is None else lines(near))
+
+
+def test_nothing_of_an_article_is_lost():
+    assert text_of("<article><p title=it's>Hello</p><p>World</p><p>it's fine</p></article>") == "Hello\nWorld\nit's fine"
+    page = (
+        '<article><h2 id="related-work">Work</h2><section id="search-algorithms"><p>Algorithms</p></section><p class="share-price">Price'
+        '<p>x <math><mi>a</mi></math> b <span class="ad">buy</span> c<div class="shareButtons">S</div><div class="related-posts">R</div></article>'
+    )
+    assert text_of(page) == "Work\nAlgorithms\nPrice\nx a b c"
+    assert text_of("<main><p>Long main text</p><article><p>teaser card</p></article></main>") == "Long main text\nteaser card"
+    assert text_of('<article>a <span class="ad">b<div>c</div>d</span> e</article><p>f') == "a e"
+    assert text_of('<p>a<p title="no end>b<p>c') == "a\nb\nc"
+
+
+def test_alignment_decides_what_markup_leaves_open():
+    page = '<main><p>{0} has text enough of its own</p><p>Read our terms</p><article>{0} card <i>x</i></article></main>'.format
+    assert text_of(page("one"), page("two")) == "one has text enough of its own\none card x"
+    page = '<article><p>{0} text</p><p>All may copy this</p><div class="price-alert">{1}</div></article>'.format
+    assert text_of(page("one", "Join us"), page("two", "Join us")) == "one text\nAll may copy this"
+    assert text_of(page("one", "Up by 3"), page("two", "Down by 4")) == "one text\nAll may copy this\nUp by 3"
+    page = "<main><p>{0}</p><p>the same long text in both versions</p></main>".format
+    assert text_of(page("one"), page("two")) == "one\nthe same long text in both versions"
+
+
+def test_markup_takes_linear_time():
+    n = 100_000
+    pages = ["<a " * n + '"', "<" * n, "<b>" * n + "</i>" * n, "<a " + "b" * n + ">", '<a b="' * n, "<a b='c" * n + '"', "<p class=" + " " * n + "x>"]
+    start = time.monotonic()
+    for page in [*pages, "<a" + " b  " * n + ">", "<!--" * n, "<title>" * n, "<b>" * n + "</b>" * n]:
+        lines(page)
+    assert time.monotonic() - start < 60
+
+
+def test_against_plain_pages():
+    """Pages made of blocks whose part is known, against the blocks that belong to the text."""
+    rng = random.Random(3)
+    around = ['<nav><a href="/{0}">{0}</a></nav>', '<div class="ad-slot">{0}</div>', "<footer>{0}", "<form>{0}</form>", '<section id="comments"><p>{0}</section>']
+    inside = ["<p>{0}</p>", "<p>{0}", '<h2 id="menu-{1}">{0}</h2>', "<ul><li>{0}</ul>", "<div>{0}<script>{1}</script></div>", "<p title={1}'>{0}</p>"]
+    for _ in range(200):
+        words = [f"w{rng.randrange(10**6)} &amp; v" for _ in range(20)]
+        wanted, page = [], ["<article>"]
+        for word in words:
+            if rng.random() < 0.7:
+                wanted.append(word.replace("&amp;", "&"))
+                page.append(rng.choice(inside).format(word, rng.randrange(9)))
+            else:
+                part = rng.choice(around).format(word)
+                page.append(part + "</footer>" * part.startswith("<footer"))
+        assert text_of("".join(page)) == "\n".join(wanted)
+
+
 def test_common_lines_are_longest():
     rng = random.Random(1)
     for _ in range(500):
