@@ -15,8 +15,14 @@ END = CRLF + CRLF
 SPLIT = END + "WARC/1."
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
+# Control characters, and those that some readers take for the end of a line.
+CONTROL = r"[\x00-\x1f\x7f-\x9f\u2028\u2029]"
+
 MIN_BYTES = 1000
 
+# Captures without a key are dealt over this many hash values.
+NULL_KEY_PARTS = 4096
+
 
 def _urn(kind: str, key: Column, digest: Column) -> Column:
     """A record id that depends on kind, key and payload only, so a task that runs again writes the same one."""
@@ -26,8 +32,13 @@ def _urn(kind: str, key: Column, digest: Column) -> Column:
 
 
 def _uri(url: Column) -> Column:
-    """A header value holds no line break."""
-    return F.regexp_replace(F.coalesce(url, F.lit("")), r"[\r\n]+", "%0A")
+    """A header value holds no control or line character: each is percent-encoded, as its bytes in UTF-8."""
+    text = F.coalesce(url, F.lit(""))
+    one = lambda c: F.when(
+        c.rlike(CONTROL), F.concat(F.lit("%"), F.regexp_replace(F.hex(F.encode(c, "UTF-8")), "(..)(?=.)", "$1%"))
+    ).otherwise(c)
+    encoded = F.array_join(F.transform(F.split(text, ""), one), "")
+    return F.when(text.rlike(CONTROL), encoded).otherwise(text)
 
 
 def capture_headers(captures: DataFrame) -> DataFrame:
@@ -64,7 +75,10 @@ def resolve_revisits(headers: DataFrame, min_bytes: int = MIN_BYTES) -> DataFram
 
 def records(captures: DataFrame, revisits: DataFrame, date: str) -> DataFrame:
     """One column ``record``: each capture as a WARC record with a fresh header; revisits have no block."""
-    rows = captures.join(revisits, "key", "left").withColumn("digest", F.sha1("payload"))
+    # rows without a key meet no revisit; the salt keeps them out of one partition
+    salt = F.when(F.col("key").isNull(), F.pmod(F.xxhash64("url", "payload"), F.lit(NULL_KEY_PARTS))).otherwise(F.lit(0))
+    revisits = revisits.withColumn("salt", F.lit(0).cast("long"))
+    rows = captures.withColumn("salt", salt).join(revisits, ["key", "salt"], "left").withColumn("digest", F.sha1("payload"))
     revisit = F.col("refers_to").isNotNull()
     block = F.when(revisit, F.lit(b"")).otherwise(F.col("payload"))
     fields = [
@@ -97,7 +111,7 @@ def write_archives(record_rows: DataFrame, path: str, compression: str = "gzip")
 
 
 def _field(name: str) -> Column:
-    value = F.regexp_extract("head", rf"(?im)^{name}:[ \t]*(.*?)[ \t]*\r?$", 1)
+    value = F.regexp_extract("head", rf"(?imd)^{name}:[ \t]*(.*?)[ \t]*\r?$", 1)
     return F.when(value != "", value)
 
 
