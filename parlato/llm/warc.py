@@ -20,9 +20,6 @@ CONTROL = r"[\x00-\x1f\x7f-\x9f\u2028\u2029]"
 
 MIN_BYTES = 1000
 
-# Captures without a key are dealt over this many hash values.
-NULL_KEY_PARTS = 4096
-
 
 def _urn(kind: str, key: Column, digest: Column) -> Column:
     """A record id that depends on kind, key and payload only, so a task that runs again writes the same one."""
@@ -75,10 +72,10 @@ def resolve_revisits(headers: DataFrame, min_bytes: int = MIN_BYTES) -> DataFram
 
 def records(captures: DataFrame, revisits: DataFrame, date: str) -> DataFrame:
     """One column ``record``: each capture as a WARC record with a fresh header; revisits have no block."""
-    # rows without a key meet no revisit; the salt keeps them out of one partition
-    salt = F.when(F.col("key").isNull(), F.pmod(F.xxhash64("url", "payload"), F.lit(NULL_KEY_PARTS))).otherwise(F.lit(0))
-    revisits = revisits.withColumn("salt", F.lit(0).cast("long"))
-    rows = captures.withColumn("salt", salt).join(revisits, ["key", "salt"], "left").withColumn("digest", F.sha1("payload"))
+    # captures without a key meet no revisit and need not move to one partition for it
+    keyless = captures.where("key is null").select("*", *[F.lit(None).cast("string").alias(c) for c in ("refers_to", "refers_to_uri")])
+    met = captures.where("key is not null").join(revisits, "key", "left")
+    rows = met.unionByName(keyless.select(*[F.col(c).cast(t).alias(c) for c, t in met.dtypes])).withColumn("digest", F.sha1("payload"))
     revisit = F.col("refers_to").isNotNull()
     block = F.when(revisit, F.lit(b"")).otherwise(F.col("payload"))
     fields = [
