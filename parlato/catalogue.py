@@ -439,6 +439,18 @@ def references_from_csv(spark, sf_dir):
     return tables.read_references(spark, path)
 
 
+@query
+def csv_in_blocks(spark, sf_dir):
+    """Documents in CSV files with quotes and line breaks in their texts, each file read by many tasks."""
+    path = scratch_path(spark, "csv")
+    docs = table(spark, sf_dir, "documents")
+    text = F.concat(F.lit('He said "'), F.regexp_replace("text", r"\. ", '."\n\n",'))
+    docs.select("source", text.alias("text"), "doc_id").write.csv(path, header=True, quote='"', escape='"', quoteAll=True)
+    kinds = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("text", T.StringType())])
+    rows = tables.read_csv(spark, path, kinds, split_bytes=200_000)
+    return rows.select("doc_id", F.md5("text").alias("digest"), F.length("text").cast("long").alias("n_chars"))
+
+
 @query
 def script_names(spark, sf_dir):
     """Names out of command lines; lines of other programs do not count."""

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from parlato.functions.keys import BUCKETS, hash_bucket, order_hash
-from parlato.session import scratch_path
+from parlato.session import scratch_path, staged
 
 # A broadcast table of file offsets has one row per file: 16 bytes of its name's digest and a number,
 # about 100 bytes in a hash table. The limit is reached at 20 million files.
@@ -52,6 +52,26 @@ def number_by_file(df: DataFrame, out: str = "row_number", file_order: Column |
     return _with_offsets(df, starts, n_files, out)
 
 
+def number_by_block(df: DataFrame, at: str, out: str = "row_number") -> DataFrame:
+    """0-based position of each row of stored rows with ``at``, a struct of ``file``, ``start`` of a part of it, and ``row``.
+
+    Rows of a part have consecutive values of ``row``, whatever the first is.
+    Parts are counted, a running total goes over one row a part, and rows are not moved unless there are too many parts.
+    """
+    parts = df.groupBy(F.col(f"{at}.file").alias("__file"), F.col(f"{at}.start").alias("__from")).agg(
+        F.count("*").alias("__n"), F.min(f"{at}.row").alias("__first")
+    )
+    parts = staged(parts, "parts")
+    before = Window.orderBy("__file", "__from").rowsBetween(Window.unboundedPreceding, -1)
+    start = F.coalesce(F.sum("__n").over(before), F.lit(0)) - F.col("__first")
+    starts = parts.select(F.unhex(F.md5("__file")).alias("__digest"), "__from", start.alias("__start"))
+    if parts.count() * OFFSET_BYTES <= MAX_BROADCAST_BYTES:
+        starts = F.broadcast(starts)
+    tagged = df.withColumns({"__digest": F.unhex(F.md5(F.col(f"{at}.file"))), "__from": F.col(f"{at}.start")})
+    numbered = tagged.join(starts, ["__digest", "__from"]).withColumn(out, F.col("__start") + F.col(f"{at}.row"))
+    return numbered.drop("__digest", "__from", "__start")
+
+
 def number_by_key(df: DataFrame, keys: Sequence[str], out: str = "row_number") -> DataFrame:
     """0-based position of each row in the order of ``keys``, which must be unique.
 

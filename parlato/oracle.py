@@ -152,6 +152,9 @@ ORACLE: dict[str, str] = {
         UNION ALL SELECT doc_id, source, n_chars / 100.0::DOUBLE FROM documents""",
     "head_rows": "SELECT text FROM documents ORDER BY doc_id LIMIT 5",
     "arrow_ipc_roundtrip": "SELECT doc_id, lang, text FROM documents",
+    "csv_in_blocks": """
+SELECT doc_id::BIGINT AS doc_id, md5(t) AS digest, length(t)::BIGINT AS n_chars
+FROM (SELECT doc_id, 'He said "' || replace(text, '. ', '."' || chr(10) || chr(10) || '",') AS t FROM documents)""",
     "arrow_head_rows": "SELECT doc_id, source FROM documents ORDER BY doc_id LIMIT 30",
     "reference_last_wins": """SELECT 'c' || conv_id || '.mp3' AS path, arg_max(text, turn) AS sentence
         FROM conversations GROUP BY conv_id""",

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,6 +13,8 @@ from pyspark.sql import types as T
 from parlato.operators.numbering import first_rows
 from parlato.schema import align_columns
 from parlato.sources.arrow_ipc import first_arrow_rows, read_arrow
+from parlato.sources.csv_blocks import csv_records
+from parlato.sources.listing import Place
 
 # The columns a look at an utterance table shows, where it has them.
 HEAD_COLUMNS = ["text", "duration", "split", "OG_corpus"]
@@ -29,6 +33,10 @@ def suffix_of(path: str) -> str:
     return "." + name.rsplit(".", 1)[1].lower() if "." in name else ""
 
 
+# CSV files above this size are read by several tasks each.
+SPLIT_BYTES = 64 << 20
+
+
 def read_csv(
     spark: SparkSession,
     path: str,
@@ -36,19 +44,46 @@ def read_csv(
     columns: Sequence[str] | None = None,
     multi_line: bool = True,
     order: str | None = None,
+    split_bytes: int = SPLIT_BYTES,
 ) -> DataFrame:
     """A CSV file with a header, columns found by name; quotes are doubled, quoted line breaks allowed.
 
     ``schema`` casts and, without ``columns``, selects. Only what is selected is parsed.
-    With ``multi_line`` a file is read by one task; turned off, for files without
-    quoted line breaks, large files are split. ``order`` names a column to add
-    whose values rise as the rows do, file after file.
+    Files of more than ``split_bytes`` are cut where records begin, see
+    :mod:`parlato.sources.csv_blocks`; their lines must end in a line feed, with or without carriage return.
+    ``multi_line`` may be turned off for files without quoted line breaks, which Spark splits by itself.
+    ``order`` names a column to add whose values rise as the rows do, file after file.
     """
     raw = spark.read.csv(path, header=True, quote='"', escape='"', multiLine=multi_line)
     names = list(columns or (schema.names if schema else raw.columns))
     align_columns(raw, names)
-    cast = [F.col(n).cast(schema[n].dataType).alias(n) if schema and n in schema.names else F.col(n) for n in names]
-    return raw.select(*cast, *([stored_order().alias(order)] if order else []))
+    at = stored_order()
+    if multi_line and (files := _large_files(spark, path, raw.inputFiles(), split_bytes)):
+        records = csv_records(spark, spark.createDataFrame(files, "path string, size long"), path, split_bytes)
+        # the first record of a file has its column names
+        records = records.where("block > 0 or place > 0")
+        kinds = ", ".join(f"`{name.replace('`', '``')}` string" for name in raw.columns)
+        parsed = F.from_csv("record", kinds, {"quote": '"', "escape": '"'})
+        raw = records.select(parsed.alias("row"), F.struct("file", "block", "place").alias("__at"))
+        at = F.col("__at")
+        value = {name: F.col("row").getField(name) for name in names}
+    else:
+        value = {name: F.col(f"`{name}`") for name in names}
+    cast = [value[n].cast(schema[n].dataType if schema and n in schema.names else "string").alias(n) for n in names]
+    return raw.select(*cast, *([at.alias(order)] if order else []))
+
+
+def _large_files(spark: SparkSession, path: str, files: Sequence[str], split_bytes: int) -> list[tuple[str, int]]:
+    """``path, size`` of all files, if one of them has more than ``split_bytes``; the paths begin as ``path`` does."""
+    place = Place(spark, path)
+    system, root = place.open()
+    plain = [re.sub("^file:/+", "/", unquote(file)) for file in files]
+    if not root.startswith("/"):
+        plain = [file.split("://", 1)[1] for file in plain]
+    sizes = [info.size for info in system.get_file_info(plain)]
+    if max(sizes, default=0) <= split_bytes:
+        return []
+    return [(place.base + file.removeprefix(root), size) for file, size in zip(plain, sizes, strict=True)]
 
 
 def stored_order() -> Column:

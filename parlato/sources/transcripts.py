@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from parlato.functions.text import WS, transcript_line
-from parlato.operators.numbering import number_by_key
+from parlato.operators.numbering import number_by_block
 from parlato.session import staged
 from parlato.sources.tables import stored_order
 
@@ -47,6 +47,6 @@ def read_transcripts(spark: SparkSession, path: str) -> DataFrame:
     sides = []
     for side in ("hyp", "ref"):
         lines = spark.read.text(f"{path.rstrip('/')}/{side}").select(F.col("value").alias("line"), stored_order().alias("at"))
-        numbered = number_by_key(staged(lines, "lines"), ["at"], "place")
+        numbered = number_by_block(staged(lines, "lines"), "at", "place")
         sides.append(numbered.select(F.lit(side).alias("side"), "place", "line"))
     return sides[0].unionByName(sides[1])
