@@ -379,11 +379,21 @@ def arrow_ipc_roundtrip(spark, sf_dir):
     return read_arrow(spark, path, ["doc_id", "lang", "text"])
 
 
+@query
+def arrow_filtered(spark, sf_dir):
+    """Rows of Arrow files by filters that the source takes."""
+    path = scratch_path(spark, "arrow")
+    write_arrow(table(spark, sf_dir, "orders").repartitionByRange(16, "o_orderkey").sortWithinPartitions("o_orderkey"), path)
+    rows = read_arrow(spark, path, ["o_orderkey", "o_orderstatus", "o_totalprice"])
+    kept = rows.where("o_orderkey between 500 and 9000 and o_orderstatus in ('F', 'P') and o_totalprice > 1000")
+    return kept.select(F.col("o_orderkey").cast("long").alias("o_orderkey"), "o_orderstatus")
+
+
 @query
 def arrow_head_rows(spark, sf_dir):
-    """The first thirty rows of Arrow files."""
+    """The first thirty rows of many Arrow files."""
     path = scratch_path(spark, "arrow")
-    write_arrow(table(spark, sf_dir, "documents").coalesce(1), path)
+    write_arrow(table(spark, sf_dir, "documents").repartitionByRange(24, "doc_id").sortWithinPartitions("doc_id"), path)
     return first_arrow_rows(spark, path, 30, lambda names: ["doc_id", "source"])
 
 
@@ -589,30 +599,33 @@ def restore_padding(spark, sf_dir):
 # --- audio --------------------------------------------------------------------------------------------
 
 
-def _pcm_file(n_frames: Column, rate: int) -> Column:
+def _pcm_file(n_frames: Column, rate: int, big_endian: bool = False) -> Column:
     """A mono 8-bit WAV file of silence."""
 
-    def little_endian(number: Column, size: int) -> Column:
+    def number_of(number: Column, size: int) -> Column:
         digits = F.lpad(F.hex(number), 2 * size, "0")
+        if big_endian:
+            return digits
         return F.concat(*[F.substring(digits, 2 * (size - i) - 1, 2) for i in range(size)])
 
     def tag(name: str) -> Column:
         return F.lit(name.encode().hex())
 
     fixed = F.concat(
-        *[tag("fmt "), little_endian(F.lit(16), 4), little_endian(F.lit(1), 2), little_endian(F.lit(1), 2)],
-        *[little_endian(F.lit(rate), 4), little_endian(F.lit(rate), 4)],
-        *[little_endian(F.lit(1), 2), little_endian(F.lit(8), 2)],
+        *[tag("fmt "), number_of(F.lit(16), 4), number_of(F.lit(1), 2), number_of(F.lit(1), 2)],
+        *[number_of(F.lit(rate), 4), number_of(F.lit(rate), 4)],
+        *[number_of(F.lit(1), 2), number_of(F.lit(8), 2)],
     )
-    head = F.concat(tag("RIFF"), little_endian(36 + n_frames, 4), tag("WAVE"), fixed, tag("data"))
-    return F.unhex(F.concat(head, little_endian(n_frames, 4), F.repeat(F.lit("80"), n_frames.cast("int"))))
+    head = F.concat(tag("RIFX" if big_endian else "RIFF"), number_of(36 + n_frames, 4), tag("WAVE"), fixed, tag("data"))
+    return F.unhex(F.concat(head, number_of(n_frames, 4), F.repeat(F.lit("80"), n_frames.cast("int"))))
 
 
 def _audio_files(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """Each document as a recording and a transcript file; some lack one, some are damaged."""
     docs = fill_cluster(table(spark, sf_dir, "documents"))
     stem = F.concat(F.lit("corpus/"), "source", F.when(F.col("lang") == "en", "/test/").otherwise("/part/"), "doc_id")
-    whole = _pcm_file(F.col("n_chars"), 100)
+    n_frames = F.col("n_chars")
+    whole = F.when(F.col("doc_id") % 6 == 1, _pcm_file(n_frames, 100, True)).otherwise(_pcm_file(n_frames, 100))
     content = F.when(F.col("doc_id") % 10 == 3, F.substring(whole, F.lit(1), F.lit(30))).otherwise(whole)
     wav = docs.select(F.concat(stem, F.lit(".wav")).alias("path"), content.alias("content"))
     raw = F.encode(F.concat(F.lit("\t "), "text", F.lit("\r\n")), "UTF-8")

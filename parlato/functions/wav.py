@@ -30,10 +30,11 @@ def _bytes_at(content: Column, offset: Column, size: int) -> Column:
     return F.hex(F.substring(content, (offset + 1).cast("int"), F.lit(size)))
 
 
-def _number_at(content: Column, offset: Column, size: int) -> Column:
-    """Little-endian unsigned integer at a byte offset."""
-    backwards = F.reverse(_bytes_at(content, offset, size))
-    return F.conv(F.regexp_replace(backwards, "(.)(.)", "$2$1"), 16, 10).cast("long")
+def _number_at(content: Column, offset: Column, size: int, big_endian: Column) -> Column:
+    """Unsigned integer at a byte offset."""
+    digits = _bytes_at(content, offset, size)
+    backwards = F.regexp_replace(F.reverse(digits), "(.)(.)", "$2$1")
+    return F.conv(F.when(big_endian, digits).otherwise(backwards), 16, 10).cast("long")
 
 
 def _tag(name: str) -> Column:
@@ -45,26 +46,29 @@ def _state(at, rate, block, wide, held, frames, done) -> Column:
     return F.struct(*[column.alias(name) for name, column in fields.items()]).cast(_STATE)
 
 
-def _step(content: Column, total: Column, seen: Column) -> Column:
+def _step(content: Column, total: Column, big_endian: Column, seen: Column) -> Column:
     """Read the chunk at ``seen.at`` and move past it; ``done`` once the samples are found."""
     at = seen["at"]
     body = at + 8
 
+    def number(offset: Column, n_bytes: int) -> Column:
+        return _number_at(content, offset, n_bytes, big_endian)
+
     def read(tag: Column) -> Column:
-        size = _number_at(content, at + 4, 4)
+        size = number(at + 4, 4)
         is_format, is_data, is_wide = tag == _tag("fmt "), tag == _tag("data"), tag == _tag("ds64")
-        fixed = _number_at(content, body, 2).isin(*FIXED_SIZE_FORMATS)
+        fixed = number(body, 2).isin(*FIXED_SIZE_FORMATS)
         # a 64-bit file keeps the true size of its samples in an earlier chunk
         stored = F.when(size == 0xFFFFFFFF, F.coalesce(seen["wide"], size)).otherwise(size)
         # a header that promises more than the file holds counts what is there
         held = F.least(stored, total - body)
         return _state(
             body + size + F.pmod(size, F.lit(2)),
-            F.when(is_format, _number_at(content, body + 4, 4)).otherwise(seen["rate"]),
-            F.when(is_format, F.when(fixed, _number_at(content, body + 12, 2))).otherwise(seen["block"]),
-            F.when(is_wide, _number_at(content, body + 8, 8)).otherwise(seen["wide"]),
+            F.when(is_format, number(body + 4, 4)).otherwise(seen["rate"]),
+            F.when(is_format, F.when(fixed, number(body + 12, 2))).otherwise(seen["block"]),
+            F.when(is_wide, number(body + 8, 8)).otherwise(seen["wide"]),
             F.when(is_data, held).otherwise(seen["held"]),
-            F.when(tag == _tag("fact"), _number_at(content, body, 4)).otherwise(seen["frames"]),
+            F.when(tag == _tag("fact"), number(body, 4)).otherwise(seen["frames"]),
             is_data,
         )
 
@@ -76,16 +80,19 @@ def _step(content: Column, total: Column, seen: Column) -> Column:
     )
 
 
-def _walk(content: Column, total: Column, steps: Column) -> Column:
+def _walk(content: Column, total: Column, big_endian: Column, steps: Column) -> Column:
     nothing = F.lit(None)
     start = _state(F.lit(12), nothing, nothing, nothing, nothing, nothing, F.lit(False))
-    return F.aggregate(F.sequence(F.lit(1), steps), start, lambda seen, _: _step(content, total, seen))
+    return F.aggregate(F.sequence(F.lit(1), steps), start, lambda seen, _: _step(content, total, big_endian, seen))
 
 
 def _info(content: Column, total: Column) -> Column:
-    is_wave = _bytes_at(content, F.lit(0), 4).isin("RIFF".encode().hex().upper(), "RF64".encode().hex().upper()) & (
+    kind = _bytes_at(content, F.lit(0), 4)
+    is_wave = kind.isin("RIFF".encode().hex().upper(), "RF64".encode().hex().upper(), "RIFX".encode().hex().upper()) & (
         _bytes_at(content, F.lit(8), 4) == _tag("WAVE")
     )
+    # the first tag tells the order of bytes in all numbers
+    big_endian = kind == _tag("RIFX")
 
     def info(seen: Column) -> Column:
         frames = F.coalesce(F.floor(seen["held"] / F.nullif(seen["block"], F.lit(0))), seen["frames"])
@@ -93,8 +100,8 @@ def _info(content: Column, total: Column) -> Column:
         return F.when(usable, F.struct(frames.cast("long").alias("frames"), seen["rate"].alias("samplerate")))
 
     all_chunks = F.least(F.floor(F.length(content) / 8), F.lit(MOST_CHUNKS)).cast("int") + 1
-    usual = _walk(content, total, F.lit(_USUAL_CHUNKS))
-    found = _bind(usual, lambda seen: F.when(seen["done"], seen).otherwise(_walk(content, total, all_chunks)))
+    usual = _walk(content, total, big_endian, F.lit(_USUAL_CHUNKS))
+    found = _bind(usual, lambda seen: F.when(seen["done"], seen).otherwise(_walk(content, total, big_endian, all_chunks)))
     return F.when(is_wave, _bind(found, info))
 
 

@@ -155,6 +155,8 @@ ORACLE: dict[str, str] = {
     "csv_in_blocks": """
 SELECT doc_id::BIGINT AS doc_id, md5(t) AS digest, length(t)::BIGINT AS n_chars
 FROM (SELECT doc_id, 'He said "' || replace(text, '. ', '."' || chr(10) || chr(10) || '",') AS t FROM documents)""",
+    "arrow_filtered": """SELECT o_orderkey::BIGINT AS o_orderkey, o_orderstatus FROM orders
+        WHERE o_orderkey BETWEEN 500 AND 9000 AND o_orderstatus IN ('F', 'P') AND o_totalprice > 1000""",
     "arrow_head_rows": "SELECT doc_id, source FROM documents ORDER BY doc_id LIMIT 30",
     "reference_last_wins": """SELECT 'c' || conv_id || '.mp3' AS path, arg_max(text, turn) AS sentence
         FROM conversations GROUP BY conv_id""",

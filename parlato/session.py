@@ -18,6 +18,7 @@ RECOMMENDED = {
     "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
     "spark.sql.parquet.columnarReaderBatchSize": "512",
     "spark.sql.files.maxPartitionBytes": "128m",
+    "spark.sql.python.filterPushdown.enabled": "true",
 }
 
 

@@ -41,8 +41,15 @@ EXTENSIBLE = (
     b"RIFF\0\0\0\0WAVEfmt " + struct.pack("<IHHIIHH", 40, 0xFFFE, 2, 48000, 192000, 4, 16) + b"\0" * 24
     + b"data" + struct.pack("<I", 400) + b"\0" * 400
 )
+BIG_ENDIAN = (
+    b"RIFX" + struct.pack(">I", 243) + b"WAVE" + b"LIST" + struct.pack(">I", 5) + b"hello\0" + b"fmt "
+    + struct.pack(">IHHIIHH", 16, 1, 2, 22050, 88200, 4, 16) + b"data" + struct.pack(">I", 200) + b"\0" * 200
+)
 
 HEADERS = {
+    "big-endian": (BIG_ENDIAN, (50, 22050)),
+    "big-endian, cut off": (BIG_ENDIAN[:-100], (25, 22050)),
+    "big-endian, wrong tag": (b"RIFF" + BIG_ENDIAN[4:], None),
     "plain": (wav(24000), (24000, 16000)),
     "stereo": (wav(1000, 48000, 2), (1000, 48000)),
     "chunk before the samples": (wav(100, before=LIST_CHUNK), (100, 16000)),

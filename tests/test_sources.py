@@ -86,6 +86,64 @@ def test_arrow_files(spark, tmp_path, monkeypatch):
     assert reader.partitions() == parts
 
 
+CONDITIONS = [
+    "n = 37", "n > 990 and text <> 't995'", "n in (5, 700, 2000)", "n not in (5)", "n <=> null", "text is null", "text is not null and n < 3",
+    "text like 't99%'", "text like '%7'", "text like '%55%'", "not (n >= 4)", "flag", "not flag", "x > 3.5", "x = 'NaN'", "n = 10 or n = 900",
+    "text in ('t1', null)", "text not in ('t1', null)", "n <=> 5", "n between 120 and 130 and x < 125",
+]
+
+
+def test_filters_reach_arrow_files(spark, tmp_path, monkeypatch):
+    n = [None if i % 50 == 49 else i for i in range(1000)]
+    text = [None if i % 40 == 39 else f"t{i}" for i in range(1000)]
+    x = [float("nan") if i % 30 == 29 else float(i) for i in range(1000)]
+    flag = pa.array([None if i % 7 == 0 else i % 2 == 0 for i in range(1000)])
+    table = pa.table({"text": text, "n": pa.array(n, pa.int32()), "x": x, "flag": flag})
+    write_ipc(tmp_path / "a.arrow", table, 100)
+    rows = arrow_ipc.read_arrow(spark, str(tmp_path))
+    plain = spark.createDataFrame(list(zip(text, n, x, flag.to_pylist())), rows.schema)
+    for condition in CONDITIONS:
+        want, got = (sorted(map(repr, df.where(condition).collect())) for df in (plain, rows))
+        assert got == want, condition
+
+    reads = []
+    whole = arrow_ipc._batch
+
+    def counted(source, names, wanted):
+        read = whole(source, names, wanted)
+        return lambda i: reads.append((tuple(names), i)) or read(i)
+
+    monkeypatch.setattr(arrow_ipc, "_batch", counted)
+    reader = arrow_ipc._FilteringReader(str(tmp_path), rows.schema)
+    kept = arrow_ipc.GreaterThan(("n",), 850), arrow_ipc.EqualTo(("x",), 3.0)
+    assert list(reader.pushFilters(list(kept))) == [kept[1]]
+    found = [b for part in reader.partitions() for b in reader.read(part)]
+    assert sum(b.num_rows for b in found) == sum(v is not None and v > 850 for v in n)
+    assert [i for names, i in reads if names == ("n",)] == list(range(10))
+    assert [i for names, i in reads if names != ("n",)] == [8, 9]
+
+
+def test_plan_shows_filters_of_arrow_files(spark, tmp_path):
+    write_ipc(tmp_path / "a.arrow", pa.table({"n": list(range(100))}), 10)
+    rows = arrow_ipc.read_arrow(spark, str(tmp_path)).where("n > 95")
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert " Filter " not in plan and rows.count() == 4
+    left = arrow_ipc.read_arrow(spark, str(tmp_path)).where("n % 2 = 1")
+    assert " Filter " in left._jdf.queryExecution().executedPlan().toString()
+
+
+def test_head_of_many_arrow_files(spark, tmp_path):
+    sizes = [0, 3, 0, 10, 1] + [5] * 30
+    at = 0
+    for k, size in enumerate(sizes):
+        write_ipc(tmp_path / f"{k:03d}.arrow", pa.table({"n": pa.array(range(at, at + size), pa.int64())}), 4)
+        at += size
+    for n, files in ((0, 1), (1, 2), (3, 2), (4, 4), (14, 5), (15, 6), (60, 15), (at, len(sizes)), (at + 5, len(sizes))):
+        assert arrow_ipc._files_that_hold(spark, str(tmp_path), n) == files
+        rows = arrow_ipc.first_arrow_rows(spark, str(tmp_path), n, list)
+        assert [r.n for r in rows.collect()] == list(range(min(n, at)))
+
+
 def test_arrow_round_trip(spark, tmp_path):
     path = str(tmp_path / "out")
     rows = [((b"\0\1", "p"), "caffè", 1.5, ["a", None]), (None, None, None, None)]
