@@ -16,6 +16,9 @@ from parlato.sources.tables import stored_order
 SCRIPT_PROGRAM, SCRIPT_FOLDER = "doasr_home.py", "/home/docker/"
 SCRIPT_CALL = rf"{re.escape(SCRIPT_PROGRAM)}[{WS}]+{SCRIPT_FOLDER}([A-Za-z0-9_\-]+\.wav)"
 
+# Characters of a text that ranges of lines are cut by, where they have one key.
+CUT_CHARS = 16
+
 
 def names_in_lines(lines: DataFrame, line: str = "value", pattern: str = SCRIPT_CALL) -> DataFrame:
     """``name``: the first match of each line. Other lines go, repeated names stay."""
@@ -31,6 +34,15 @@ def transcript_lines(df: DataFrame, text: str, utt_id: str = "utt_id") -> DataFr
     return df.select(transcript_line(F.col(text), F.col(utt_id)).alias("value"))
 
 
+def in_line_order(stored: DataFrame, utt_id: str, hyp: str, ref: str) -> DataFrame:
+    """``stored`` in the order of ``utt_id, hyp, ref``.
+
+    Ranges are cut by the key and the first characters of ``hyp``: the driver gets a
+    sample of what cuts them, and whole texts would be most of it. Rows with equal cuts share a range.
+    """
+    return stored.repartitionByRange(utt_id, F.substring(hyp, 1, CUT_CHARS)).sortWithinPartitions(utt_id, hyp, ref)
+
+
 def write_transcripts(df: DataFrame, path: str, hyp: str = "hyp", ref: str = "ref", utt_id: str = "utt_id") -> None:
     """``path/hyp`` and ``path/ref``: text folders whose lines belong together one by one.
 
@@ -38,7 +50,7 @@ def write_transcripts(df: DataFrame, path: str, hyp: str = "hyp", ref: str = "re
     """
     stored = staged(df.select(utt_id, hyp, ref), "transcripts")
     for side, column in (("hyp", hyp), ("ref", ref)):
-        in_order = stored.orderBy(utt_id, hyp, ref)
+        in_order = in_line_order(stored, utt_id, hyp, ref)
         transcript_lines(in_order, column, utt_id).write.mode("overwrite").text(f"{path.rstrip('/')}/{side}")
 
 

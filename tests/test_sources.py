@@ -1,4 +1,6 @@
 import os
+import random
+import re
 
 import pyarrow as pa
 import pytest
@@ -307,3 +309,15 @@ def test_last_reference_of_a_file(spark, tmp_path):
         assert (total.first().n_pairs, total.first().edits) == (1, 0)
     lines = read_transcripts(spark, f"{tmp_path}/out").collect()
     assert sorted((r.side, r.place, r.line) for r in lines) == [("hyp", 0, "second (a)"), ("ref", 0, "second (a)")]
+
+
+def test_lines_are_cut_by_short_keys(spark):
+    """What the driver samples to cut ranges holds no whole text; the order is that of whole texts all the same."""
+    rng = random.Random(3)
+    rows = [(f"u{rng.randrange(5)}", "same start of a text " * 2 + str(rng.randrange(40)), str(rng.randrange(9))) for _ in range(300)]
+    rows += [("u1", None, "x"), (None, "y", None)]
+    ordered = transcripts.in_line_order(spark.createDataFrame(rows, "utt_id string, hyp string, ref string"), "utt_id", "hyp", "ref")
+    text = ordered._jdf.queryExecution().executedPlan().toString()
+    cut = re.search(r"rangepartitioning\((.*)\), REPARTITION", text)[1]
+    assert not re.search(r"\b(hyp|ref)#\d+ ASC", cut)
+    assert [tuple(r) for r in ordered.collect()] == sorted(rows, key=lambda row: [(v is not None, v or "") for v in row])
