@@ -10,6 +10,7 @@ from parlato.functions.wav import seconds, wav_info
 from parlato.sources.versions import read_current
 from parlato.plans.create import audio_to_shards, label_splits, materialise_splits, read_dataset
 from parlato.schema import UTTERANCE
+from parlato.sources import audio
 from parlato.sources.audio import BAD_AUDIO, BAD_TRANSCRIPT, NO_TRANSCRIPT, build_utterances
 from parlato.streaming.ingest import ingest_audio, open_rejects
 
@@ -251,6 +252,17 @@ def test_a_batch_reads_no_earlier_output(spark, tmp_path, monkeypatch):
     assert sorted(r.text for r in spark.read.parquet(f"{out}/utterances").select("text").collect()) == list("abcd")
 
 
+def test_a_pair_is_read_in_one_pass(spark, tmp_path, monkeypatch):
+    """Heads do not go through a second task's Python; what comes out is bounded batch by batch."""
+    seen = []
+    monkeypatch.setattr(audio, "staged", lambda df, label: seen.append(df) or df)
+    (tmp_path / "a.wav").write_bytes(wav(100))
+    (tmp_path / "a.txt").write_text("ciao")
+    pairs = spark.createDataFrame([(f"{tmp_path}/a.wav", 244, f"{tmp_path}/a.txt"), (f"{tmp_path}/a.wav", 244, None)], "path string, size long, text_path string")
+    assert [r.text for r in audio.check_pairs(pairs, str(tmp_path)).collect()] == ["ciao", None]
+    assert seen[0]._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
+
+
 class _State:
     def __init__(self):
         self.get, self.exists, self.hasTimedOut, self.due = None, False, False, None
