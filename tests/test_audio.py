@@ -252,6 +252,22 @@ def test_a_batch_reads_no_earlier_output(spark, tmp_path, monkeypatch):
     assert sorted(r.text for r in spark.read.parquet(f"{out}/utterances").select("text").collect()) == list("abcd")
 
 
+def test_state_has_no_more_parts_than_a_batch_needs(spark, tmp_path):
+    base, state = tmp_path / "in", tmp_path / "state"
+    base.mkdir()
+    for name in "ab":
+        (base / f"{name}.wav").write_bytes(wav(100))
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "40")
+    try:
+        ingest_audio(spark, str(base), str(tmp_path / "out"), str(state), files_per_batch=1500).awaitTermination()
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "40"
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    parts = [name for name in os.listdir(state / "state" / "0") if name.isdigit()]
+    assert len(parts) == spark.sparkContext.defaultParallelism
+
+
 def test_a_pair_is_read_in_one_pass(spark, tmp_path, monkeypatch):
     """Heads do not go through a second task's Python; what comes out is bounded batch by batch."""
     seen = []
