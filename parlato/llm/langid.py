@@ -137,6 +137,8 @@ def identify(docs: DataFrame, text: str, model: Model) -> DataFrame:
         for batch in batches:
             yield pd.DataFrame([sent.value.predict(t, letters) for t in batch], columns=["lang_pred", "score"])
 
+    # a filter by what is found would else run the function a second time, in workers of its own
+    predict = predict.asNondeterministic()
     kept = [F.col(f"`{c}`") for c in docs.columns if c not in ("lang_pred", "score")]
     made = docs.select(*kept, predict(F.col(text)).alias("__lang"))
     return made.select(*kept, "__lang.lang_pred", "__lang.score")

@@ -40,3 +40,9 @@ def test_frames(documents):
     assert langid.in_known_language(documents([]), "text", "lang").collect() == []
     # nothing to learn from
     assert langid.in_known_language(documents([(1, "abc")]), "text", "lang").collect() == []
+
+
+def test_texts_are_judged_once(documents):
+    docs = documents([(1, "abc", "x"), (2, "xyz", "y")])
+    plan = langid.in_known_language(docs, "text", "lang")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1
