@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import json
 import re
+from array import array
+from collections import deque
 from collections.abc import Callable, Iterable, Iterator
 from itertools import chain
 
@@ -147,23 +149,28 @@ class Tables:
 
     # Bytes of the words that walk side by side; longer ones go alone.
     LONGEST = 48
+    # Words that do so at a time, of like length.
+    STRIP = 1 << 14
 
     def __init__(self, automaton: Automaton, letters: list[str]) -> None:
         byte = {letter: b for b, letter in enumerate(letters)}
-        child: dict[int, int] = {}
-        ends: list[list[int]] = [[-1, -1]]
-        todo = [(automaton.spelling, 0)]
-        for node, number in todo:
-            for letter, below in node.items():
+        keys, ends = array("q"), array("q", [-1, -1])
+        todo = deque([automaton.spelling])
+        number = 0
+        while todo:
+            for letter, below in todo.popleft().items():
                 if isinstance(letter, int):
-                    ends[number][letter] = below
+                    ends[2 * number + letter] = below
                 elif letter in byte:
-                    child[number << 8 | byte[letter]] = len(ends)
-                    todo.append((below, len(ends)))
-                    ends.append([-1, -1])
-        self.keys = np.array(sorted(child), np.int64)
-        self.child = np.array([child[k] for k in sorted(child)], np.int64)
-        self.ends = np.array(ends, np.int64)
+                    keys.append(number << 8 | byte[letter])
+                    todo.append(below)
+                    ends.extend((-1, -1))
+            number += 1
+        # the nodes are numbered in the order of their keys' coming, from 1 on
+        order = np.argsort(keys)
+        self.keys = np.array(keys, np.int64)[order]
+        self.child = order + 1
+        self.ends = np.array(ends, np.int64).reshape(-1, 2)
         self.width = len(automaton.time)
         self.left, self.right, self.time = (np.array(x, np.int64) for x in (automaton.left, automaton.right, automaton.time))
         pairs = sorted((x * self.width + y, t) for (x, y), t in automaton.removed.items())
@@ -223,8 +230,8 @@ class Tables:
         first = end - size
         dead = np.zeros(len(flat) + 1, bool)
         far = self.LONGEST + 2
-        labels = np.zeros((len(words), int(size.max(initial=0)) + 1), np.int64)
-        lengths = np.zeros_like(labels)
+        labels = np.zeros((len(words), int(size.max(initial=0)) + 1), np.int32)
+        lengths = np.zeros(labels.shape, np.int8)
         depth, at, limit = np.zeros(len(words), np.int64), first.copy(), np.full(len(words), far)
         active = np.arange(len(words))
         while len(active):
@@ -249,7 +256,9 @@ class Tables:
             at[go] += length
             limit[go] = far
             active = active[at[active] < end[active]]
-        return [row[:n] for row, n in zip(labels.tolist(), depth.tolist(), strict=True)]
+        path = labels[np.arange(labels.shape[1]) < depth[:, None]].tolist()
+        last = np.cumsum(depth).tolist()
+        return [path[a:b] for a, b in zip([0, *last], last, strict=False)]
 
 
 class Kept:
@@ -288,6 +297,7 @@ class Encoder:
         import regex
         from tokenizers import Tokenizer
 
+        self.library = Tokenizer.from_file(path)
         with open(path, encoding="utf-8") as file:
             held = json.load(file)
         model = held["model"]
@@ -301,7 +311,8 @@ class Encoder:
         self.low_pattern = re.compile(pattern.replace(r"\p{L}", "a-z").replace(r"\p{N}", "0-9")) if LISTED.search(pattern) else self.pattern
         names = sorted(self.special, key=len, reverse=True)
         self.cut = re.compile(f"({'|'.join(map(re.escape, names))})") if names else None
-        self.library = Tokenizer.from_file(path)
+        del held, model, merges
+        self.names = {i: str(i) for i in self.automaton.tokens}
         self.letters = byte_letters()
         self.bytes_of = {letter: b for b, letter in enumerate(self.letters)}
         self.tables = Tables(self.automaton, self.letters)
@@ -333,12 +344,18 @@ class Encoder:
         return look
 
     def _words(self, words: list[bytes]) -> dict[bytes, tuple[int, str, str]]:
-        short = [w for w in words if 0 < len(w) <= Tables.LONGEST]
-        paths = dict(zip(short, self.tables.encode(short), strict=True))
+        short = sorted([w for w in words if 0 < len(w) <= Tables.LONGEST], key=len)
+        made = {}
+        for k in range(0, len(short), Tables.STRIP):
+            part = short[k : k + Tables.STRIP]
+            made |= zip(part, map(self._told, self.tables.encode(part)), strict=True)
         for word in words:
-            if word not in paths:
-                paths[word] = self.automaton.encode("".join([self.letters[b] for b in word]))
-        return {w: (len(path), " ".join(map(str, path)), self.automaton.decode(path)) for w, path in paths.items()}
+            if word not in made:
+                made[word] = self._told(self.automaton.encode("".join([self.letters[b] for b in word])))
+        return made
+
+    def _told(self, path: list[int]) -> tuple[int, str, str]:
+        return len(path), " ".join([self.names[i] for i in path]), self.automaton.decode(path)
 
     def _runs(self, runs: list[str]) -> dict[str, tuple[int, str, str]]:
         cut = [self._cut(run) for run in runs]

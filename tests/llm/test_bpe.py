@@ -1,4 +1,5 @@
 import random
+import tracemalloc
 
 import pytest
 from tokenizers import Tokenizer
@@ -107,6 +108,16 @@ def test_tables_and_automaton_agree(pair):
     assert encoder.tables.encode([]) == []
 
 
+def test_words_are_walked_in_strips(pair):
+    encoder = pair[0]
+    words = [b"%037d" % (k % 500) for k in range(60_000)]
+    tracemalloc.start()
+    found = encoder._words(words)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(found) == 500 and peak < 40 << 20
+
+
 def test_frame(documents, pair):
     texts = ["Ein Text", None, "", " \n", "x" * 5000, "Ein Text", "<|endoftext|>"]
     docs = documents(list(enumerate(texts))).withColumnRenamed("score", "ids")
