@@ -1,4 +1,5 @@
 import os
+import random
 import struct
 import wave
 
@@ -6,7 +7,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from parlato.functions.wav import seconds, wav_info
+from parlato.functions.wav import header_info, seconds, wav_info
 from parlato.sources.versions import read_current
 from parlato.plans.create import audio_to_shards, label_splits, materialise_splits, read_dataset
 from parlato.schema import UTTERANCE
@@ -279,6 +280,75 @@ def test_a_pair_is_read_in_one_pass(spark, tmp_path, monkeypatch):
     assert seen[0]._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
 
 
+def test_a_batch_takes_few_jobs_and_few_groups(spark, tmp_path):
+    base, out, state = tmp_path / "in", str(tmp_path / "out"), str(tmp_path / "state")
+    base.mkdir()
+    for i in range(40):
+        (base / f"{i:02}.wav").write_bytes(wav(100))
+    (base / "40.wav").write_bytes(wav(100))
+    (base / "40.txt").write_text("40")
+
+    def run():
+        query = ingest_audio(spark, str(base), out, state, files_per_batch=25)
+        query.awaitTermination()
+        return query.recentProgress, spark.sparkContext.statusTracker().getJobIdsForGroup(str(query.runId))
+
+    progress, jobs = run()
+    # no batch without files, three writes a batch, and the stems that wait share groups
+    assert len(progress) == 2 and sum(p.numInputRows for p in progress) == 42
+    assert len(jobs) <= 3 * len(progress)
+    assert sum(op.numRowsUpdated for p in progress for op in p.stateOperators) <= 4
+    assert spark.read.parquet(f"{out}/rejects").count() == 40
+    for i in range(0, 40, 2):
+        (base / f"{i:02}.txt").write_text(f"{i:02}")
+    run()
+    assert sorted(r.text for r in spark.read.parquet(f"{out}/utterances").select("text").collect()) == [*(f"{i:02}" for i in range(0, 40, 2)), "40"]
+    assert {r.path.rsplit("/", 1)[1] for r in open_rejects(spark, out).collect()} == {f"{i:02}.wav" for i in range(1, 40, 2)}
+    log = spark.read.schema("stem string, home string").parquet(f"{out}/arrivals")
+    assert log.where("home is null").count() == 0
+    assert log.distinct().count() == log.select("stem").distinct().count() == 41
+
+
+def test_files_that_go_before_their_batch(spark, tmp_path):
+    for name in ("a", "b"):
+        (tmp_path / f"{name}.wav").write_bytes(wav(100))
+    (tmp_path / "a.txt").write_text("ciao")
+    names = [(f"{tmp_path}/{w}.wav", 1, t and f"{tmp_path}/{t}.txt", True) for w, t in (("a", "a"), ("b", "b"), ("gone", "a"), ("b", None))]
+    pairs = spark.createDataFrame(names, "path string, size long, text_path string, again boolean")
+    rows = audio.check_heads(pairs, str(tmp_path), missing=True).collect()
+    assert [(r.path[-5:], r.text, r.reason, r["size"], r.again) for r in rows] == [
+        ("a.wav", "ciao", None, 244, True), ("b.wav", None, NO_TRANSCRIPT, 244, True), ("b.wav", None, NO_TRANSCRIPT, 244, True),
+    ]
+
+
+def test_headers_in_python_are_read_as_in_expressions(spark):
+    rand, made = random.Random(11), []
+    for _ in range(1500):
+        kind = rand.choice([b"RIFF", b"RIFF", b"RF64", b"RIFX", b"RIFL"])
+        order = "big" if kind == b"RIFX" else "little"
+
+        def number(value, size, order=order):
+            return value.to_bytes(size, order)
+
+        content = kind + number(36, 4) + rand.choice([b"WAVE"] * 9 + [b"AVI "])
+        for tag in rand.choice([["fmt ", "data"], ["LIST", "fmt ", "data"], ["fmt ", "fact", "data"], ["ds64", "fmt ", "data"], ["LIST"] * 20 + ["fmt ", "data"], ["data", "fmt "]]):
+            body = bytes(rand.randrange(9))
+            if tag == "fmt ":
+                body = number(rand.choice([1, 3, 85, 0xFFFE]), 2) + number(1, 2) + number(rand.choice([0, 100, 100, 44100]), 4) + number(100, 4) + number(rand.choice([0, 1, 3, 4]), 2) + number(8, 2)
+            elif tag == "ds64":
+                body = number(9, 8) + number(rand.choice([5, 10**6, 2**40]), 8)
+            elif tag == "fact":
+                body = number(rand.choice([0, 7]), 4)
+            size = rand.choice([len(body)] * 40 + [0, 7, 2**31, 2**32 - 1])
+            content += tag.encode() + number(size, 4) + body + bytes(len(body) % 2)
+        content = content[: rand.choice([len(content)] * 4 + [rand.randrange(len(content))])]
+        made.append((content, len(content) + rand.choice([0, 0, 1000, 2**33])))
+    rows = spark.createDataFrame(made, "content binary, total long").select("*", wav_info(F.col("content"), F.col("total")).alias("info")).collect()
+    assert sum(r.info is not None for r in rows) > 200
+    for r in rows:
+        assert header_info(bytes(r.content), r.total) == (r.info and tuple(r.info))
+
+
 class _State:
     def __init__(self):
         self.get, self.exists, self.hasTimedOut, self.due = None, False, False, None
@@ -305,3 +375,29 @@ def test_patience():
     state.hasTimedOut = False
     (both,) = run(("x",), iter([files.assign(path="x.txt")]), state)
     assert both.iloc[0].tolist() == ["x.wav", 3, "x.txt", False] and not state.exists
+
+
+def test_patience_of_stems_that_share_a_home():
+    from parlato.streaming.ingest import matched
+
+    state, now = _State(), [1000]
+    run = matched(5000, lambda _: now[0])
+
+    def arrive(*names):
+        files = pd.DataFrame({"path": [*names], "size": [3] * len(names), "again": [False] * len(names)})
+        return [tuple(r) for made in run(("home",), iter([files] if names else []), state) for r in made.itertuples(index=False)]
+
+    assert arrive("in/a.wav", "in/b.wav", "in/b.txt", "in/c.txt") == [("in/b.wav", 3, "in/b.txt", False)]
+    assert state.due == 5000
+    now[0] = 4000
+    # what comes to one stem leaves the time of the others as it is
+    assert arrive("in/d.wav", "in/.wav") == [] and state.due == 2000
+    now[0], state.hasTimedOut = 6001, True
+    assert arrive() == [("in/a.wav", 3, None, False)] and state.due == 2999
+    state.hasTimedOut = False
+    assert arrive("in/c.wav", "in/a.txt") == [("in/c.wav", 3, "in/c.txt", False), ("in/a.wav", 3, "in/a.txt", False)]
+    # stems that are due while files of others come
+    now[0] = 9001
+    assert arrive("in/e.txt") == [("in/d.wav", 3, None, False), ("in/.wav", 3, None, False)]
+    assert arrive("in/d.wav", "in/d.txt", "in/e.wav") == [("in/d.wav", 3, "in/d.txt", False), ("in/e.wav", 3, "in/e.txt", False)]
+    assert [w[0] for w in state.get[0]] == ["in/.wav"]
